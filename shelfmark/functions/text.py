@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def match_modes(column: str | Column, value: str, mode: str = "exact") -> Column:
@@ -65,7 +66,7 @@ def text_clean(column: str | Column) -> Column:
     return F.translate(folded, "’", "'")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_unescape(text: pd.Series) -> pd.Series:
     """Resolve HTML entities; the only function without a native counterpart."""
     return text.map(html.unescape, na_action="ignore")

@@ -107,10 +107,8 @@ def unpivot_attrs(
 
 def explode_tags(df: DataFrame, keys: Sequence[str], tags: str, sep: str = ";") -> DataFrame:
     """(object, tag) rows of a tag list; blank tags are dropped."""
-    parts = F.transform(F.split(tags, "\\Q" + sep + "\\E"), F.trim)
-    return (
-        df.select(*keys, F.explode(parts).alias("tag")).where("tag <> ''").distinct()
-    )
+    parts = F.array_distinct(F.split(tags, "\\Q" + sep + "\\E"))
+    return df.select(*keys, F.explode(parts).alias("tag")).where("tag <> ''")
 
 
 def picker_fields(

@@ -79,7 +79,7 @@ def folder_path(
 
 def path_prefixes(df: DataFrame, path: str, sep: str = "/") -> DataFrame:
     """The distinct folders that paths imply, each with its parent and level."""
-    parts = F.transform(F.split(path, "\\Q" + sep + "\\E"), F.trim)
+    parts = F.transform(F.split(path, "\\Q" + sep + "\\E"), lambda part: F.trim(part))
     prefixes = F.transform(
         F.sequence(F.lit(1), F.size("_parts")),
         lambda i: F.struct(

@@ -82,9 +82,9 @@ def fill_defaults(
     """Replace nulls by a value, another column's value, or (for ``now``) the run time."""
 
     def default(value: object) -> Column:
-        if value == "now":
-            return F.lit(as_of)
-        return value if isinstance(value, Column) else F.lit(value)
+        if isinstance(value, Column):
+            return value
+        return F.lit(as_of if value == "now" else value)
 
     return df.withColumns({c: F.coalesce(F.col(c), default(v)) for c, v in defaults.items()})
 
