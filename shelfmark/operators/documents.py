@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,56 +34,85 @@ def escape(text: Column) -> Column:
     return text
 
 
-def opening(element: Column) -> Column:
-    return F.regexp_extract(element, r"(?is)^<[^>]*>", 0)
+_ATTRIBUTES = {"oid": "data-oid", "otype": "data-otype", "href": "href", "title": "title", "src": "src"}
 
 
-def attribute(element: Column, name: str) -> Column:
-    """Attribute of an element's opening tag; null if it has none."""
-    tag = opening(element)
-    pattern = r"(?is)\s" + name + r"\s*=\s*[\"']([^\"']*)[\"']"
-    return F.when(tag.rlike(pattern), unescape(F.regexp_extract(tag, pattern, 1)))
+def _attribute_pattern(name: str) -> str:
+    return r"(?is)\s" + name + r"\s*=\s*(\"[^\"]*\"|'[^']*')"
 
 
-def inner_text(element: Column) -> Column:
-    return unescape(F.regexp_replace(element, r"<[^>]*>", ""))
+def parse_elements(found: Column, *names: str) -> Column:
+    """Elements as structs: ``whole``, ``opening`` tag and the named attributes.
+
+    An attribute the tag does not have is null. The steps are nested so that each expression
+    is evaluated once per element.
+    """
+    tags = F.transform(
+        found,
+        lambda e: F.struct(
+            e.alias("whole"), F.regexp_extract(e, r"(?is)^<[^>]*>", 0).alias("opening")
+        ),
+    )
+    quoted = F.transform(
+        tags,
+        lambda t: F.struct(
+            t["whole"].alias("whole"),
+            t["opening"].alias("opening"),
+            *[
+                F.regexp_extract(t["opening"], _attribute_pattern(_ATTRIBUTES[n]), 1).alias(n)
+                for n in names
+            ],
+        ),
+    )
+
+    def value(raw: Column) -> Column:
+        return F.when(raw != "", unescape(F.substr(raw, F.lit(2), F.length(raw) - 2)))
 
+    return F.transform(
+        quoted,
+        lambda q: F.struct(
+            q["whole"].alias("whole"),
+            q["opening"].alias("opening"),
+            *[value(q[n]).alias(n) for n in names],
+        ),
+    )
 
-def _without(tag: Column, *names: str) -> Column:
-    for name in names:
-        tag = F.regexp_replace(tag, r"(?is)\s" + name + r"\s*=\s*[\"'][^\"']*[\"']", "")
-    return tag
+
+def inner_text(element: Column) -> Column:
+    return unescape(F.regexp_replace(element, r"<[^>]*>", ""))
 
 
 def _attr(name: str, value: Column) -> Column:
     return F.concat(F.lit(f' {name}="'), value, F.lit('"'))
 
 
-def _reopen(element: Column, *attributes: Column) -> Column:
+def _reopen(opening: Column, *attributes: Column) -> Column:
     """Opening tag without its reference attributes, with the given ones instead."""
-    rest = F.regexp_replace(_without(opening(element), "href", "data-oid", "title"), r"\s*>$", "")
-    return F.concat(rest, *attributes, F.lit(">"))
+    old = r"(?is)\s(?:href|data-oid|title)\s*=\s*(?:\"[^\"]*\"|'[^']*')|\s*>$"
+    return F.concat(F.regexp_replace(opening, old, ""), *attributes, F.lit(">"))
 
 
 def extract_links(df: DataFrame, row_id: str, html: str, tag: str = "a") -> DataFrame:
     """All anchors with their place in the text, attributes and text."""
     pattern = ANCHOR if tag == "a" else r"(?is)<" + tag + r"\s[^>]*>"
-    found = df.select(row_id, F.posexplode(matches(html, pattern)).alias("pos", "_element"))
-    element = F.col("_element")
-    return found.select(
+    parsed = parse_elements(matches(html, pattern), "href", "oid", "otype", "title")
+    return df.select(row_id, F.posexplode(parsed).alias("pos", "e")).select(
         row_id,
         "pos",
-        attribute(element, "href").alias("href"),
-        attribute(element, "data-oid").alias("data_oid"),
-        attribute(element, "data-otype").alias("data_otype"),
-        attribute(element, "title").alias("title"),
-        inner_text(element).alias("text"),
+        F.col("e.href").alias("href"),
+        F.col("e.oid").alias("data_oid"),
+        F.col("e.otype").alias("data_otype"),
+        F.col("e.title").alias("title"),
+        inner_text(F.col("e.whole")).alias("text"),
     )
 
 
-def _is_reference(element: Column) -> Column:
-    tag = opening(element)
-    return tag.rlike(r"(?i)\sdata-oid\s*=") & tag.rlike(r"(?i)\sdata-otype\s*=")
+def _is_reference(e: Column) -> Column:
+    return e["oid"].isNotNull() & e["otype"].isNotNull()
+
+
+def _with_key(parsed: Column, key: Callable[[Column], Column]) -> Column:
+    return F.transform(parsed, lambda e: e.withField("key", key(e)))
 
 
 def zero_refs(df: DataFrame, articles: DataFrame, row_id: str = "id", body: str = "body") -> DataFrame:
@@ -93,34 +122,44 @@ def zero_refs(df: DataFrame, articles: DataFrame, row_id: str = "id", body: str
     anchor's text; for other objects, and unknown articles, it is the text as it stands.
     """
 
-    def key(element: Column) -> Column:
-        is_article = _is_reference(element) & (attribute(element, "data-otype") == "article")
-        return F.when(is_article, attribute(element, "data-oid"))
+    def parse(found: Column) -> Column:
+        parsed = parse_elements(found, "oid", "otype")
+        return _with_key(
+            parsed, lambda e: F.when(_is_reference(e) & (e["otype"] == "article"), e["oid"])
+        )
 
-    def build(element: Column, title: Column) -> Column:
-        shown = F.coalesce(title, inner_text(element))
-        content = F.regexp_extract(element, r"(?is)^<[^>]*>(.*)</a\s*>$", 1)
+    def build(e: Column, title: Column) -> Column:
+        shown = escape(F.coalesce(title, inner_text(e["whole"])))
+        content = F.regexp_extract(e["whole"], r"(?is)^<[^>]*>(.*)</a\s*>$", 1)
         zeroed = F.concat(
-            _reopen(element, _attr("data-oid", F.lit("0")), _attr("title", escape(shown))),
-            F.when(key(element).isNotNull(), escape(shown)).otherwise(content),
+            _reopen(e["opening"], _attr("data-oid", F.lit("0")), _attr("title", shown)),
+            F.when(e["key"].isNotNull(), shown).otherwise(content),
             F.lit("</a>"),
         )
-        return F.when(_is_reference(element), zeroed).otherwise(element)
+        return F.when(_is_reference(e), zeroed).otherwise(e["whole"])
 
     dim = articles.select(
         F.col("id").cast("string").alias("_key"), F.col("title").alias("_title")
     )
     return replace_resolved(
-        df, row_id, body, ANCHOR, F.col(body).contains("data-oid"), key, dim, "_key", "_title", build
+        df, row_id, body, ANCHOR, F.col(body).contains("data-oid"), parse, dim, "_key", "_title", build
     )
 
 
-def reference_key(element: Column) -> Column:
-    """``otype:title`` of a reference; a table is named by the first word, case ignored."""
-    otype = attribute(element, "data-otype")
-    title = F.coalesce(attribute(element, "title"), inner_text(element))
-    name = F.when(otype == "table", F.lower(F.regexp_extract(title, r"^\s*(\S+)", 1))).otherwise(title)
-    return F.when(_is_reference(element), F.concat(otype, F.lit(":"), name))
+def parse_references(found: Column) -> Column:
+    """Parsed anchors with the key ``otype:title``; null for other links.
+
+    A table is named by the first word of its title, case ignored.
+    """
+
+    def key(e: Column) -> Column:
+        title = F.coalesce(e["title"], inner_text(e["whole"]))
+        name = F.when(
+            e["otype"] == "table", F.lower(F.regexp_extract(title, r"^\s*(\S+)", 1))
+        ).otherwise(title)
+        return F.when(_is_reference(e), F.concat(e["otype"], F.lit(":"), name))
+
+    return _with_key(parse_elements(found, "oid", "otype", "title"), key)
 
 
 # of several objects with one title, which one a reference means
@@ -160,20 +199,18 @@ def rewrite_refs(
     that ``dims`` does not cover are left alone.
     """
 
-    def build(element: Column, oid: Column) -> Column:
-        otype = attribute(element, "data-otype")
-        title = attribute(element, "title")
-        kept_title = F.when(title.isNotNull(), _attr("title", escape(title))).otherwise(F.lit(""))
-        rest = F.substr(element, F.length(opening(element)) + 1)
-        href = F.concat(F.lit("/"), otype, F.lit("/"), oid, F.lit("/"))
+    def build(e: Column, oid: Column) -> Column:
+        kept_title = F.coalesce(_attr("title", escape(e["title"])), F.lit(""))
+        rest = F.substr(e["whole"], F.length(e["opening"]) + 1)
+        href = F.concat(F.lit("/"), e["otype"], F.lit("/"), oid, F.lit("/"))
         linked = F.concat(
-            _reopen(element, _attr("data-oid", oid), _attr("href", href), kept_title), rest
+            _reopen(e["opening"], _attr("data-oid", oid), _attr("href", href), kept_title), rest
         )
-        missing = element
+        missing = e["whole"]
         if on_missing == "zero":
-            zeroed = F.concat(_reopen(element, _attr("data-oid", F.lit("0")), kept_title), rest)
-            known_type = F.coalesce(otype.isin(*dims), F.lit(False))
-            missing = F.when(_is_reference(element) & known_type, zeroed).otherwise(element)
+            zeroed = F.concat(_reopen(e["opening"], _attr("data-oid", F.lit("0")), kept_title), rest)
+            known_type = F.coalesce(e["otype"].isin(*dims), F.lit(False))
+            missing = F.when(_is_reference(e) & known_type, zeroed).otherwise(missing)
         return F.when(oid.isNotNull(), linked).otherwise(missing)
 
     return replace_resolved(
@@ -182,7 +219,7 @@ def rewrite_refs(
         body,
         ANCHOR,
         F.col(body).contains("data-oid"),
-        reference_key,
+        parse_references,
         reference_dim(dims, policy),
         "_key",
         "_oid",
@@ -194,11 +231,10 @@ def broken_refs(
     df: DataFrame, dims: Mapping[str, DataFrame], row_id: str = "id", body: str = "body"
 ) -> DataFrame:
     """References without a target, counted per document and type."""
-    keys = F.transform(matches(body, ANCHOR), reference_key)
+    keys = F.transform(parse_references(matches(body, ANCHOR)), lambda e: e["key"])
     refs = (
         df.where(F.col(body).contains("data-oid"))
-        .select(row_id, F.posexplode(keys).alias("_pos", "_key"))
-        .where("_key is not null")
+        .select(row_id, F.posexplode(F.array_compact(keys)).alias("_pos", "_key"))
         .withColumn("otype", F.substring_index("_key", ":", 1))
         .where(F.col("otype").isin(*dims))
     )
@@ -210,9 +246,9 @@ def media_files(
     df: DataFrame, stored: DataFrame, row_id: str, html: str, name: str = "name"
 ) -> DataFrame:
     """Images of each article and whether a file of that name is stored."""
-    images = df.select(row_id, F.explode(matches(html, IMAGE)).alias("_element")).select(
-        row_id, attribute(F.col("_element"), "src").alias("src")
-    )
+    images = df.select(
+        row_id, F.explode(parse_elements(matches(html, IMAGE), "src")).alias("e")
+    ).select(row_id, "e.src")
     named = images.where("src is not null").withColumn(name, F.substring_index("src", "/", -1))
     have = stored.select(name).distinct().withColumn("stored", F.lit(True))
     return lookup_join(named, have, name).withColumn("stored", F.coalesce("stored", F.lit(False)))

@@ -1,8 +1,8 @@
 """Replace parts of a text by values that come from another table.
 
-The text is cut at a pattern. Only the distinct keys of the matches are joined; the pieces stay
-in their row, and the resolved keys come back as one map per text. Texts without a match are
-neither joined nor shuffled.
+The text is cut at a pattern and each match is parsed once. Only the distinct keys of the
+matches are joined; the pieces stay in their row, and the resolved keys come back as one map per
+text. Texts without a match are neither joined nor shuffled.
 """
 
 from __future__ import annotations
@@ -19,16 +19,14 @@ def matches(text: str, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def rejoin(text: str, pattern: str, replace: Callable[[Column], Column]) -> Column:
-    """The text with every match replaced; all else is kept to the byte."""
+def rejoin(text: str, pattern: str, replacements: Column) -> Column:
+    """The text with its matches replaced one by one; all else is kept to the byte."""
     return F.array_join(
         F.flatten(
             F.zip_with(
                 F.split(text, pattern, -1),
-                matches(text, pattern),
-                lambda kept, match: F.array(
-                    kept, F.when(match.isNull(), F.lit("")).otherwise(replace(match))
-                ),
+                replacements,
+                lambda kept, new: F.array(kept, F.coalesce(new, F.lit(""))),
             )
         ),
         "",
@@ -43,8 +41,8 @@ def resolve_keys(
     A map is no larger than the row's own list of keys. Finding the keys costs a pass over the
     texts, so all keys are salted at once rather than counted first.
     """
-    wanted = df.select(row_id, F.explode(F.array_distinct(keys)).alias(key)).where(
-        F.col(key).isNotNull()
+    wanted = df.select(
+        row_id, F.explode(F.array_distinct(F.array_compact(keys))).alias(key)
     )
     found = lookup_join(wanted, dim.select(key, value), key, "inner", detect=False)
     return found.groupBy(row_id).agg(
@@ -58,24 +56,37 @@ def replace_resolved(
     text: str,
     pattern: str,
     has_match: Column,
-    match_key: Callable[[Column], Column],
+    parse: Callable[[Column], Column],
     dim: DataFrame,
     key: str,
     value: str,
     build: Callable[[Column, Column], Column],
 ) -> DataFrame:
-    """Replace each match by ``build(match, value)``; the value is null for an unknown key."""
+    """Replace each match by ``build(parsed, value)``; the value is null for an unknown key.
+
+    ``parse`` turns the array of matches into an array of structs with a field ``key``, null
+    where nothing is to be looked up.
+    """
     touched = df.where(has_match)
     untouched = df.where(~F.coalesce(has_match, F.lit(False)))
-    keys = F.transform(matches(text, pattern), match_key)
+    parsed = parse(matches(text, pattern))
+    keys = F.transform(parsed, lambda p: p["key"])
     resolved = resolve_keys(touched, row_id, keys, dim, key, value)
-
-    def replace(match: Column) -> Column:
-        return build(match, F.try_element_at(F.col("_resolved"), match_key(match)))
-
     rebuilt = (
         touched.join(resolved, row_id, "left")
-        .withColumn(text, rejoin(text, pattern, replace))
-        .drop("_resolved")
+        .withColumn("_parsed", parsed)
+        .withColumn(
+            "_valued",
+            F.transform(
+                "_parsed",
+                lambda p: F.struct(
+                    p.alias("p"), F.try_element_at(F.col("_resolved"), p["key"]).alias("v")
+                ),
+            ),
+        )
+        .withColumn(
+            text,
+            rejoin(text, pattern, F.transform("_valued", lambda m: build(m["p"], m["v"]))),
+        )
     )
     return untouched.unionByName(rebuilt.select(*df.columns))

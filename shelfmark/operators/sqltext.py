@@ -65,66 +65,85 @@ def _names(listed: Column) -> Column:
     return F.filter(bare, lambda w: w != "")
 
 
-def table_references(statement: str) -> tuple[Column, Column]:
-    """Distinct source and target names of a statement, as two arrays."""
-    cut = F.split(F.regexp_replace(_masked(statement), _ENDS, _CUT + "$1"), _CUT)
+def with_table_references(df: DataFrame, statement: str) -> DataFrame:
+    """Add the distinct ``sources`` and ``targets`` named in a statement, as arrays.
 
-    def after(word: str) -> Column:
-        segments = F.filter(cut, lambda s: s.rlike(r"(?i)^" + word + r"\s"))
+    The steps are columns of their own so that each is evaluated once per statement.
+    """
+
+    def after(words: str) -> Column:
+        segments = F.filter("_cut", lambda s: s.rlike(r"(?i)^(?:" + words + r")\s"))
         return F.flatten(
-            F.transform(segments, lambda s: _names(F.regexp_replace(s, r"(?i)^" + word, "")))
+            F.transform(
+                segments, lambda s: _names(F.regexp_replace(s, r"(?i)^(?:" + words + ")", ""))
+            )
         )
 
-    defined = F.transform(regex_extract(_masked(statement), _CTE, 1), F.lower)
+    cut = (
+        df.withColumn("_masked", _masked(statement))
+        .withColumn("_cut", F.split(F.regexp_replace("_masked", _ENDS, _CUT + "$1"), _CUT))
+        .withColumn("_defined", F.transform(regex_extract("_masked", _CTE, 1), lambda n: F.lower(n)))
+    )
     sources = F.filter(
-        F.concat(after("from"), after("join")),
-        lambda name: ~F.array_contains(defined, F.lower(name)),
+        after("from|join"), lambda name: ~F.array_contains("_defined", F.lower(name))
+    )
+    return (
+        cut.withColumn("sources", F.array_distinct(sources))
+        .withColumn("targets", F.array_distinct(after(r"insert\s+into")))
+        .drop("_masked", "_cut", "_defined")
     )
-    return F.array_distinct(sources), F.array_distinct(after(r"insert\s+into"))
 
 
 _COPY = r"(?is)^\s*copy\s+([^\s(]+)[\s\S]*?\sfrom\s+('[^']*'|[^\s;]+)"
 
 
-def _ends(names: Column, otype: str) -> Column:
+def _ends(names: Column, otype: Column) -> Column:
     return F.transform(
         names,
-        lambda n: F.struct(
-            F.lit(otype).alias("otype"), n.alias("key"), F.lit(False).alias("is_temp")
-        ),
+        lambda n: F.struct(otype.alias("otype"), n.alias("key"), F.lit(False).alias("is_temp")),
+    )
+
+
+def _path(sources: Column, source_type: Column, flow: str, targets: Column) -> Column:
+    return F.array(
+        _ends(sources, source_type),
+        _ends(F.array(flow), F.lit("dataflow")),
+        _ends(targets, F.lit("table")),
     )
 
 
 def sql_table_lineage(stmts: DataFrame, statement: str = "statement") -> DataFrame:
     """Lineage path per statement that moves data between tables, or from a file to a table.
 
-    The dataflow id is a hash of the statement's text, so the same text gives one dataflow;
-    statements without a source or without a target are left out. Feed the result to
-    ``lineage_edges``.
+    The dataflow id is a hash of the statement's text, so the same text gives one dataflow and
+    is read once; statements without a source or without a target are left out. Feed the
+    result to ``lineage_edges``.
     """
     texts = stmts.select(F.col(statement).alias("content")).distinct()
-    is_copy = F.col("content").rlike(_COPY)
-    sources, targets = table_references("content")
-    named = texts.select(
+    found = with_table_references(texts, "content").withColumn(
+        "_from_file", F.regexp_extract("content", _COPY, 2)
+    )
+    is_copy = F.col("_from_file") != ""
+    copied = F.translate(F.regexp_extract("content", _COPY, 1), '"`[]', "")
+    ends = F.struct(
+        F.when(is_copy, F.lit("file")).otherwise(F.lit("table")).alias("kind"),
+        F.when(is_copy, F.array(F.translate("_from_file", "'", "")))
+        .otherwise(F.col("sources"))
+        .alias("sources"),
+        F.when(is_copy, F.array(copied)).otherwise(F.col("targets")).alias("targets"),
+    )
+    complete = is_copy | ((F.size("sources") > 0) & (F.size("targets") > 0))
+    # a list of one or none instead of a filter, which would evaluate the names twice
+    kept = found.select(
         "content",
         F.concat(F.lit("api/"), hash_id("content", "sha224", 16)).alias("dataflow"),
-        is_copy.alias("is_copy"),
-        F.when(
-            is_copy,
-            F.array(F.translate(F.regexp_extract("content", _COPY, 2), "'", "")),
-        ).otherwise(sources).alias("sources"),
-        F.when(
-            is_copy, F.array(F.translate(F.regexp_extract("content", _COPY, 1), '"`[]', ""))
-        ).otherwise(targets).alias("targets"),
-    ).where("size(sources) > 0 and size(targets) > 0")
-    hops = F.array(
-        F.when(F.col("is_copy"), _ends(F.col("sources"), "file")).otherwise(
-            _ends(F.col("sources"), "table")
-        ),
-        _ends(F.array("dataflow"), "dataflow"),
-        _ends(F.col("targets"), "table"),
-    )
-    return named.select("dataflow", "content", hops.alias("path"))
+        F.explode(F.when(complete, F.array(ends))).alias("e"),
+    )
+    return kept.select(
+        "dataflow",
+        "content",
+        _path(F.col("e.sources"), F.col("e.kind"), "dataflow", F.col("e.targets")).alias("path"),
+    )
 
 
 def resolve_tables(refs: DataFrame, catalog: DataFrame, name: str = "name") -> DataFrame:
@@ -161,12 +180,15 @@ def mention_resolve(
         F.min("id").cast("string").alias("_oid")
     )
 
-    def build(mention: Column, oid: Column) -> Column:
-        link = F.concat(F.lit("<p>"), mention_link("attribute", oid, mention), F.lit("</p>"))
-        return F.when(oid.isNull(), mention).otherwise(link)
+    def parse(found: Column) -> Column:
+        return F.transform(found, lambda m: F.struct(m.alias("mention"), F.lower(m).alias("key")))
+
+    def build(m: Column, oid: Column) -> Column:
+        link = F.concat(F.lit("<p>"), mention_link("attribute", oid, m["mention"]), F.lit("</p>"))
+        return F.when(oid.isNull(), m["mention"]).otherwise(link)
 
     return replace_resolved(
-        df, row_id, text, pattern, F.col(text).rlike(pattern), F.lower, dim, "_key", "_oid", build
+        df, row_id, text, pattern, F.col(text).rlike(pattern), parse, dim, "_key", "_oid", build
     )
 
 
@@ -224,20 +246,15 @@ def xml_task_lineage(files: DataFrame, content: str = "content") -> tuple[DataFr
 
 def pipeline_lineage(pipelines: DataFrame) -> DataFrame:
     """Lineage path of each pipeline from the tables of its query to its target."""
-    sources, _ = table_references("query")
     flow = F.concat(F.lit("api/"), hash_id(F.concat_ws(">", "query", "target"), "sha224", 16))
-    return (
-        pipelines.select(
-            flow.alias("dataflow"), F.col("query").alias("content"), sources.alias("s"), "target"
-        )
-        .where("size(s) > 0")
-        .select(
-            "dataflow",
-            "content",
-            F.array(
-                _ends(F.col("s"), "table"),
-                _ends(F.array("dataflow"), "dataflow"),
-                _ends(F.array("target"), "table"),
-            ).alias("path"),
-        )
+    found = with_table_references(pipelines, "query").select(
+        flow.alias("dataflow"),
+        F.col("query").alias("content"),
+        "target",
+        F.explode(F.when(F.size("sources") > 0, F.array("sources"))).alias("s"),
+    )
+    return found.select(
+        "dataflow",
+        "content",
+        _path(F.col("s"), F.lit("table"), "dataflow", F.array("target")).alias("path"),
     )

@@ -104,7 +104,12 @@ def query_log(t):
     return G.query_log(X.audit(t)).drop("file_no")
 
 
-@query("stream_query_log")
+@query(
+    "stream_query_log",
+    f"""WITH {X.LOG}
+    SELECT event_id, user_name, ' ' AS default_databases, session_id, start_time AS session_start_time,
+           start_time, query_string, CAST(substr(start_time, 1, 10) AS DATE) AS day FROM log""",
+)
 def stream_query_log_query(t):
     source, sink, checkpoint = (scratch_path(t.spark, n) for n in ("audit", "log", "stream"))
     audit = X.audit(t)
@@ -172,23 +177,25 @@ def resolve_tables(t):
 
 
 def _xml(t):
-    """ETL project file per event: a task with SQL, and a pipeline with query and target."""
-    attr = lambda c: F.replace(
-        F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
-                  F.lit('"'), F.lit("&quot;")), F.lit("\n"), F.lit("&#10;"),
-    )
+    """ETL project file per 50 events: tasks with SQL, and pipelines with query and target."""
+    marks = (("&", "&amp;"), ("<", "&lt;"), ('"', "&quot;"), ("\n", "&#10;"))
+    sql = F.col("sql_text")
+    for char, entity in marks:
+        sql = F.replace(sql, F.lit(char), F.lit(entity))
     key = F.col("event_id").cast("string")
     user = F.col("user_id").cast("string")
-    return X.queries(t).select(
+    task = F.concat(
+        F.lit('<DTS:Executable DTS:DTSID="{'), key, F.lit('}" DTS:ObjectName="Task '), key,
+        F.lit('"><DTS:ObjectData><SQLTask:SqlTaskData SQLTask:SqlStatementSource="'), sql,
+        F.lit('"/></DTS:ObjectData></DTS:Executable><pipeline><components><component><properties>'),
+        F.lit('<property name="Query">select * from nation_'), user, F.lit(".t"), user,
+        F.lit('</property><property name="TableName">mart.p'), user,
+        F.lit("</property></properties></component></components></pipeline>"),
+    )
+    files = X.queries(t).groupBy(F.floor(F.col("event_id") / 50)).agg(F.collect_list(task).alias("tasks"))
+    return files.select(
         F.concat(
-            F.lit('<DTS:Executable><DTS:Executable DTS:DTSID="{'), key,
-            F.lit('}" DTS:ObjectName="Task '), key,
-            F.lit('"><DTS:ObjectData><SQLTask:SqlTaskData SQLTask:SqlStatementSource="'),
-            attr(F.col("sql_text")),
-            F.lit('"/></DTS:ObjectData></DTS:Executable><pipeline><components><component><properties>'),
-            F.lit('<property name="Query">select * from nation_'), user, F.lit(".t"), user,
-            F.lit('</property><property name="TableName">mart.p'), user,
-            F.lit("</property></properties></component></components></pipeline></DTS:Executable>"),
+            F.lit("<DTS:Executable>"), F.array_join("tasks", ""), F.lit("</DTS:Executable>")
         ).alias("content")
     )
 

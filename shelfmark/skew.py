@@ -91,11 +91,18 @@ def number_in_groups(
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.005) -> DataFrame:
     """Keys held by more than ``share`` of the rows: never more than 1/share keys."""
-    total = df.agg(F.count("*")).scalar()
     counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    total = counted.agg(F.sum("_n")).scalar()
     return counted.where(F.col("_n") > F.lit(share) * total).drop("_n")
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the estimated size is within ``spark.sql.autoBroadcastJoinThreshold``."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(plan.stats().sizeInBytes()) <= limit
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -107,13 +114,16 @@ def lookup_join(
 ) -> DataFrame:
     """Equi-join for a ``left`` side with hot keys.
 
-    Rows of a hot key (and rows with a null key, which match nothing) are dealt over ``salts``
+    A ``right`` side that Spark broadcasts by its size needs no shuffle, so hot keys do no
+    harm and the join stays as it is. Else rows of a hot key (and rows with a null key, which match nothing) are dealt over ``salts``
     tasks by a hash of the row; the matching rows of ``right`` are repeated once per salt. With
     ``detect`` only hot keys are salted, at the price of a count over the key columns of
     ``left``; without it every key is, which suits a costly ``left`` and a small ``right``.
     The hash, unlike a random salt, is the same when a lost task is run again.
     """
     on = [on] if isinstance(on, str) else list(on)
+    if fits_broadcast(right):
+        return left.join(right, on, how)
     if spread_by is None:
         spread_by = [
             f.name
