@@ -230,7 +230,7 @@ def remap_children(
     dim = target.select(F.col(on).alias("_title"), F.col("id").alias("_found"))
     for side in ("parent", "child"):
         named = policy_lookup(
-            named.withColumnRenamed(f"_{side}_title", "_title"), dim, "_title", "_found", "_found"
+            named.withColumnRenamed(f"_{side}_title", "_title"), dim, "_title", "_found", "_found", reread=True
         ).drop("_title").withColumnRenamed("_found", f"target_{side}")
     linked = target.select(
         F.col("id").alias("target_parent"), F.explode("children").alias("target_child")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.keys import hash_id
 from shelfmark.operators.lookups import unique_lookup
+from shelfmark.session import hand_over
 from shelfmark.skew import lookup_join
 
 
@@ -64,7 +65,7 @@ def tables_with_lineage(dataflows: DataFrame, titles: DataFrame) -> DataFrame:
         .select(F.col("end.e.key").alias("key"), F.col("end.side").alias("side"), "dataflow")
         .distinct()
     )
-    return lookup_join(tables, titles.select("dataflow", "title"), "dataflow")
+    return lookup_join(tables, titles.select("dataflow", "title"), "dataflow", reread=True)
 
 
 def lineage_from_mapping(
@@ -81,7 +82,8 @@ def lineage_from_mapping(
     )
     for side in ("src", "dst"):
         dim = catalog.select(F.col("name").alias(f"{side}_name"), F.col("key").alias(f"{side}_key"))
-        pairs = unique_lookup(pairs, dim, f"{side}_name", f"{side}_key")
+        pairs = unique_lookup(pairs, dim, f"{side}_name", f"{side}_key", reread=True)
+    pairs = hand_over(pairs, "pairs")
     known = "src_key is not null and dst_key is not null"
     edges = pairs.where(known).select(
         F.col("src_key").alias("src"),

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.session import hand_over
 from shelfmark.skew import joined_lists, lookup_join, number_rows
 
 
@@ -57,7 +58,7 @@ def orphans(nodes: DataFrame, node_id: str, parent: str) -> DataFrame:
     """
     known = nodes.select(F.col(node_id).alias(parent))
     hanging = nodes.where(F.col(parent).isNotNull())
-    missing = lookup_join(hanging, known, parent, "left_anti")
+    missing = hand_over(lookup_join(hanging, known, parent, "left_anti"), "orphans")
     lost = missing.select(F.col(node_id).alias(parent))
     below = lookup_join(hanging, lost, parent, "left_semi")
     return missing.withColumn("reason", F.lit("parent missing")).unionByName(
@@ -65,7 +66,9 @@ def orphans(nodes: DataFrame, node_id: str, parent: str) -> DataFrame:
     )
 
 
-def unique_lookup(df: DataFrame, dim: DataFrame, on: str, value: str) -> DataFrame:
+def unique_lookup(
+    df: DataFrame, dim: DataFrame, on: str, value: str, reread: bool = False
+) -> DataFrame:
     """Add ``value`` where exactly one row of ``dim`` matches, else null."""
     single = (
         dim.where(F.col(on).isNotNull())
@@ -74,16 +77,22 @@ def unique_lookup(df: DataFrame, dim: DataFrame, on: str, value: str) -> DataFra
         .where("_n = 1")
         .drop("_n")
     )
-    return lookup_join(df, single, on)
+    return lookup_join(df, single, on, reread=reread)
 
 
 def policy_lookup(
-    df: DataFrame, dim: DataFrame, on: str, value: str, order: str, pick: str = "first"
+    df: DataFrame,
+    dim: DataFrame,
+    on: str,
+    value: str,
+    order: str,
+    pick: str = "first",
+    reread: bool = False,
 ) -> DataFrame:
     """Add ``value`` of the first or last match by ``order``."""
     best = F.min_by if pick == "first" else F.max_by
     chosen = dim.where(F.col(on).isNotNull()).groupBy(on).agg(best(value, order).alias(value))
-    return lookup_join(df, chosen, on)
+    return lookup_join(df, chosen, on, reread=reread)
 
 
 def id_remap(df: DataFrame, src_dim: DataFrame, dst_dim: DataFrame, bridge: str) -> DataFrame:
@@ -92,7 +101,7 @@ def id_remap(df: DataFrame, src_dim: DataFrame, dst_dim: DataFrame, bridge: str)
     Ids and ``bridge`` values found twice give no new id.
     """
     with_bridge = unique_lookup(df, src_dim.select("old_id", bridge), "old_id", bridge)
-    return unique_lookup(with_bridge, dst_dim.select(bridge, "new_id"), bridge, "new_id")
+    return unique_lookup(with_bridge, dst_dim.select(bridge, "new_id"), bridge, "new_id", reread=True)
 
 
 def offset_ids(df: DataFrame, order: Sequence[str | Column], offset: int) -> DataFrame:
@@ -122,7 +131,8 @@ def look_up_name(df: DataFrame, names: DataFrame, key: str, name: str) -> DataFr
 def membership_resolve(members: DataFrame, users: DataFrame, size: int = 10_000) -> DataFrame:
     """Per group the ids of its known users, in parts of ``size``, and the count of unknown ones."""
     dim = users.groupBy("user").agg(F.min("user_id").alias("user_id"))
-    found = lookup_join(members.select("group", "user").distinct(), dim, "user")
+    wanted = members.select("group", "user").distinct()
+    found = hand_over(lookup_join(wanted, dim, "user", reread=True), "members")
     known = found.where("user_id is not null")
     lists = joined_lists(known, ["group"], ["user_id"], F.col("user_id"), size, "user_ids")
     unknown = found.groupBy("group").agg(F.count_if(F.col("user_id").isNull()).alias("unknown"))

@@ -38,13 +38,12 @@ def resolve_keys(
 ) -> DataFrame:
     """Map from key to value for each row, for the keys found in ``dim``.
 
-    A map is no larger than the row's own list of keys. Finding the keys costs a pass over the
-    texts, so all keys are salted at once rather than counted first.
+    A map is no larger than the row's own list of keys.
     """
     wanted = df.select(
         row_id, F.explode(F.array_distinct(F.array_compact(keys))).alias(key)
     )
-    found = lookup_join(wanted, dim.select(key, value), key, "inner", detect=False)
+    found = lookup_join(wanted, dim.select(key, value), key, "inner", reread=True)
     return found.groupBy(row_id).agg(
         F.map_from_entries(F.collect_list(F.struct(key, value))).alias("_resolved")
     )

@@ -7,6 +7,7 @@ from shelfmark.operators import sync
 from shelfmark.operators.aggregates import duplicate_keys
 from shelfmark.plans import fixtures as X
 from shelfmark.plans.registry import query
+from shelfmark.session import hand_over
 
 _TREE = f"WITH RECURSIVE {X.nodes_sql()}, {X.TRAILS}"
 _BROKEN = f"WITH RECURSIVE {X.nodes_sql(broken=True)}, {X.TRAILS}"
@@ -183,7 +184,7 @@ def remap_children(t):
             (F.col("c_custkey") + child_shift).alias("id"), F.col("c_name").alias("title"),
             F.array().cast("array<bigint>").alias("children"),
         )
-        return parents.unionByName(leaves)
+        return hand_over(parents.unionByName(leaves), "articles")
 
     source = side(t.customer, 100_000_000, 0, F.lit(True))
     target = side(

@@ -89,11 +89,17 @@ def number_in_groups(
     )
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.005) -> DataFrame:
-    """Keys held by more than ``share`` of the rows: never more than 1/share keys."""
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = counted.agg(F.sum("_n")).scalar()
-    return counted.where(F.col("_n") > F.lit(share) * total).drop("_n")
+def hot_keys(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
+    """Keys with more rows than half a partition should hold, and the ``_salts`` each needs.
+
+    No more than ``2 * partitions`` keys can have that many rows, and the salts of all of them
+    add up to less than ``3 * partitions``, whatever the size of the table.
+    """
+    counted = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
+    share = counted.agg(F.sum("_n") / F.lit(partitions)).scalar()
+    return counted.where(F.col("_n") * 2 > share).select(
+        *keys, F.ceil(F.col("_n") / share).cast("int").alias("_salts")
+    )
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -108,46 +114,45 @@ def lookup_join(
     right: DataFrame,
     on: Sequence[str] | str,
     how: str = "left",
-    salts: int = 16,
-    detect: bool = True,
     spread_by: Sequence[str] | None = None,
+    reread: bool = False,
 ) -> DataFrame:
     """Equi-join for a ``left`` side with hot keys.
 
     A ``right`` side that Spark broadcasts by its size needs no shuffle, so hot keys do no
-    harm and the join stays as it is. Else rows of a hot key (and rows with a null key, which match nothing) are dealt over ``salts``
-    tasks by a hash of the row; the matching rows of ``right`` are repeated once per salt. With
-    ``detect`` only hot keys are salted, at the price of a count over the key columns of
-    ``left``; without it every key is, which suits a costly ``left`` and a small ``right``.
-    The hash, unlike a random salt, is the same when a lost task is run again.
+    harm and the join stays as it is. Else the keys of ``left`` are counted first. Rows of a hot
+    key are dealt over as many tasks as its count asks for, by a hash of the columns
+    ``spread_by`` (all by default); the matching rows of ``right`` are repeated once per task.
+    Rows with a null key match nothing and are dealt over all tasks. The hash, unlike a random
+    salt, is the same when a lost task is run again.
+
+    Counting reads ``left`` a second time. With ``reread`` it is written to the shared folder
+    once and read back twice, which suits a ``left`` that is costly to compute.
     """
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(right):
         return left.join(right, on, how)
+    if reread:
+        left = hand_over(left, "lookup")
     if spread_by is None:
         spread_by = [
             f.name
             for f in left.schema.fields
             if not isinstance(f.dataType, T.MapType | T.VariantType)
         ]
-    dealt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    if detect:
-        hot = F.broadcast(hot_keys(left, on).withColumn("_hot", F.lit(True)))
-        missing = F.lit(False)
-        for k in on:
-            missing = missing | F.col(k).isNull()
-        left = left.join(hot, on, "left").withColumn(
-            "_salt", F.when(F.col("_hot") | missing, dealt).otherwise(F.lit(0))
-        )
-        right = right.join(hot, on, "left").withColumn(
-            "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
-        )
-        right = right.drop("_hot")
-    else:
-        left = left.withColumn("_salt", dealt)
-        right = right.withColumn("_salt", F.explode(every))
-    return left.join(right, [*on, "_salt"], how).drop("_salt", "_hot")
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(left, on, partitions))
+    missing = F.lit(False)
+    for k in on:
+        missing = missing | F.col(k).isNull()
+    tasks = F.when(missing, F.lit(partitions)).otherwise(F.coalesce("_salts", F.lit(1)))
+    dealt = left.join(hot, on, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*spread_by), tasks).cast("int")
+    )
+    repeated = right.join(hot, on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    )
+    return dealt.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
 def joined_lists(
