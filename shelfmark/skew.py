@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,18 +52,66 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "rn")
     )
 
 
+# groups of fewer rows are never worth cutting
+SPLIT_ROWS = 10_000
+
+
+def crowded(df: DataFrame, keys: Sequence[str]) -> list[Row]:
+    """Groups with more rows than half a shuffle partition should hold, and ``_salts``, the
+    number of tasks each needs.
+
+    Rows are counted on the map side first. No more than two groups per shuffle partition can
+    have that many rows, whatever the size of the table, so the list is short, and the salts
+    of all groups add up to less than three per partition.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    share = counted.agg(F.sum("_n") / F.lit(partitions)).scalar()
+    return (
+        counted.where((F.col("_n") * 2 > share) & (F.col("_n") >= SPLIT_ROWS))
+        .select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_salts"))
+        .collect()
+    )
+
+
+def _table_of(groups: list[Row], df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The crowded groups as a table, short enough to be broadcast."""
+    fields = [T.StructField(k, df.schema[k].dataType) for k in keys]
+    schema = T.StructType([*fields, T.StructField("_salts", T.IntegerType())])
+    return df.sparkSession.createDataFrame(groups, schema)
+
+
 def number_in_groups(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str = "rn"
 ) -> DataFrame:
     """Add the 1-based row number within each group, whatever the size of a group.
 
-    Rows are range partitioned by key and order, so a hot group spans many ranges. Numbers are
-    given per (range, group); a group that goes on from earlier ranges gets the count so far.
-    At most one group goes on into a range, so that table has no more rows than there are
-    ranges and can be broadcast.
+    A window numbers the groups that fit a task. The rows of crowded groups, if there are any,
+    are range partitioned by group and order instead, so that a group may span many tasks.
     """
     keys = list(keys)
-    placed = _place(df, [*map(F.col, keys), *as_columns(order)])
+    order = as_columns(order)
+    in_group = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    groups = crowded(df, keys)
+    if not groups:
+        return df.withColumn(name, in_group.cast("bigint"))
+    large = _table_of(groups, df, keys).drop("_salts").toDF(*[f"_g_{k}" for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+    few = df.join(F.broadcast(large), same, "left_anti").withColumn(name, in_group.cast("bigint"))
+    many = df.join(F.broadcast(large), same, "left_semi")
+    return few.unionByName(_number_over_ranges(many, keys, order, name))
+
+
+def _number_over_ranges(
+    df: DataFrame, keys: list[str], order: list[Column], name: str
+) -> DataFrame:
+    """Numbers are given per (range, group); a group that goes on from earlier ranges gets the
+    count so far. At most one group goes on into a range, so the table of those counts has no
+    more rows than there are ranges and is broadcast.
+    """
+    placed = _place(df, [*map(F.col, keys), *order])
     local = Window.partitionBy(_RANGE, *keys).orderBy(_MID)
     runs = placed.groupBy(_RANGE, *keys).agg(F.count("*").alias("_size"))
     earlier = (
@@ -85,20 +133,7 @@ def number_in_groups(
         placed.withColumn("_local", F.row_number().over(local))
         .join(F.broadcast(carried), same, "left")
         .withColumn(name, F.col("_local") + F.coalesce("_carry", F.lit(0)))
-        .drop(_RANGE, _MID, "_local", "_carry", "_c_range", *[f"_c_{k}" for k in keys])
-    )
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
-    """Keys with more rows than half a partition should hold, and the ``_salts`` each needs.
-
-    No more than ``2 * partitions`` keys can have that many rows, and the salts of all of them
-    add up to less than ``3 * partitions``, whatever the size of the table.
-    """
-    counted = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
-    share = counted.agg(F.sum("_n") / F.lit(partitions)).scalar()
-    return counted.where(F.col("_n") * 2 > share).select(
-        *keys, F.ceil(F.col("_n") / share).cast("int").alias("_salts")
+        .select(*df.columns, name)
     )
 
 
@@ -117,14 +152,14 @@ def lookup_join(
     spread_by: Sequence[str] | None = None,
     reread: bool = False,
 ) -> DataFrame:
-    """Equi-join for a ``left`` side with hot keys.
+    """Equi-join for a ``left`` side that may have hot keys.
 
     A ``right`` side that Spark broadcasts by its size needs no shuffle, so hot keys do no
-    harm and the join stays as it is. Else the keys of ``left`` are counted first. Rows of a hot
-    key are dealt over as many tasks as its count asks for, by a hash of the columns
-    ``spread_by`` (all by default); the matching rows of ``right`` are repeated once per task.
-    Rows with a null key match nothing and are dealt over all tasks. The hash, unlike a random
-    salt, is the same when a lost task is run again.
+    harm. Else the keys of ``left`` are counted first, and if none is crowded the join stays as
+    it is. Rows of a crowded key are dealt over as many tasks as its count asks for, by a hash
+    of the columns ``spread_by`` (all by default); the matching rows of ``right`` are repeated
+    once per task. Rows with a null key match nothing and are dealt over all tasks. The hash,
+    unlike a random salt, is the same when a lost task is run again.
 
     Counting reads ``left`` a second time. With ``reread`` it is written to the shared folder
     once and read back twice, which suits a ``left`` that is costly to compute.
@@ -134,6 +169,9 @@ def lookup_join(
         return left.join(right, on, how)
     if reread:
         left = hand_over(left, "lookup")
+    groups = crowded(left, on)
+    if not groups:
+        return left.join(right, on, how)
     if spread_by is None:
         spread_by = [
             f.name
@@ -141,15 +179,15 @@ def lookup_join(
             if not isinstance(f.dataType, T.MapType | T.VariantType)
         ]
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(left, on, partitions))
+    hot = _table_of(groups, left, on).dropna(subset=on)
     missing = F.lit(False)
     for k in on:
         missing = missing | F.col(k).isNull()
     tasks = F.when(missing, F.lit(partitions)).otherwise(F.coalesce("_salts", F.lit(1)))
-    dealt = left.join(hot, on, "left").withColumn(
+    dealt = left.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(*spread_by), tasks).cast("int")
     )
-    repeated = right.join(hot, on, "left").withColumn(
+    repeated = right.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     )
     return dealt.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"], how).drop("_salt")

@@ -9,6 +9,13 @@ from shelfmark.operators import aggregates, relational
 from shelfmark.sources import writers
 
 
+@pytest.fixture(autouse=True, params=[1, 10_000], ids=["cut", "whole"])
+def split_rows(request, monkeypatch):
+    """Once with groups cut at any size, once with none cut."""
+    monkeypatch.setattr(skew, "SPLIT_ROWS", request.param)
+    return request.param
+
+
 @pytest.fixture(scope="module")
 def hot(spark):
     """A third of the rows has one key, some have none."""
@@ -64,10 +71,24 @@ def test_salted_lookup_with_several_matches(hot, no_broadcast):
     assert rows(skew.lookup_join(hot, dim, ["key"], "inner")) == rows(hot.join(dim, "key"))
 
 
-def test_hot_key_is_dealt_over_tasks(hot, no_broadcast):
-    found = skew.hot_keys(hot, ["key"], 30).collect()
-    assert [r.key for r in found] == ["hot"]
-    assert 9 <= found[0]["_salts"] <= 11
+def test_hot_key_asks_for_tasks_by_its_count(hot, spark, split_rows):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    try:
+        found = skew.crowded(hot, ["key"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    if split_rows == 1:
+        assert [r.key for r in found if r.key] == ["hot"]
+        assert [9 <= r["_salts"] <= 11 for r in found if r.key] == [True]
+    else:
+        assert found == []
+
+
+def test_keys_of_different_types(hot, no_broadcast):
+    left = hot.selectExpr("id", "v % 3 as k")
+    right = no_broadcast.createDataFrame([(0, "a"), (1, "b")], "k bigint, name string")
+    assert rows(skew.lookup_join(left, right, "k")) == rows(left.join(right, "k", "left"))
 
 
 def test_lists_of_a_hot_group_come_in_parts(hot):
