@@ -16,23 +16,33 @@ from shelfmark.skew import joined_lists
 def catalog_from_sheet(
     sheet: DataFrame, schema: str, table: str, column: str, ctype: str, ds: str, order: str
 ) -> DataFrame:
-    """Schema, table and column keys of a flat sheet; a repeated column keeps its first type."""
-
-    def key(*cols: str) -> Column:
-        return F.concat_ws(".", F.lit(ds), *[F.col(c) for c in cols])
-
-    text = F.lit(None).cast("string")
-    schemas = sheet.where(F.col(schema).isNotNull()).select(key(schema).alias("key")).distinct()
-    tables = sheet.dropna(subset=[schema, table]).select(key(schema, table).alias("key")).distinct()
-    columns = (
-        sheet.dropna(subset=[schema, table, column])
-        .groupBy(key(schema, table, column).alias("key"))
-        .agg(F.min_by(ctype, order).alias("column_type"))
+    """Schema, table and column keys of a flat sheet; a repeated column keeps its first type.
+
+    Every row gives the levels for which it has names, and one aggregate makes them distinct.
+    """
+
+    def level(number: int, *cols: str) -> Column:
+        # concat is null as soon as one name is
+        key = F.lit(ds)
+        for c in cols:
+            key = F.concat(key, F.lit("."), F.col(c))
+        entry = F.struct(
+            F.lit(number).alias("level"),
+            key.alias("key"),
+            (F.col(ctype) if number == 3 else F.lit(None).cast("string")).alias("ctype"),
+        )
+        return F.when(key.isNotNull(), entry)
+
+    levels = F.array_compact(
+        F.array(level(1, schema), level(2, schema, table), level(3, schema, table, column))
     )
     return (
-        schemas.select("key", text.alias("table_type"), text.alias("column_type"))
-        .unionByName(tables.select("key", F.lit("TABLE").alias("table_type"), text.alias("column_type")))
-        .unionByName(columns.select("key", text.alias("table_type"), "column_type"))
+        sheet.select(F.col(order).alias("_order"), F.explode(levels).alias("l"))
+        .groupBy("l.level", "l.key")
+        .agg(F.min_by("l.ctype", "_order").alias("column_type"))
+        .select(
+            "key", F.when(F.col("level") == 2, F.lit("TABLE")).alias("table_type"), "column_type"
+        )
     )
 
 

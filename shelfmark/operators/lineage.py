@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.keys import hash_id
@@ -13,6 +11,15 @@ from shelfmark.session import hand_over
 from shelfmark.skew import lookup_join
 
 
+def _starts(first_only: bool = False) -> Column:
+    """Places in ``path`` where a source, a dataflow and a target follow each other.
+
+    None for a shorter path; a filter would compute the path a second time.
+    """
+    last = F.lit(0) if first_only else F.size("path") - 3
+    return F.when(F.size("path") >= 3, F.sequence(F.lit(0), last, F.lit(2)))
+
+
 def lineage_edges(paths: DataFrame, legacy_three_hop: bool = False) -> DataFrame:
     """(source, dataflow, target) for all consecutive hops of each path.
 
@@ -21,10 +28,7 @@ def lineage_edges(paths: DataFrame, legacy_three_hop: bool = False) -> DataFrame
     three hops are read. Rows are made within a path, so nothing is shuffled before the final
     distinct.
     """
-    last = F.lit(0) if legacy_three_hop else F.size("path") - 3
-    starts = paths.where("size(path) >= 3").select(
-        "path", F.explode(F.sequence(F.lit(0), last, F.lit(2))).alias("i")
-    )
+    starts = paths.select("path", F.explode(_starts(legacy_three_hop)).alias("i"))
     hops = starts.select(
         F.col("path")[F.col("i")].alias("sources"),
         F.get(F.col("path")[F.col("i") + 1], F.lit(0))["key"].alias("dataflow"),
@@ -47,10 +51,7 @@ def tables_with_lineage(dataflows: DataFrame, titles: DataFrame) -> DataFrame:
 
     ``dataflows`` has the column ``path``, ``titles`` the columns ``dataflow`` and ``title``.
     """
-    starts = dataflows.where("size(path) >= 3").select(
-        "path",
-        F.explode(F.sequence(F.lit(0), F.size("path") - 3, F.lit(2))).alias("i"),
-    )
+    starts = dataflows.select("path", F.explode(_starts()).alias("i"))
     ends = starts.select(
         F.get(F.col("path")[F.col("i") + 1], F.lit(0))["key"].alias("dataflow"),
         F.explode(

@@ -38,17 +38,17 @@ def catalog_export(
 
 
 def semi_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    return left.join(right.select(*on), list(on), "left_semi")
+    """Rows of ``left`` with a match; the keys of ``right`` are made distinct before the join."""
+    return lookup_join(left, right.select(*on).distinct(), list(on), "left_semi")
 
 
 def new_only(
     candidates: DataFrame, existing: DataFrame, on: str, ignore_case: bool = False
 ) -> DataFrame:
     """Candidates whose key is not there yet."""
-    if not ignore_case:
-        return candidates.join(existing.select(on), on, "left_anti")
-    known = existing.select(F.lower(on).alias("_key"))
-    return candidates.withColumn("_key", F.lower(on)).join(known, "_key", "left_anti").drop("_key")
+    key = F.lower(on) if ignore_case else F.col(on)
+    known = existing.select(key.alias("_key")).distinct()
+    return lookup_join(candidates.withColumn("_key", key), known, "_key", "left_anti").drop("_key")
 
 
 def orphans(nodes: DataFrame, node_id: str, parent: str) -> DataFrame:

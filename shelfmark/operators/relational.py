@@ -120,7 +120,8 @@ def union_loose(*dfs: DataFrame) -> DataFrame:
 
 
 def intersect_keys(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
-    return a.select(*on).intersect(b.select(*on))
+    """Distinct keys that both have; made distinct first, so that a hot key is one row."""
+    return a.select(*on).distinct().intersect(b.select(*on).distinct())
 
 
 def except_keys(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:

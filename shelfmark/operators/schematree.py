@@ -61,7 +61,8 @@ def encode_schema(rows: DataFrame, doc: str = "doc") -> DataFrame:
     """Schema document per ``doc`` from the rows of ``flatten_schema``.
 
     Works from the deepest level up: the texts of the children of one parent are joined in
-    order of their names. Repeated records become arrays.
+    order of their names. Repeated records become arrays. A document is one text in the end, so
+    its fields meet in one row; there are no larger groups than documents.
     """
     level = F.size(F.split("path", r"\.")).alias("level")
     open_rows = hand_over(
