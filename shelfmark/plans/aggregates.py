@@ -19,7 +19,7 @@ def thread_terms(t):
 
 @query("term_counts", TERMS.format(table="documents"))
 def term_counts(t):
-    return A.term_counts(t.documents, "text")
+    return A.term_counts(t.spread("documents"), "text")
 
 
 @query(
@@ -27,7 +27,7 @@ def term_counts(t):
     TERMS.format(table="documents").replace("GROUP BY", "WHERE term <> '' GROUP BY"),
 )
 def term_counts_words(t):
-    return A.term_counts(t.documents, "text", drop_empty=True)
+    return A.term_counts(t.spread("documents"), "text", drop_empty=True)
 
 
 @query("count_by", "SELECT event_type, count(*) / 1e6 AS count FROM events GROUP BY event_type")
@@ -140,7 +140,7 @@ def first_per_group(t):
        WHERE capture <> '' GROUP BY 1""",
 )
 def message_frequency(t):
-    return A.message_frequency(t.documents, "text", r"(\w+) (?:the|les|die)[ .,]")
+    return A.message_frequency(t.spread("documents"), "text", r"(\w+) (?:the|les|die)[ .,]")
 
 
 @query(

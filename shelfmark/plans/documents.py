@@ -27,7 +27,7 @@ def _unescaped(text: str) -> str:
       {_unescaped("regexp_replace(element, '<[^>]*>', '', 'g')")} AS text FROM o""",
 )
 def extract_links(t):
-    return D.extract_links(t.pages, "page_id", "html")
+    return D.extract_links(t.spread("pages"), "page_id", "html")
 
 
 @query(
@@ -104,7 +104,7 @@ def strip_internal_links(t):
 )
 def media_files(t):
     name = lambda c: F.concat(F.lit("p"), F.col(c).cast("string"), F.lit(".png"))
-    pages = t.pages.select(
+    pages = t.spread("pages").select(
         "page_id",
         F.concat("html", F.lit('<IMG alt="x" src="/media/image_bank/'), name("page_id"), F.lit('"/>')).alias("html"),
     )

@@ -78,7 +78,7 @@ def match_modes(t):
 )
 def token_search(t):
     return R.token_search(
-        t.documents, "text", "With AVEC", otypes=["en", "fr"], otype_col="lang"
+        t.spread("documents"), "text", "With AVEC", otypes=["en", "fr"], otype_col="lang"
     ).select("doc_id", "lang")
 
 

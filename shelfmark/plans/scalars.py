@@ -80,7 +80,7 @@ _HREF = 'href="(https?://)?([^"/]+)'
 )
 def regex_extract(t):
     hosts = text.regex_extract("html", _HREF, 2)
-    return t.pages.select("page_id", F.array_join(hosts, " ").alias("hosts"))
+    return t.spread("pages").select("page_id", F.array_join(hosts, " ").alias("hosts"))
 
 
 _BLANK = text.BLANK
@@ -96,12 +96,12 @@ _BLANK = text.BLANK
 )
 def text_clean(t):
     odd = F.replace(F.replace("text", F.lit(". "), F.lit(".  ")), F.lit(", "), F.lit("’s "))
-    return t.documents.select("doc_id", text.text_clean(odd).alias("clean"))
+    return t.spread("documents").select("doc_id", text.text_clean(odd).alias("clean"))
 
 
 @query("html_unescape")
 def html_unescape(t):
-    return t.pages.select("page_id", text.html_unescape("html").alias("html"))
+    return t.spread("pages").select("page_id", text.html_unescape("html").alias("html"))
 
 
 @query(
