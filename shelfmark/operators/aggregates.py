@@ -11,9 +11,10 @@ from shelfmark.skew import joined_lists, lookup_join, number_in_groups
 
 
 def count_by(df: DataFrame, keys: Sequence[str], scale: float = 1) -> DataFrame:
-    """Rows per key; with ``scale`` as a fraction, e.g. 1e6 for millions."""
+    """Rows per key, most frequent first; with ``scale`` as a fraction, e.g. 1e6 for millions."""
     n = F.count("*")
-    return df.groupBy(*keys).agg((n if scale == 1 else n / F.lit(scale)).alias("count"))
+    counts = df.groupBy(*keys).agg((n if scale == 1 else n / F.lit(scale)).alias("count"))
+    return counts.orderBy(F.desc("count"), *keys)
 
 
 def count_null(df: DataFrame, column: str) -> DataFrame:
@@ -30,15 +31,18 @@ def distinct_days(df: DataFrame, ts: str) -> DataFrame:
 def term_counts(
     df: DataFrame, text: str, pattern: str = r"[\W0-9]", drop_empty: bool = False
 ) -> DataFrame:
-    """Occurrences of each lower-case term.
+    """Occurrences of each lower-case term, most frequent first.
 
-    The empty text between neighbouring separators counts as a term unless dropped.
+    Terms are counted on the map side; only the counts are shuffled and sorted. The empty text between neighbouring separators counts as a term unless dropped.
     """
     terms = F.split(F.lower(text), pattern)
     if drop_empty:
         terms = F.array_remove(terms, "")
     return (
-        df.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("count"))
+        df.select(F.explode(terms).alias("term"))
+        .groupBy("term")
+        .agg(F.count("*").alias("count"))
+        .orderBy(F.desc("count"), "term")
     )
 
 
@@ -169,8 +173,12 @@ def top_n_per_group(
     """First ``n`` rows of each group.
 
     The filter on the row number limits each input partition to ``n`` rows per group before
-    the shuffle.
+    the shuffle. Spark does so up to a threshold for ``n``; beyond it, crowded groups are
+    numbered over several tasks.
     """
+    limit = df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    if n > int(limit):
+        return number_in_groups(df, keys, order, "rank").where(F.col("rank") <= n)
     rank = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= n)
 

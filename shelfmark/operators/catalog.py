@@ -86,7 +86,7 @@ def rekey_catalog(df: DataFrame, key: str, new_ds: int | str) -> DataFrame:
     return df.withColumn(key, F.regexp_replace(key, r"^[^.]+", str(new_ds)))
 
 
-# codes of the extraction adapters
+# fixed values: codes of the extraction adapters
 TABLE_TYPES = {0: "TABLE", 1: "VIEW", 3: "SYNONYM"}
 COLUMN_TYPES = {
     0: "OTHER",
@@ -166,7 +166,8 @@ def catalog_amalgam(schema: DataFrame, table: DataFrame, column: DataFrame) -> D
     )
 
 
-# source column types (pattern, case ignored) and the type used instead; the first hit counts
+# fixed values: source column types (pattern, case ignored) and the type used instead; the first
+# hit counts
 TYPE_RULES = [
     (r"^(small)?datetime", "timestamp"),
     (r"^timestamp_ltz", "timestamp with time zone"),

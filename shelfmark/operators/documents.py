@@ -17,7 +17,7 @@ ANCHOR = r"(?is)<a\s[^>]*>.*?</a\s*>"
 INTERNAL = r"(?is)<a\s[^>]*data-otype[^>]*>([^<]+)</a\s*>"
 IMAGE = r"(?is)<img\s[^>]*>"
 
-# entities that HTML writers escape; the ampersand has to be resolved last
+# fixed values: entities that HTML writers escape; the ampersand has to be resolved last
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 
 
@@ -259,7 +259,7 @@ def strip_internal_links(df: DataFrame, html: str) -> DataFrame:
     return df.withColumn(html, F.regexp_replace(html, INTERNAL, "$1"))
 
 
-# entity labels that may be shown
+# fixed values: entity labels that may be shown
 APPROVED = ["PERSON", "NORP", "FAC", "ORG", "GPE", "EVENT", "WORK_OF_ART", "LAW"]
 
 

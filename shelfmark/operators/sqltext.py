@@ -166,7 +166,7 @@ def resolve_tables(refs: DataFrame, catalog: DataFrame, name: str = "name") -> D
     return lookup_join(wanted, dim, ["_schema", "_table"], reread=True).drop("_schema", "_table")
 
 
-_MENTION = r"\b([A-Z0-9_]+)\.([A-Z0-9_]+)\b"
+_MENTION = r"([A-Z0-9_]+)\.([A-Z0-9_]+)"
 
 
 def mention_resolve(

@@ -25,6 +25,7 @@ def select_existing(t):
     return found
 
 
+# fixed values: steps of log10 and their labels, highest first
 _STEPS = [(5.5, "huge"), (5.0, "big"), (4.0, "medium")]
 
 

@@ -99,7 +99,12 @@ def text_clean(t):
     return t.spread("documents").select("doc_id", text.text_clean(odd).alias("clean"))
 
 
-@query("html_unescape")
+# the entities that occur in the pages; the ampersand also without its semicolon
+@query(
+    "html_unescape",
+    """SELECT page_id, regexp_replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'),
+       '&quot;', '"'), '&amp;?', '&', 'g') AS html FROM pages""",
+)
 def html_unescape(t):
     return t.spread("pages").select("page_id", text.html_unescape("html").alias("html"))
 

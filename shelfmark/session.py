@@ -41,9 +41,20 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/shelfmark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/shelfmark/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in a folder of this application."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application handed over; results read from it must be written before."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(root, True)
 
 
 def hand_over(df: DataFrame, name: str) -> DataFrame:

@@ -113,6 +113,17 @@ def test_deep_page_equals_sorted_slice(hot):
     assert [(r.v, r.id) for r in near.collect()] == order[100:107]
 
 
+@pytest.mark.parametrize("n", [1, 5, 2000])
+def test_top_rows_of_each_group(hot, n):
+    got = aggregates.top_n_per_group(hot, ["key"], [F.desc("v"), F.asc("id")], n)
+    want, seen = [], {}
+    for r in sorted(hot.collect(), key=lambda r: (-r.v, r.id)):
+        seen[r.key] = seen.get(r.key, 0) + 1
+        if seen[r.key] <= n:
+            want.append((r.id, r.key, r.v, seen[r.key]))
+    assert rows(got) == sorted(want, key=repr)
+
+
 def test_all_but_the_first_copy(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 4)], "k string, id int")
     kept = aggregates.duplicate_keys(df, ["k"], keep="first", order=["id"])

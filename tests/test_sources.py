@@ -1,10 +1,11 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from shelfmark.session import scratch_path, shared_dir
+from shelfmark.session import clear_scratch, hand_over, scratch_path, shared_dir
 from shelfmark.sources import readers, writers
 
 
@@ -101,3 +102,11 @@ def test_shared_folder_is_the_one_configured(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         assert shared_dir(spark) == configured
+
+
+def test_what_was_handed_over_can_be_deleted(spark):
+    kept = hand_over(spark.range(3), "numbers")
+    folder = Path(kept.inputFiles()[0].removeprefix("file:")).parent
+    assert kept.count() == 3 and folder.exists()
+    clear_scratch(spark)
+    assert not folder.exists()
