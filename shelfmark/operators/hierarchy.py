@@ -19,50 +19,65 @@ def ancestry(
 ) -> DataFrame:
     """Add the ``trail`` of each node from the top down to itself, and a ``status``.
 
-    ``trail`` is an array of structs with the labels and the id. Each round joins every open
-    node with its nearest ancestor not yet in the trail and takes over that ancestor's whole
-    trail, so trails double and the rounds grow with the logarithm of the depth. Parents with
-    many children are hot join keys and are salted. Status is ``ok``, ``missing parent`` or
-    ``cycle``; in the latter case the trail stops where it would repeat.
+    ``trail`` is an array of structs with the labels and the id. Nodes with children come
+    first: each round joins the open ones with their nearest ancestor not yet in the trail and
+    takes over that ancestor's whole trail, so trails double and the rounds grow with the
+    logarithm of the depth. All other nodes, the bulk of most trees, are joined once to their
+    parent. Parents with many children are hot join keys, which ``lookup_join`` deals with.
+    Status is ``ok``, ``missing parent`` or ``cycle``; in the latter case the trail stops where
+    it would repeat.
     """
     own = F.struct(*[F.col(label) for label in labels], F.col(node_id).alias("node"))
-    state = hand_over(
-        nodes.select(
-            F.col(node_id).alias("node"),
-            F.col(parent).alias("up"),
-            F.array(own).alias("trail"),
-            F.lit("ok").alias("status"),
-        ),
-        "ancestry",
+    start = nodes.select(
+        F.col(node_id).alias("node"),
+        F.col(parent).alias("up"),
+        F.array(own).alias("trail"),
+        F.lit("ok").alias("status"),
+    )
+    parents = start.select(F.col("up").alias("node"), F.lit(True).alias("has_children"))
+    marked = hand_over(
+        start.join(parents.where("node is not null").distinct(), "node", "left"), "ancestry"
     )
+    state = marked.where("has_children").drop("has_children")
     while not state.where("up is not null").isEmpty():
-        above = state.select(
-            F.col("node").alias("up"),
-            F.col("up").alias("next_up"),
-            F.col("trail").alias("upper"),
-            F.col("status").alias("upper_status"),
-        )
-        open_nodes = state.where("up is not null")
-        met = lookup_join(open_nodes, above, "up", spread_by=["node"])
-        trail = F.concat("upper", "trail")
-        repeats = F.array_contains(F.transform("trail", lambda t: t["node"]), F.col("next_up"))
-        stepped = met.select(
-            "node",
-            "next_up",
-            F.when(F.col("upper").isNull(), F.col("trail")).otherwise(trail).alias("trail"),
-            F.when(F.col("upper").isNull(), F.lit("missing parent"))
-            .otherwise(F.col("upper_status"))
-            .alias("status"),
-        ).select(
-            "node",
-            F.when((F.col("status") == "ok") & ~F.coalesce(repeats, F.lit(False)), F.col("next_up"))
-            .alias("up"),
-            "trail",
-            F.when(repeats, F.lit("cycle")).otherwise(F.col("status")).alias("status"),
+        state = hand_over(
+            state.where("up is null").unionByName(
+                _extended(state.where("up is not null"), state)
+            ),
+            "ancestry",
         )
-        state = hand_over(state.where("up is null").unionByName(stepped), "ancestry")
+    leaves = marked.where("has_children is null").drop("has_children")
+    found = state.unionByName(leaves.where("up is null")).unionByName(
+        _extended(leaves.where("up is not null"), state)
+    )
     return nodes.join(
-        state.select(F.col("node").alias(node_id), "trail", "status"), node_id
+        found.select(F.col("node").alias(node_id), "trail", "status"), node_id
+    )
+
+
+def _extended(open_nodes: DataFrame, state: DataFrame) -> DataFrame:
+    """Nodes with the trail of the ancestor ``up`` put before their own."""
+    above = state.select(
+        F.col("node").alias("up"),
+        F.col("up").alias("next_up"),
+        F.col("trail").alias("upper"),
+        F.col("status").alias("upper_status"),
+    )
+    lost = F.col("upper").isNull()
+    stepped = lookup_join(open_nodes, above, "up", spread_by=["node"]).select(
+        "node",
+        "next_up",
+        F.when(lost, F.col("trail")).otherwise(F.concat("upper", "trail")).alias("trail"),
+        F.when(lost, F.lit("missing parent")).otherwise(F.col("upper_status")).alias("status"),
+    )
+    repeats = F.coalesce(
+        F.array_contains(F.transform("trail", lambda t: t["node"]), F.col("next_up")), F.lit(False)
+    )
+    return stepped.select(
+        "node",
+        F.when((F.col("status") == "ok") & ~repeats, F.col("next_up")).alias("up"),
+        "trail",
+        F.when(repeats, F.lit("cycle")).otherwise(F.col("status")).alias("status"),
     )
 
 
