@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # words are what lies between these characters
 BLANKS = r"[\x20\x09-\x0D]"
+BLANK_CHARS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 ROW = "_row"
 

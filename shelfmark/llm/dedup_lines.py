@@ -7,17 +7,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import lower_ascii, nest, unnest
+from shelfmark.llm.common import BLANK_CHARS, lower_ascii, nest, unnest
 from shelfmark.session import hand_over
 
-_BLANKS = " \t\n\x0b\x0c\r"
 KEY = ["h1", "h2"]
 RUN = "h1 bigint, h2 bigint, n_docs bigint, keeper bigint"
 
 
 def line_key(line: Column) -> Column:
     """A line without blanks at its ends, A-Z lower-cased."""
-    return lower_ascii(F.btrim(line, F.lit(_BLANKS)))
+    return lower_ascii(F.btrim(line, F.lit(BLANK_CHARS)))
 
 
 def hashes(key: Column) -> list[Column]:

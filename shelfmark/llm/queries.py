@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm import (
     chat,
     dedup_lines,
+    jaccard_join,
     langid,
     mixing,
     quality_rules,
@@ -36,6 +37,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@_register("op2_jaccard_join")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.linked_components(_table(spark, folder, "documents"))
+
+
 @_register("op3_language_id")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
