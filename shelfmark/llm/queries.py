@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm import (
     chat,
+    decontaminate,
     dedup_lines,
     jaccard_join,
     langid,
@@ -37,6 +38,57 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+_OP1 = """
+WITH docs AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), items AS (
+  SELECT DISTINCT item_id, w, len(w) AS length, least(len(w), 5) AS n FROM (
+    SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+    FROM benchmark) WHERE len(w) > 0
+), item_shingles AS (
+  SELECT item_id, length, n, p, array_to_string(w[p + 1 : p + n], ' ') AS s
+  FROM (SELECT *, unnest(range(length - n + 1)) AS p FROM items)
+), doc_shingles AS (
+  SELECT doc_id, size, n, pos, array_to_string(w[pos + 1 : pos + n], ' ') AS s
+  FROM (SELECT doc_id, w, len(w) AS size, n, unnest(range(len(w) - n + 1)) AS pos
+    FROM docs, (SELECT DISTINCT n FROM items) sizes WHERE len(w) >= n)
+), windows AS (
+  SELECT DISTINCT doc_id, item_id, i.length, i.n, greatest(0, least(pos - p, size - i.length)) AS start
+  FROM doc_shingles d JOIN (SELECT DISTINCT length, n, p, s FROM item_shingles) a USING (n, s)
+  JOIN items i ON i.length = a.length AND i.n = a.n
+), in_window AS (
+  SELECT v.doc_id, v.item_id, v.start, v.length, d.s, count(*) AS c
+  FROM windows v JOIN doc_shingles d ON d.doc_id = v.doc_id AND d.n = v.n
+    AND d.pos >= v.start AND d.pos <= v.start + v.length - v.n
+  GROUP BY ALL
+), in_item AS (
+  SELECT item_id, s, count(*) AS c FROM item_shingles GROUP BY ALL
+), sizes AS (
+  SELECT doc_id, item_id, start, length, sum(c) AS total FROM in_window GROUP BY ALL
+), common AS (
+  SELECT v.doc_id, v.item_id, v.start, v.length, sum(least(v.c, i.c)) AS shared
+  FROM in_window v JOIN in_item i ON i.item_id = v.item_id AND i.s = v.s GROUP BY ALL
+), judged AS (
+  SELECT doc_id, item_id, start, length,
+    shared / (total + (SELECT sum(c) FROM in_item i WHERE i.item_id = c.item_id) - shared) AS similarity
+  FROM common c JOIN sizes USING (doc_id, item_id, start, length)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) AS r
+  FROM judged WHERE similarity >= 0.8
+)
+SELECT doc_id, item_id, CAST(start AS INT) AS start, CAST(length AS INT) AS length, similarity
+FROM placed WHERE r = 1
+"""
+
+
+@_register("op1_decontaminate", _OP1)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 @_register("op2_jaccard_join")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.linked_components(_table(spark, folder, "documents"))
