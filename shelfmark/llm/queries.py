@@ -15,6 +15,7 @@ from shelfmark.llm import (
     langid,
     mixing,
     quality_rules,
+    secrets,
     sharding,
     toxicity,
 )
@@ -234,6 +235,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_register("op8_secret_scan")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(_table(spark, folder, "documents"))
+
+
 @_register("op9_quality_rules")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
