@@ -174,7 +174,7 @@ def apply_rules(
     carry: Sequence[str] | None = None,
     trees: int = 200,
     sample: int = 32,
-    keep: float = 0.998,
+    keep: float = 0.995,
     min_words: int = 10,
     most_repeated: int = 20,
     seed: int = 0,

@@ -81,8 +81,8 @@ def _hashed(texts: pd.Series) -> pd.Series:
 def fit(
     labelled: DataFrame,
     docs: int = 16_000,
-    epochs: int = 3,
-    alpha: float = 1.0,
+    epochs: int = 5,
+    alpha: float = 2.0,
     beta: float = 1.0,
     l1: float = 4.0,
     l2: float = 0.1,
