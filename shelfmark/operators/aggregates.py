@@ -170,17 +170,15 @@ def position_in_group(
 def top_n_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int
 ) -> DataFrame:
-    """First ``n`` rows of each group.
+    """First ``n`` rows of each group, with their ``rank``.
 
     The filter on the row number limits each input partition to ``n`` rows per group before
-    the shuffle. Spark does so up to a threshold for ``n``; beyond it, crowded groups are
-    numbered over several tasks.
+    the shuffle; Spark does so for ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``,
+    which ``build_session`` raises.
     """
-    limit = df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    if n > int(limit):
-        return number_in_groups(df, keys, order, "rank").where(F.col("rank") <= n)
-    rank = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= n)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    first = df.withColumn("rank", rank).where(F.col("rank") <= n)
+    return first.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def latest_per_key(

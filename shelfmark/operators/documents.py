@@ -238,7 +238,7 @@ def broken_refs(
         .withColumn("otype", F.substring_index("_key", ":", 1))
         .where(F.col("otype").isin(*dims))
     )
-    lost = lookup_join(refs, reference_dim(dims).select("_key"), "_key", "left_anti", reread=True)
+    lost = lookup_join(refs, reference_dim(dims).select("_key"), "_key", "left_anti")
     return lost.groupBy(row_id, "otype").agg(F.count("*").alias("broken"))
 
 
@@ -251,7 +251,7 @@ def media_files(
     ).select(row_id, "e.src")
     named = images.where("src is not null").withColumn(name, F.substring_index("src", "/", -1))
     have = stored.select(name).distinct().withColumn("stored", F.lit(True))
-    return lookup_join(named, have, name, reread=True).withColumn("stored", F.coalesce("stored", F.lit(False)))
+    return lookup_join(named, have, name).withColumn("stored", F.coalesce("stored", F.lit(False)))
 
 
 def strip_internal_links(df: DataFrame, html: str) -> DataFrame:

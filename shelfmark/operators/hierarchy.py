@@ -64,7 +64,7 @@ def _extended(open_nodes: DataFrame, state: DataFrame) -> DataFrame:
         F.col("status").alias("upper_status"),
     )
     lost = F.col("upper").isNull()
-    stepped = lookup_join(open_nodes, above, "up", spread_by=["node"]).select(
+    stepped = lookup_join(open_nodes, above, "up").select(
         "node",
         "next_up",
         F.when(lost, F.col("trail")).otherwise(F.concat("upper", "trail")).alias("trail"),
@@ -81,6 +81,16 @@ def _extended(open_nodes: DataFrame, state: DataFrame) -> DataFrame:
     )
 
 
+def orphans(nodes: DataFrame, node_id: str, parent: str) -> DataFrame:
+    """Objects whose parent is not there, and all that hang below such objects.
+
+    ``reason`` is ``parent missing`` for the former, ``parent left out`` for the latter.
+    """
+    found = ancestry(nodes, node_id, parent).where("status = 'missing parent'")
+    reason = F.when(F.size("trail") == 1, F.lit("parent missing")).otherwise("parent left out")
+    return found.withColumn("reason", reason).drop("trail", "status")
+
+
 def folder_path(
     nodes: DataFrame, node_id: str, parent: str, name: str, sep: str = "//"
 ) -> DataFrame:
@@ -236,16 +246,17 @@ def remap_children(
 ) -> DataFrame:
     """Child links that the target still lacks, with the target's ids, in parts of ``size``.
 
-    Both sides have ``id``, the title and an array ``children`` of ids. Of a title that the
-    target holds more than once, the lowest id counts.
+    Both sides have ``id``, the title and an array ``children`` of ids; an object with many
+    children may have several rows. Of a title that the target holds more than once, the lowest
+    id counts.
     """
-    titles = source.select(F.col("id").alias("child"), F.col(on).alias("_child_title"))
+    titles = source.select(F.col("id").alias("child"), F.col(on).alias("_child_title")).distinct()
     edges = source.select(F.col(on).alias("_parent_title"), F.explode("children").alias("child"))
     named = lookup_join(edges, titles, "child", "inner")
     dim = target.select(F.col(on).alias("_title"), F.col("id").alias("_found"))
     for side in ("parent", "child"):
         named = policy_lookup(
-            named.withColumnRenamed(f"_{side}_title", "_title"), dim, "_title", "_found", "_found", reread=True
+            named.withColumnRenamed(f"_{side}_title", "_title"), dim, "_title", "_found", "_found"
         ).drop("_title").withColumnRenamed("_found", f"target_{side}")
     linked = target.select(
         F.col("id").alias("target_parent"), F.explode("children").alias("target_child")

@@ -23,10 +23,11 @@ def catalog_export(
 ) -> DataFrame:
     """Columns of the catalog with table, schema and source; excluded and deleted ones left out.
 
-    The filters sit on the inputs. The sort ends with the unique attribute id.
+    The filters sit on the inputs; schemas name their source, so three joins do. The sort ends
+    with the unique attribute id.
     """
     sources = ds.where("not deleted").select("ds_id", "ds_title", "ds_type")
-    schemas = schema.where("not excluded").select("schema_id", "schema_name")
+    schemas = schema.where("not excluded").select("schema_id", "schema_name", "ds_id")
     tables = table.where("not excluded").select("table_id", "table_name", "schema_id")
     columns = attribute.where("not excluded").drop("excluded")
     return (
@@ -51,24 +52,7 @@ def new_only(
     return lookup_join(candidates.withColumn("_key", key), known, "_key", "left_anti").drop("_key")
 
 
-def orphans(nodes: DataFrame, node_id: str, parent: str) -> DataFrame:
-    """Objects whose parent is not there, and the children of such objects.
-
-    ``reason`` is ``parent missing`` for the former, ``parent left out`` for the latter.
-    """
-    known = nodes.select(F.col(node_id).alias(parent))
-    hanging = nodes.where(F.col(parent).isNotNull())
-    missing = hand_over(lookup_join(hanging, known, parent, "left_anti"), "orphans")
-    lost = missing.select(F.col(node_id).alias(parent))
-    below = lookup_join(hanging, lost, parent, "left_semi")
-    return missing.withColumn("reason", F.lit("parent missing")).unionByName(
-        below.withColumn("reason", F.lit("parent left out"))
-    )
-
-
-def unique_lookup(
-    df: DataFrame, dim: DataFrame, on: str, value: str, reread: bool = False
-) -> DataFrame:
+def unique_lookup(df: DataFrame, dim: DataFrame, on: str, value: str) -> DataFrame:
     """Add ``value`` where exactly one row of ``dim`` matches, else null."""
     single = (
         dim.where(F.col(on).isNotNull())
@@ -77,7 +61,7 @@ def unique_lookup(
         .where("_n = 1")
         .drop("_n")
     )
-    return lookup_join(df, single, on, reread=reread)
+    return lookup_join(df, single, on)
 
 
 def policy_lookup(
@@ -87,12 +71,11 @@ def policy_lookup(
     value: str,
     order: str,
     pick: str = "first",
-    reread: bool = False,
 ) -> DataFrame:
     """Add ``value`` of the first or last match by ``order``."""
     best = F.min_by if pick == "first" else F.max_by
     chosen = dim.where(F.col(on).isNotNull()).groupBy(on).agg(best(value, order).alias(value))
-    return lookup_join(df, chosen, on, reread=reread)
+    return lookup_join(df, chosen, on)
 
 
 def id_remap(df: DataFrame, src_dim: DataFrame, dst_dim: DataFrame, bridge: str) -> DataFrame:
@@ -101,7 +84,7 @@ def id_remap(df: DataFrame, src_dim: DataFrame, dst_dim: DataFrame, bridge: str)
     Ids and ``bridge`` values found twice give no new id.
     """
     with_bridge = unique_lookup(df, src_dim.select("old_id", bridge), "old_id", bridge)
-    return unique_lookup(with_bridge, dst_dim.select(bridge, "new_id"), bridge, "new_id", reread=True)
+    return unique_lookup(with_bridge, dst_dim.select(bridge, "new_id"), bridge, "new_id")
 
 
 def offset_ids(df: DataFrame, order: Sequence[str | Column], offset: int) -> DataFrame:
@@ -132,7 +115,7 @@ def membership_resolve(members: DataFrame, users: DataFrame, size: int = 10_000)
     """Per group the ids of its known users, in parts of ``size``, and the count of unknown ones."""
     dim = users.groupBy("user").agg(F.min("user_id").alias("user_id"))
     wanted = members.select("group", "user").distinct()
-    found = hand_over(lookup_join(wanted, dim, "user", reread=True), "members")
+    found = hand_over(lookup_join(wanted, dim, "user"), "members")
     known = found.where("user_id is not null")
     lists = joined_lists(known, ["group"], ["user_id"], F.col("user_id"), size, "user_ids")
     unknown = found.groupBy("group").agg(F.count_if(F.col("user_id").isNull()).alias("unknown"))

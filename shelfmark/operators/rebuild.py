@@ -43,7 +43,7 @@ def resolve_keys(
     wanted = df.select(
         row_id, F.explode(F.array_distinct(F.array_compact(keys))).alias(key)
     )
-    found = lookup_join(wanted, dim.select(key, value), key, "inner", reread=True)
+    found = lookup_join(wanted, dim.select(key, value), key, "inner")
     return found.groupBy(row_id).agg(
         F.map_from_entries(F.collect_list(F.struct(key, value))).alias("_resolved")
     )

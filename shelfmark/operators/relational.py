@@ -79,14 +79,19 @@ def coerce_clean(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
 def fill_defaults(
     df: DataFrame, defaults: Mapping[str, object], as_of: dt.datetime | None = None
 ) -> DataFrame:
-    """Replace nulls by a value, another column's value, or (for ``now``) the run time."""
+    """Replace nulls by a value or another column's value.
 
-    def default(value: object) -> Column:
+    In a date or timestamp column ``now`` stands for ``as_of``, or the time of the run.
+    """
+
+    def default(column: str, value: object) -> Column:
         if isinstance(value, Column):
             return value
-        return F.lit(as_of if value == "now" else value)
+        if value == "now" and df.schema[column].dataType.typeName() in ("date", "timestamp"):
+            return F.current_timestamp() if as_of is None else F.lit(as_of)
+        return F.lit(value)
 
-    return df.withColumns({c: F.coalesce(F.col(c), default(v)) for c, v in defaults.items()})
+    return df.withColumns({c: F.coalesce(F.col(c), default(c, v)) for c, v in defaults.items()})
 
 
 def prune_empty(df: DataFrame, cols: Sequence[str], how: str = "all") -> DataFrame:
@@ -107,11 +112,13 @@ def top_k(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:
 def page_slice(
     df: DataFrame, order: Sequence[str | Column], limit: int, offset: int = 0
 ) -> DataFrame:
-    """Page of a sorted result. Deep pages are cut by row number, not gathered in one task."""
-    if offset + limit <= 10_000:
-        return df.orderBy(*as_columns(order)).offset(offset).limit(limit)
+    """Page of a sorted result, in its order.
+
+    The page is cut by row number, so the rows before it are never gathered in one task.
+    """
     numbered = number_rows(df, order, "_rn")
-    return numbered.where(F.col("_rn").between(offset + 1, offset + limit)).drop("_rn")
+    page = numbered.where(F.col("_rn").between(offset + 1, offset + limit))
+    return page.orderBy("_rn").drop("_rn")
 
 
 def union_loose(*dfs: DataFrame) -> DataFrame:

@@ -163,7 +163,7 @@ def resolve_tables(refs: DataFrame, catalog: DataFrame, name: str = "name") -> D
         .groupBy("_schema", "_table")
         .agg(F.min("key").alias("key"))
     )
-    return lookup_join(wanted, dim, ["_schema", "_table"], reread=True).drop("_schema", "_table")
+    return lookup_join(wanted, dim, ["_schema", "_table"]).drop("_schema", "_table")
 
 
 _MENTION = r"([A-Z0-9_]+)\.([A-Z0-9_]+)"
@@ -214,7 +214,7 @@ def text_dictionary_match(
     dim = catalog.select(
         F.lower("schema").alias("schema"), F.lower("table").alias("table"), "key"
     )
-    return lookup_join(refs, dim, ["schema", "table"], "inner", reread=True)
+    return lookup_join(refs, dim, ["schema", "table"], "inner")
 
 
 def xml_task_lineage(files: DataFrame, content: str = "content") -> tuple[DataFrame, DataFrame]:

@@ -13,13 +13,12 @@ TERMS = """SELECT term, count(*) AS count FROM
 
 @query("thread_terms", TERMS.format(table="conversations"))
 def thread_terms(t):
-    posts = X.threads(t).select(F.explode("posts").alias("p"))
-    return A.term_counts(posts, "p.com")
+    return A.term_counts(t.conversations, "text")
 
 
 @query("term_counts", TERMS.format(table="documents"))
 def term_counts(t):
-    return A.term_counts(t.spread("documents"), "text")
+    return A.term_counts(t.documents, "text")
 
 
 @query(
@@ -27,7 +26,7 @@ def term_counts(t):
     TERMS.format(table="documents").replace("GROUP BY", "WHERE term <> '' GROUP BY"),
 )
 def term_counts_words(t):
-    return A.term_counts(t.spread("documents"), "text", drop_empty=True)
+    return A.term_counts(t.documents, "text", drop_empty=True)
 
 
 @query("count_by", "SELECT event_type, count(*) / 1e6 AS count FROM events GROUP BY event_type")
@@ -87,13 +86,14 @@ def duplicate_rows(t):
 
 @query(
     "string_agg",
-    """SELECT c_mktsegment, 0 AS part, string_agg(c_name, '; ' ORDER BY c_name) AS c_name
-       FROM customer GROUP BY 1""",
+    """SELECT c_mktsegment, (rn - 1) // 20 AS part, string_agg(c_name, '; ' ORDER BY rn) AS c_name
+       FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_name) AS rn FROM customer)
+       GROUP BY 1, 2""",
 )
 def string_agg(t):
     return A.string_agg(
         t.customer.select("c_mktsegment", "c_name"),
-        ["c_mktsegment"], "c_name", "; ", ["c_name"], size=1_000_000,
+        ["c_mktsegment"], "c_name", "; ", ["c_name"], size=20,
     )
 
 
@@ -140,7 +140,7 @@ def first_per_group(t):
        WHERE capture <> '' GROUP BY 1""",
 )
 def message_frequency(t):
-    return A.message_frequency(t.spread("documents"), "text", r"(\w+) (?:the|les|die)[ .,]")
+    return A.message_frequency(t.documents, "text", r"(\w+) (?:the|les|die)[ .,]")
 
 
 @query(
@@ -204,16 +204,14 @@ def thread_root(t):
 
 @query(
     "thread_root_nested",
-    """SELECT conv_id * 1000 + turn AS no, conv_id * 1000 AS ori_post,
+    """SELECT conv_id * 4294967296 + turn AS no,
+       min(conv_id * 4294967296 + turn) OVER (PARTITION BY conv_id) AS ori_post,
        count(*) OVER (PARTITION BY conv_id) AS replies_top FROM conversations""",
 )
 def thread_root_nested(t):
-    threads = X.threads(t).select(
-        F.col("posts")[0]["no"].alias("ori_post"),
-        F.size("posts").cast("bigint").alias("replies_top"),
-        F.explode("posts").alias("p"),
-    )
-    return threads.select("p.no", "ori_post", "replies_top")
+    posts = X.threads(t).select("conv_id", F.explode("posts").alias("p")).select("conv_id", "p.no")
+    found = A.thread_root(posts, "conv_id", "no")
+    return found.select("no", F.col("root").alias("ori_post"), F.col("thread_size").alias("replies_top"))
 
 
 @query(

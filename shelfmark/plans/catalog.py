@@ -292,9 +292,10 @@ def dq_evaluate(t):
     """WITH lost AS (SELECT n_regionkey AS ds, lower(n_name) || '.t' || c_custkey AS tb
                      FROM customer JOIN nation ON c_nationkey = n_nationkey
                      WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'))
-    SELECT ds, 0 AS part, 'WARNING' AS flag_type, CASE WHEN ds < 2 THEN 'update' ELSE 'create' END AS op,
-      (CASE WHEN ds < 2 THEN 'Old news. ' ELSE '' END) || 'Missing tables: ' || string_agg(tb, ', ' ORDER BY tb) AS flag_reason
-    FROM lost GROUP BY ds""",
+    SELECT ds, (rn - 1) // 10 AS part, 'WARNING' AS flag_type, CASE WHEN ds < 2 THEN 'update' ELSE 'create' END AS op,
+      (CASE WHEN ds < 2 AND (rn - 1) // 10 = 0 THEN 'Old news. ' ELSE '' END) || 'Missing tables: '
+      || string_agg(tb, ', ' ORDER BY rn) AS flag_reason
+    FROM (SELECT *, row_number() OVER (PARTITION BY ds ORDER BY tb) AS rn FROM lost) GROUP BY ds, (rn - 1) // 10""",
 )
 def flag_tables(t):
     urgent = t.orders.where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("id"))
@@ -304,7 +305,7 @@ def flag_tables(t):
     flags = t.region.where("r_regionkey < 2").select(
         F.col("r_regionkey").alias("ds"), F.lit("Old news. ").alias("flag_reason")
     )
-    return Q.flag_tables(lost, flags, size=1_000_000)
+    return Q.flag_tables(lost, flags, size=10)
 
 
 def _schema_docs(t):

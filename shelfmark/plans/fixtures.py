@@ -129,7 +129,7 @@ def articles(t: Tables) -> DataFrame:
     ).otherwise(ref)
     key = F.col("o_orderkey").cast("string")
     return (
-        t.spread("orders").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("o_orderkey").alias("id"),
@@ -228,7 +228,7 @@ SQL_TEXT = f"""CASE event_id % 6
 
 def queries(t: Tables) -> DataFrame:
     """Query texts: one per event."""
-    return t.spread("events").select("event_id", "user_id", "event_type", "ts", _sql_text().alias("sql_text"))
+    return t.events.select("event_id", "user_id", "event_type", "ts", _sql_text().alias("sql_text"))
 
 
 QUERIES = f"""q AS (SELECT event_id, user_id, event_type, ts, {SQL_TEXT} AS sql_text FROM events)"""
@@ -268,9 +268,9 @@ log AS (
 
 
 def threads(t: Tables, per_row: int = 64) -> DataFrame:
-    """Threads as arrays of posts, cut after ``per_row`` turns."""
+    """Threads as arrays of posts; a long one takes a row for every ``per_row`` turns."""
     post = F.struct(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("no"),
+        (F.col("conv_id") * F.lit(1 << 32) + F.col("turn")).alias("no"),
         "turn", "role", F.col("text").alias("com"),
     )
     return (
@@ -297,7 +297,7 @@ def dataflows(t: Tables) -> DataFrame:
         end("table", "s", "l_suppkey"),
     )
     longer = F.concat(three, F.array(end("dataflow", "api/x", "l_orderkey"), end("table", "o", "l_orderkey")))
-    return t.spread("lineitem").select(
+    return t.lineitem.select(
         F.when(F.col("l_orderkey") % 5 == 0, longer).otherwise(three).alias("path")
     )
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators import hierarchy as H
 from shelfmark.operators import sync
-from shelfmark.operators.aggregates import duplicate_keys
+from shelfmark.operators.aggregates import collect_children, duplicate_keys
 from shelfmark.plans import fixtures as X
 from shelfmark.plans.registry import query
 from shelfmark.session import hand_over
@@ -170,19 +170,23 @@ def postorder(t):
              c_custkey + 9000 AS target_child, c_mktsegment = 'BUILDING' AS linked
       FROM customer JOIN nation ON c_nationkey = n_nationkey
       WHERE c_mktsegment <> 'MACHINERY')
-    SELECT target_parent, 0 AS part, string_agg(target_child, ',' ORDER BY target_child) AS new_children
-    FROM pairs WHERE NOT linked GROUP BY 1""",
+    SELECT target_parent, (rn - 1) // 5 AS part, string_agg(target_child, ',' ORDER BY rn) AS new_children
+    FROM (SELECT *, row_number() OVER (PARTITION BY target_parent ORDER BY target_child) AS rn
+          FROM pairs WHERE NOT linked) GROUP BY 1, 2""",
 )
 def remap_children(t):
     def side(customers, parent_shift, child_shift, linked):
-        own = F.when(linked, F.col("c_custkey") + child_shift)
-        parents = t.nation.join(customers, F.col("n_nationkey") == F.col("c_nationkey")).groupBy(
+        none = F.array().cast("array<bigint>")
+        own = customers.where(linked).select("c_nationkey", (F.col("c_custkey") + child_shift).alias("child"))
+        lists = collect_children(own, "c_nationkey", "child", size=20)
+        parents = t.nation.join(lists, F.col("n_nationkey") == F.col("c_nationkey"), "left").select(
             (F.col("n_nationkey") + parent_shift).cast("bigint").alias("id"),
             F.col("n_name").alias("title"),
-        ).agg(F.array_sort(F.collect_list(own)).alias("children"))
+            F.coalesce("children", none).alias("children"),
+        )
         leaves = customers.select(
             (F.col("c_custkey") + child_shift).alias("id"), F.col("c_name").alias("title"),
-            F.array().cast("array<bigint>").alias("children"),
+            none.alias("children"),
         )
         return hand_over(parents.unionByName(leaves), "articles")
 
@@ -190,7 +194,7 @@ def remap_children(t):
     target = side(
         t.customer.where("c_mktsegment <> 'MACHINERY'"), 1000, 9000, F.col("c_mktsegment") == "BUILDING"
     )
-    new = H.remap_children(source, target, "title", size=1_000_000)
+    new = H.remap_children(source, target, "title", size=5)
     return new.withColumn("new_children", F.array_join("new_children", ","))
 
 

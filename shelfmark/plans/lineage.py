@@ -115,9 +115,9 @@ def stream_query_log_query(t):
     audit = X.audit(t)
     audit.write.json(source)
     audit.write.mode("append").json(source)  # every file is delivered twice
-    stream = stream_query_log(t.spark, source, X.AUDIT_SCHEMA, sink, checkpoint, lateness="365 days")
+    stream = stream_query_log(t.spark, source, X.AUDIT_SCHEMA, sink, checkpoint)
     stream.awaitTermination()
-    return t.spark.read.parquet(sink).drop("event_ts", "file_no")
+    return t.spark.read.parquet(sink).drop("event_ts", "event_key", "file_no")
 
 
 # the statements of each text: comments and blank ones are left out

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from shelfmark.operators import hierarchy as H
 from shelfmark.operators import lookups as L
 from shelfmark.operators import sqltext
 from shelfmark.plans import fixtures as X
@@ -21,11 +22,11 @@ def left_join_attrs(t):
 
 @query(
     "catalog_export",
-    """SELECT CAST(n_regionkey AS BIGINT) AS ds_id, r_name AS ds_title, o_orderpriority AS ds_type,
+    """SELECT CAST(r_regionkey AS BIGINT) AS ds_id, r_name AS ds_title, 'x' AS ds_type,
        c_custkey AS schema_id, c_name AS schema_name, o_orderkey AS table_id,
        o_orderstatus AS table_name, l_linenumber AS position, l_partkey AS attribute_id
        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-       JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+       JOIN region ON c_nationkey % 5 = r_regionkey
        WHERE r_regionkey <> 3 AND c_mktsegment <> 'MACHINERY' AND o_orderstatus <> 'P'
          AND l_returnflag <> 'N'""",
 )
@@ -35,24 +36,18 @@ def catalog_export(t):
         "r_regionkey = 3 as deleted",
     )
     schema = t.customer.selectExpr(
-        "c_custkey as schema_id", "c_name as schema_name", "c_mktsegment = 'MACHINERY' as excluded"
+        "c_custkey as schema_id", "cast(c_nationkey % 5 as bigint) as ds_id", "c_name as schema_name",
+        "c_mktsegment = 'MACHINERY' as excluded",
     )
     table = t.orders.selectExpr(
         "o_orderkey as table_id", "o_orderstatus as table_name", "o_custkey as schema_id",
         "o_orderstatus = 'P' as excluded",
     )
-    parents = t.orders.join(t.customer, F.expr("o_custkey = c_custkey")).join(
-        t.nation, F.expr("c_nationkey = n_nationkey")
-    )
-    attribute = t.lineitem.join(parents, F.expr("l_orderkey = o_orderkey")).selectExpr(
-        "l_orderkey as table_id", "cast(n_regionkey as bigint) as ds_id", "o_orderpriority as kind",
-        "l_linenumber as position", "l_partkey as attribute_id", "l_returnflag = 'N' as excluded",
-    )
-    return (
-        L.catalog_export(ds, schema, table, attribute)
-        .withColumn("ds_type", F.col("kind"))
-        .drop("kind")
+    attribute = t.lineitem.selectExpr(
+        "l_orderkey as table_id", "l_linenumber as position", "l_partkey as attribute_id",
+        "l_returnflag = 'N' as excluded",
     )
+    return L.catalog_export(ds, schema, table, attribute)
 
 
 @query(
@@ -81,15 +76,16 @@ def new_only(t):
 
 @query(
     "orphans",
-    f"""WITH {X.nodes_sql(broken=True)},
+    f"""WITH RECURSIVE {X.nodes_sql(broken=True)},
     missing AS (SELECT * FROM nodes WHERE parent_folder IS NOT NULL
-                AND parent_folder NOT IN (SELECT external_id FROM nodes))
+                AND parent_folder NOT IN (SELECT external_id FROM nodes)),
+    below AS (SELECT * FROM nodes WHERE parent_folder IN (SELECT external_id FROM missing)
+              UNION ALL SELECT n.* FROM nodes n JOIN below b ON n.parent_folder = b.external_id)
     SELECT otype, external_id, name, parent_folder, 'parent missing' AS reason FROM missing
-    UNION ALL SELECT otype, external_id, name, parent_folder, 'parent left out' FROM nodes
-    WHERE parent_folder IN (SELECT external_id FROM missing)""",
+    UNION ALL SELECT otype, external_id, name, parent_folder, 'parent left out' FROM below""",
 )
 def orphans(t):
-    return L.orphans(X.nodes(t, broken=True), "external_id", "parent_folder")
+    return H.orphans(X.nodes(t, broken=True), "external_id", "parent_folder")
 
 
 @query(
@@ -177,12 +173,12 @@ def bidirectional_lookup(t):
 
 @query(
     "membership_resolve",
-    """SELECT o_orderpriority AS "group", 0 AS part,
-       string_agg(DISTINCT CASE WHEN c_custkey IS NOT NULL THEN lpad('' || c_custkey, 9, '0') END, ','
-                  ORDER BY CASE WHEN c_custkey IS NOT NULL THEN lpad('' || c_custkey, 9, '0') END) AS user_ids,
-       count(DISTINCT CASE WHEN c_custkey IS NULL THEN o_custkey END) AS unknown
-       FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal >= 0
-       GROUP BY 1""",
+    """WITH m AS (SELECT DISTINCT o_orderpriority AS g, o_custkey, c_custkey AS id
+                  FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal >= 0),
+    k AS (SELECT g, id, row_number() OVER (PARTITION BY g ORDER BY id) AS rn FROM m WHERE id IS NOT NULL),
+    parts AS (SELECT g, (rn - 1) // 50 AS part, string_agg(id, ',' ORDER BY rn) AS user_ids FROM k GROUP BY 1, 2),
+    lost AS (SELECT g, count(*) FILTER (id IS NULL) AS unknown FROM m GROUP BY g)
+    SELECT g AS "group", coalesce(part, 0) AS part, user_ids, unknown FROM lost LEFT JOIN parts USING (g)""",
 )
 def membership_resolve(t):
     name = lambda c: F.concat(F.lit("user"), F.col(c).cast("string"))
@@ -190,9 +186,8 @@ def membership_resolve(t):
     users = t.customer.where("c_acctbal >= 0").select(
         name("c_custkey").alias("user"), F.col("c_custkey").alias("user_id")
     )
-    resolved = L.membership_resolve(members, users, size=1_000_000)
-    ids = F.transform("user_ids", lambda i: F.lpad(i.cast("string"), 9, "0"))
-    return resolved.withColumn("user_ids", F.array_join(ids, ","))
+    resolved = L.membership_resolve(members, users, size=50)
+    return resolved.withColumn("user_ids", F.array_join("user_ids", ","))
 
 
 @query(

@@ -28,19 +28,6 @@ class Tables:
         return table
 
 
-    def spread(self, name: str, piece: int = 512 * 1024) -> DataFrame:
-        """A table for work that is heavy per row, dealt out if too few tasks would read it.
-
-        A file of one row group is read by one task. Such a table is dealt out over the
-        cores, at most one task per ``piece`` bytes; a table read by as many tasks as there
-        are cores stays as it is.
-        """
-        df = getattr(self, name)
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        wanted = min(self.spark.sparkContext.defaultParallelism, size // piece)
-        return df.repartition(wanted) if wanted > df.rdd.getNumPartitions() else df
-
-
 @dataclass(frozen=True)
 class Query:
     run: Callable[[Tables], DataFrame]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,6 +19,7 @@ def build_session(app: str = "shelfmark", master: str | None = None, **conf: str
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
         "spark.ui.enabled": "false",
         **conf,
     }
@@ -28,7 +31,8 @@ def build_session(app: str = "shelfmark", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a temporary folder of its own.
+    Only a local session without the setting gets a temporary folder of its own, which is
+    deleted when the program ends.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -36,6 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="shelfmark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder

@@ -57,28 +57,25 @@ SPLIT_ROWS = 10_000
 
 
 def crowded(df: DataFrame, keys: Sequence[str]) -> list[Row]:
-    """Groups with more rows than half a shuffle partition should hold, and ``_salts``, the
-    number of tasks each needs.
+    """Groups with more rows than half a shuffle partition should hold.
 
     Rows are counted on the map side first. No more than two groups per shuffle partition can
-    have that many rows, whatever the size of the table, so the list is short, and the salts
-    of all groups add up to less than three per partition.
+    have that many rows, whatever the size of the table, so the list is short.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     share = counted.agg(F.sum("_n") / F.lit(partitions)).scalar()
     return (
         counted.where((F.col("_n") * 2 > share) & (F.col("_n") >= SPLIT_ROWS))
-        .select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_salts"))
+        .select(*keys)
         .collect()
     )
 
 
 def _table_of(groups: list[Row], df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The crowded groups as a table, short enough to be broadcast."""
-    fields = [T.StructField(k, df.schema[k].dataType) for k in keys]
-    schema = T.StructType([*fields, T.StructField("_salts", T.IntegerType())])
-    return df.sparkSession.createDataFrame(groups, schema)
+    fields = [T.StructField(f"_g_{k}", df.schema[k].dataType) for k in keys]
+    return df.sparkSession.createDataFrame(groups, T.StructType(fields))
 
 
 def number_in_groups(
@@ -95,7 +92,7 @@ def number_in_groups(
     groups = crowded(df, keys)
     if not groups:
         return df.withColumn(name, in_group.cast("bigint"))
-    large = _table_of(groups, df, keys).drop("_salts").toDF(*[f"_g_{k}" for k in keys])
+    large = _table_of(groups, df, keys)
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
@@ -137,60 +134,18 @@ def _number_over_ranges(
     )
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the estimated size is within ``spark.sql.autoBroadcastJoinThreshold``."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(plan.stats().sizeInBytes()) <= limit
-
-
 def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str] | str,
-    how: str = "left",
-    spread_by: Sequence[str] | None = None,
-    reread: bool = False,
+    left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: str = "left"
 ) -> DataFrame:
-    """Equi-join for a ``left`` side that may have hot keys.
-
-    A ``right`` side that Spark broadcasts by its size needs no shuffle, so hot keys do no
-    harm. Else the keys of ``left`` are counted first, and if none is crowded the join stays as
-    it is. Rows of a crowded key are dealt over as many tasks as its count asks for, by a hash
-    of the columns ``spread_by`` (all by default); the matching rows of ``right`` are repeated
-    once per task. Rows with a null key match nothing and are dealt over all tasks. The hash,
-    unlike a random salt, is the same when a lost task is run again.
+    """Equi-join for a ``left`` side that may have hot keys: inner, left, semi or anti.
 
-    Counting reads ``left`` a second time. With ``reread`` it is written to the shared folder
-    once and read back twice, which suits a ``left`` that is costly to compute.
+    A ``right`` side that Spark broadcasts by its size needs no shuffle. Else adaptive execution
+    splits the rows of a hot key, null among them, over several tasks, which it can do for the
+    left side of these joins as long as nothing above needs the key's rows together.
     """
-    on = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(right):
-        return left.join(right, on, how)
-    if reread:
-        left = hand_over(left, "lookup")
-    groups = crowded(left, on)
-    if not groups:
-        return left.join(right, on, how)
-    if spread_by is None:
-        spread_by = [
-            f.name
-            for f in left.schema.fields
-            if not isinstance(f.dataType, T.MapType | T.VariantType)
-        ]
-    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = _table_of(groups, left, on).dropna(subset=on)
-    missing = F.lit(False)
-    for k in on:
-        missing = missing | F.col(k).isNull()
-    tasks = F.when(missing, F.lit(partitions)).otherwise(F.coalesce("_salts", F.lit(1)))
-    dealt = left.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread_by), tasks).cast("int")
-    )
-    repeated = right.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
-    )
-    return dealt.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"], how).drop("_salt")
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"{how}: the left side of this join cannot be split")
+    return left.join(right, [on] if isinstance(on, str) else list(on), how)
 
 
 def joined_lists(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -10,35 +10,55 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfmark.operators.querylog import query_log
 
 
+def _with_day(log: DataFrame) -> DataFrame:
+    """Adds the day, and a key by which a replayed event is known."""
+    whole = F.sha2(F.to_json(F.struct(*log.columns)), 256)
+    return log.withColumn("event_ts", F.to_timestamp("start_time")).withColumns(
+        {"day": F.to_date("event_ts"), "event_key": F.coalesce("event_id", whole)}
+    )
+
+
+def append_new(batch: DataFrame, sink: str) -> None:
+    """Append the events of a batch that the sink does not have.
+
+    An event always falls on the same day, so only the days that the batch touches are read.
+    A batch that is run again after a failure appends what is missing.
+    """
+    batch = batch.dropDuplicates(["day", "event_key"])
+    days = [r["day"] for r in batch.select("day").distinct().collect()]
+    dated = [d for d in days if d is not None]
+    touched = F.col("day").isin(dated) if dated else F.lit(False)
+    if None in days:
+        touched = touched | F.col("day").isNull()
+    held = batch.sparkSession.read.schema(batch.schema).parquet(sink).where(touched)
+    keys = held.select("event_key").distinct()
+    new = batch.join(keys, "event_key", "left_anti").select(*batch.columns)
+    new.write.mode("append").partitionBy("day").parquet(sink)
+
+
 def stream_query_log(
     spark: SparkSession,
     path: str,
     schema: T.StructType | str,
     sink: str,
     checkpoint: str,
-    lateness: str = "2 days",
     files_per_trigger: int = 1000,
 ) -> StreamingQuery:
-    """Append the started queries of new files to parquet folders by day.
+    """Append the started queries of new files to parquet folders by day, each event once.
 
-    Runs over all files that are there and stops; call it again for later files. An event that
-    comes again within ``lateness``, for example in a replayed file, is written once.
+    Runs over all files that are there and stops; call it again for later files. Nothing is
+    discarded for being late: files may come in any order, and what a replayed file repeats is
+    found in the sink, however long ago it was written. Events without an id are told apart by
+    their whole record.
     """
     arriving = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(path)
     )
-    log = (
-        query_log(arriving)
-        .withColumn("event_ts", F.to_timestamp("start_time"))
-        .withWatermark("event_ts", lateness)
-        .dropDuplicatesWithinWatermark(["event_id"])
-        .withColumn("day", F.to_date("event_ts"))
-    )
+    log = _with_day(query_log(arriving))
+    spark.createDataFrame([], log.schema).write.mode("append").partitionBy("day").parquet(sink)
     return (
-        log.writeStream.format("parquet")
-        .option("path", sink)
+        log.writeStream.foreachBatch(lambda batch, _: append_new(batch, sink))
         .option("checkpointLocation", checkpoint)
-        .partitionBy("day")
         .trigger(availableNow=True)
         .start()
     )

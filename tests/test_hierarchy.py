@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 
 from shelfmark.operators import hierarchy as H
-from shelfmark.operators.lookups import orphans
+from shelfmark.operators.hierarchy import orphans
 
 SCHEMA = "id string, parent string, name string"
 
@@ -96,7 +96,7 @@ def test_postorder(spark, seed):
 def test_orphans_and_their_children(spark, no_broadcast):
     nodes = tree(spark, [("a", None), ("b", "a"), ("r", "gone"), ("c", "r"), ("d", "c")])
     assert rows(orphans(nodes, "id", "parent"), "id", "reason") == [
-        ("c", "parent left out"), ("r", "parent missing"),
+        ("c", "parent left out"), ("d", "parent left out"), ("r", "parent missing"),
     ]
 
 

@@ -44,7 +44,7 @@ def test_stream_equals_batch_and_drops_replays(spark, tmp_path):
 
     def run():
         stream_query_log(spark, str(source), SCHEMA, str(sink), str(state)).awaitTermination()
-        return rows(spark.read.parquet(str(sink)).drop("event_ts", "day"))
+        return rows(spark.read.parquet(str(sink)).drop("event_ts", "event_key", "day"))
 
     (source / "a.json").write_text(json.dumps({"Records": RECORDS[:4]}))
     (source / "b.json").write_text(json.dumps({"Records": RECORDS[:2]}))
@@ -57,6 +57,20 @@ def test_stream_equals_batch_and_drops_replays(spark, tmp_path):
     assert sorted(p.name for p in sink.iterdir() if p.name.startswith("day")) == ["day=2024-01-01", "day=2024-01-02"]
 
 
+def test_late_files_lose_nothing(spark, tmp_path):
+    """Days in any order over several triggers, replays of old ones, and events without an id."""
+    source, sink, state = (tmp_path / n for n in ("in", "out", "state"))
+    source.mkdir()
+    no_id = [record(30, "a", day=3) | {"eventID": None}, record(31, "b", day=3) | {"eventID": None}]
+    files = [[record(1, day=20)], [record(2, day=19)], [record(3, day=1), *no_id], [record(4, day=2), *no_id]]
+    for n, records in enumerate([*files, files[0]]):
+        (source / f"{n}.json").write_text(json.dumps({"Records": records}))
+        stream = stream_query_log(spark, str(source), SCHEMA, str(sink), str(state), files_per_trigger=1)
+        stream.awaitTermination()
+    got = [r[0] for r in rows(spark.read.parquet(str(sink)), "event_id")]
+    assert sorted(got, key=str) == [None, None, "e1", "e2", "e3", "e4"]
+
+
 def test_executions_keep_empty_levels(spark):
     df = spark.createDataFrame(
         [(1, [(10, [(100, (7, "t", "/u")), (101, None)]), (11, [])]), (2, None)],
