@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import html
+import json
 from collections.abc import Sequence
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,10 +66,79 @@ def text_clean(column: str | Column) -> Column:
     return F.translate(folded, "’", "'")
 
 
-@F.pandas_udf(T.StringType())
-def html_unescape(text: pd.Series) -> pd.Series:
-    """Resolve HTML entities; the only function without a native counterpart."""
-    return text.map(html.unescape, na_action="ignore")
+def matches(text: str | Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
+def rejoin(text: str | Column, pattern: str, replacements: Column) -> Column:
+    """The text with its matches replaced one by one; all else is kept to the byte."""
+    return F.array_join(
+        F.flatten(
+            F.zip_with(
+                F.split(text, pattern, -1),
+                replacements,
+                lambda kept, new: F.array(kept, F.coalesce(new, F.lit(""))),
+            )
+        ),
+        "",
+    )
+
+
+ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+# names of the HTML standard; those without a semicolon also stand before other letters
+_NAMES = dict(html5)
+_OPEN_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+
+
+def _code_table() -> dict[str, str]:
+    """What numbers stand for that are no character of their own: those of the C1 block are read
+    as Windows-1252, as browsers do, control characters and non-characters vanish.
+    """
+    table = {0: "\ufffd"}
+    for n in range(0x80, 0xA0):
+        table[n] = bytes([n]).decode("cp1252", "ignore") or chr(n)
+    gone = [*range(1, 9), 0xB, *range(0xE, 0x20), 0x7F, *range(0xFDD0, 0xFDF0)]
+    gone += [plane << 16 | low for plane in range(17) for low in (0xFFFE, 0xFFFF)]
+    return {str(k): v for k, v in (table | dict.fromkeys(gone, "")).items()}
+
+
+def _lookup(table: dict[str, str]) -> Column:
+    """A literal map; folded into one constant before the query runs."""
+    return F.from_json(F.lit(json.dumps(table)), T.MapType(T.StringType(), T.StringType()))
+
+
+def _number(code: Column) -> Column:
+    """Character of a code point given as a number."""
+    in_range = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    wide = F.unhex(F.lpad(F.hex(F.when(in_range, code).otherwise(F.lit(0xFFFD).cast("bigint"))), 8, "0"))
+    return F.coalesce(F.element_at(_lookup(_code_table()), code.cast("string")), F.decode(wide, "UTF-32"))
+
+
+def _digits(text: Column, base: int) -> Column:
+    """Number of a text of digits; beyond every code point if it is too long."""
+    plain = F.regexp_replace(text, "^0+(?=.)", "")
+    return F.when(F.length(plain) > 8, F.lit(1 << 31)).otherwise(F.conv(plain, base, 10).cast("bigint"))
+
+
+def _resolved(entity: Column) -> Column:
+    name = F.substr(entity, F.lit(2))
+    opened = F.regexp_extract(name, "^(?:" + "|".join(_OPEN_NAMES) + ")", 0)
+    by_name = F.element_at(_lookup(_NAMES), name)
+    by_start = F.concat(F.element_at(_lookup(_NAMES), opened), F.substr(name, F.length(opened) + 1))
+    decimal = F.regexp_extract(entity, "^&#([0-9]+)", 1)
+    hexadecimal = F.regexp_extract(entity, "^&#[xX]([0-9a-fA-F]+)", 1)
+    return (
+        F.when(decimal != "", _number(_digits(decimal, 10)))
+        .when(hexadecimal != "", _number(_digits(hexadecimal, 16)))
+        .otherwise(F.coalesce(by_name, F.when(opened != "", by_start), entity))
+    )
+
+
+def html_unescape(column: str | Column) -> Column:
+    """Resolve named and numeric HTML entities, each once: ``&amp;lt;`` becomes ``&lt;``."""
+    col = F.col(column) if isinstance(column, str) else column
+    resolved = rejoin(col, ENTITY, F.transform(matches(col, ENTITY), _resolved))
+    return F.when(F.contains(col, F.lit("&")), resolved).otherwise(col)
 
 
 def truncate_label(column: str | Column, n: int = 25, prefix: str = "") -> Column:

@@ -8,25 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.html import html_table
+from shelfmark.functions.text import html_unescape, matches
 from shelfmark.functions.values import filter_label, first_elem
 from shelfmark.operators.lookups import mapping_join
-from shelfmark.operators.rebuild import matches, replace_resolved
+from shelfmark.operators.rebuild import replace_resolved
 from shelfmark.skew import lookup_join
 
 ANCHOR = r"(?is)<a\s[^>]*>.*?</a\s*>"
 INTERNAL = r"(?is)<a\s[^>]*data-otype[^>]*>([^<]+)</a\s*>"
 IMAGE = r"(?is)<img\s[^>]*>"
 
-# fixed values: entities that HTML writers escape; the ampersand has to be resolved last
+# fixed values: entities that HTML writers escape; the ampersand has to be escaped first
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 
 
-def unescape(text: Column) -> Column:
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
-
-
 def escape(text: Column) -> Column:
     for entity, char in reversed(ENTITIES):
         if char != "'":
@@ -66,7 +61,7 @@ def parse_elements(found: Column, *names: str) -> Column:
     )
 
     def value(raw: Column) -> Column:
-        return F.when(raw != "", unescape(F.substr(raw, F.lit(2), F.length(raw) - 2)))
+        return F.when(raw != "", html_unescape(F.substr(raw, F.lit(2), F.length(raw) - 2)))
 
     return F.transform(
         quoted,
@@ -79,7 +74,7 @@ def parse_elements(found: Column, *names: str) -> Column:
 
 
 def inner_text(element: Column) -> Column:
-    return unescape(F.regexp_replace(element, r"<[^>]*>", ""))
+    return html_unescape(F.regexp_replace(element, r"<[^>]*>", ""))
 
 
 def _attr(name: str, value: Column) -> Column:
@@ -274,13 +269,8 @@ def entity_filter(
 
 def article_contributors(df: DataFrame, author: str = "author", editors: str = "editors") -> DataFrame:
     """Authors and editors, each person once."""
-    return (
-        df.select(F.col(author).alias("p"))
-        .unionByName(df.select(F.explode(editors).alias("p")))
-        .where("p is not null")
-        .distinct()
-        .select("p.*")
-    )
+    people = F.concat(F.array(author), F.coalesce(editors, F.array().cast(df.schema[editors].dataType)))
+    return df.select(F.explode(people).alias("p")).where("p is not null").distinct().select("p.*")
 
 
 def row_articles(

@@ -12,27 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.text import matches, rejoin
 from shelfmark.skew import lookup_join
 
 
-def matches(text: str, pattern: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-
-
-def rejoin(text: str, pattern: str, replacements: Column) -> Column:
-    """The text with its matches replaced one by one; all else is kept to the byte."""
-    return F.array_join(
-        F.flatten(
-            F.zip_with(
-                F.split(text, pattern, -1),
-                replacements,
-                lambda kept, new: F.array(kept, F.coalesce(new, F.lit(""))),
-            )
-        ),
-        "",
-    )
-
-
 def resolve_keys(
     df: DataFrame, row_id: str, keys: Column, dim: DataFrame, key: str, value: str
 ) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+from html import unescape
 
 import pytest
 from conftest import rows
@@ -140,3 +141,14 @@ def test_token_search_modes(spark):
     assert rows(R.token_search(df, "t", "GOLD ring"), "id") == [(1,), (2,)]
     assert rows(R.token_search(df, "t", "gold ring", mode="all"), "id") == [(1,)]
     assert rows(R.token_search(df, "t", "gold", otypes=["b"]), "id") == [(2,)]
+
+
+def test_entities_are_resolved_as_browsers_do(spark):
+    texts = [
+        "Caf&eacute; &#233; &#xE9; &nbsp;&amp;lt; &ampx &notit; &notin; &unknown; & alone &;",
+        "&#128; &#0; &#x110000; &#xD800; &#99999999999999999999; &#00065; &#x1F600; &#11; &#127;",
+        "&lt;&gt;&quot;&#39;&copy &CounterClockwiseContourIntegral; &NotEqualTilde;", "", "plain", None,
+    ]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, t string")
+    got = {r.i: r.u for r in df.select("i", text.html_unescape("t").alias("u")).collect()}
+    assert got == {i: None if x is None else unescape(x) for i, x in enumerate(texts)}
