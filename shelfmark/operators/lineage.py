@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,30 +22,37 @@ def _starts(first_only: bool = False) -> Column:
     return F.when(F.size("path") >= 3, F.sequence(F.lit(0), last, F.lit(2)))
 
 
-def lineage_edges(paths: DataFrame, legacy_three_hop: bool = False) -> DataFrame:
-    """(source, dataflow, target) for all consecutive hops of each path.
+def lineage_edges(
+    paths: DataFrame, legacy_three_hop: bool = False, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Edges from each source to its dataflow and from there to each target, along all paths.
 
     ``paths`` has the column ``path``: an array of hops, each an array of (otype, key,
-    is_temp); every second hop holds the dataflow. With ``legacy_three_hop`` only the first
-    three hops are read. Rows are made within a path, so nothing is shuffled before the final
-    distinct.
+    is_temp); every second hop holds the dataflow, which also comes as a column of its own, as
+    do the columns ``carry``. With ``legacy_three_hop`` only the first three hops are read. A
+    dataflow of many sources and targets has one row for each of them, not for each pair. Rows
+    are made within a path, so nothing is shuffled before the final distinct.
     """
-    starts = paths.select("path", F.explode(_starts(legacy_three_hop)).alias("i"))
-    hops = starts.select(
-        F.col("path")[F.col("i")].alias("sources"),
-        F.get(F.col("path")[F.col("i") + 1], F.lit(0))["key"].alias("dataflow"),
-        F.col("path")[F.col("i") + 2].alias("targets"),
-    )
-    pairs = hops.select("dataflow", "targets", F.explode("sources").alias("s")).select(
-        "dataflow", "s", F.explode("targets").alias("t")
+    starts = paths.select(*carry, "path", F.explode(_starts(legacy_three_hop)).alias("i"))
+    flow = F.get(F.col("path")[F.col("i") + 1], F.lit(0))
+
+    def edge(src_otype: Column, src: Column, dst_otype: Column, dst: Column) -> Column:
+        return F.struct(
+            src_otype.alias("src_otype"), src.alias("src"),
+            dst_otype.alias("dst_otype"), dst.alias("dst"),
+        )
+
+    flow_type, flow_key = F.lit("dataflow"), flow["key"]
+    edges = F.concat(
+        F.transform(
+            F.col("path")[F.col("i")], lambda e: edge(e["otype"], e["key"], flow_type, flow_key)
+        ),
+        F.transform(
+            F.col("path")[F.col("i") + 2], lambda e: edge(flow_type, flow_key, e["otype"], e["key"])
+        ),
     )
-    return pairs.select(
-        F.col("s.otype").alias("src_otype"),
-        F.col("s.key").alias("src"),
-        "dataflow",
-        F.col("t.otype").alias("dst_otype"),
-        F.col("t.key").alias("dst"),
-    ).distinct()
+    found = starts.select(*carry, flow_key.alias("dataflow"), F.explode(edges).alias("e"))
+    return found.select(*carry, "dataflow", "e.*").distinct()
 
 
 def tables_with_lineage(dataflows: DataFrame, titles: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Table references in SQL texts, found with regular expressions over a log table.
 
-Covered: INSERT INTO ... SELECT, COPY ... FROM, FROM and JOIN at any nesting depth, comma lists,
-comments, quoted texts, and names defined by WITH (left out). Not covered: comma lists that go on
-after a subquery, and targets of CREATE TABLE AS or MERGE.
+Covered: INSERT INTO ... SELECT, COPY ... FROM, FROM and JOIN at any nesting depth, comma lists
+(also around subqueries), quoted names with blanks, comments, quoted texts, and names defined by
+WITH (left out). Not covered: targets of CREATE TABLE AS or MERGE, and quoted names that hold a
+bracket or a key word of SQL.
 """
 
 from __future__ import annotations
@@ -39,58 +40,95 @@ def split_statements(df: DataFrame, text: str) -> DataFrame:
     return df.select("*", F.posexplode(statements).alias("statement_no", "statement"))
 
 
-# functions that use FROM inside their brackets
-_FROM_FUNCTIONS = r"(?i)\b(?:extract|trim|substring|overlay)\s*\([^()]*\)"
-# words and brackets that end a list of tables
-_ENDS = (
-    r"(?i)(\binsert\s+into\b|\bfrom\b|\bjoin\b|\bselect\b|\bwhere\b|\bgroup\b|\border\b"
-    r"|\bhaving\b|\blimit\b|\bunion\b|\bintersect\b|\bexcept\b|\bon\b|\busing\b|\bset\b"
-    r"|\bvalues\b|\binner\b|\bleft\b|\bright\b|\bfull\b|\bcross\b|\bnatural\b|\bwindow\b|[()])"
-)
+_BRACKET = r"\(([^()]*)\)"
+_HOLE = "\u0002"
 _CTE = r"(?i)(?:\bwith|\brecursive|,)\s+(\w+)\s+as\s*\("
+_QUERY = r"(?i)^\s*(?:select|with|insert|delete|update|create|merge|copy|from)\b"
+# what FROM introduces, up to the next clause
+_CLAUSE = (
+    r"(?is)\bfrom\b(.*?)(?=\b(?:where|group|order|having|limit|union|intersect|except|minus"
+    r"|window|qualify|select|from|set|values|returning)\b|;|$)"
+)
+_BETWEEN = r"(?i),|\b(?:(?:natural|inner|cross|left|right|full|outer|semi|anti)\s+)*join\b"
+_WORD = r"""(?:"[^"]+"|`[^`]+`|\[[^\]]+\]|[^\s,;()"`\[\].\x02]+)"""
+_NAME = rf"({_WORD}(?:\s*\.\s*{_WORD})*)"
+
+
+def _bare(name: Column) -> Column:
+    """A name without identifier quotes, and without blanks around its dots."""
+    return F.translate(F.regexp_replace(name, r"\s*\.\s*", "."), '"`[]', "")
 
 
 def _masked(statement: str) -> Column:
     no_text = F.regexp_replace(without_comments(statement), r"'[^']*'", "''")
-    return F.regexp_replace(no_text, _FROM_FUNCTIONS, "")
+    return F.regexp_replace(no_text, r"(?i)\bis\s+(?:not\s+)?distinct\s+from\b", "=")
 
 
-def _names(listed: Column) -> Column:
-    """First words of a comma list, without identifier quotes."""
-    words = F.transform(
-        F.split(listed, ","),
-        lambda item: F.regexp_extract(item, r"^\s*([^\s,;()]+)", 1),
+def _flat_parts(text: Column) -> Column:
+    """What stands in each pair of brackets, and outside of all, with a mark for inner brackets.
+
+    Every step takes out the innermost brackets, so there are as many steps as brackets are
+    nested; further ones see no bracket and do nothing.
+    """
+
+    def step(state: Column, _: Column) -> Column:
+        inner = F.regexp_extract_all(state["text"], F.lit(_BRACKET), F.lit(1))
+        taken = F.struct(
+            F.regexp_replace(state["text"], _BRACKET, f" {_HOLE} ").alias("text"),
+            F.concat(state["parts"], inner).alias("parts"),
+        )
+        return F.when(F.contains(state["text"], F.lit("(")), taken).otherwise(state)
+
+    start = F.struct(text.alias("text"), F.array().cast("array<string>").alias("parts"))
+    opened = F.length(text) - F.length(F.replace(text, F.lit("("), F.lit("")))
+    return F.aggregate(
+        F.sequence(F.lit(0), opened),
+        start,
+        step,
+        lambda end: F.concat(F.array(F.concat(F.lit("select "), end["text"])), end["parts"]),
+    )
+
+
+def _listed(clause: Column) -> Column:
+    """First names of the items of a FROM clause."""
+    return F.transform(
+        F.split(clause, _BETWEEN),
+        lambda item: _bare(F.regexp_extract(item, r"(?i)^\s*(?:(?:only|lateral)\s+)?" + _NAME, 1)),
     )
-    bare = F.transform(words, lambda w: F.translate(w, '"`[]', ""))
-    return F.filter(bare, lambda w: w != "")
 
 
 def with_table_references(df: DataFrame, statement: str) -> DataFrame:
     """Add the distinct ``sources`` and ``targets`` named in a statement, as arrays.
 
-    The steps are columns of their own so that each is evaluated once per statement.
+    Brackets that hold no query, as in ``extract(year FROM d)``, name no table unless they group
+    a join. The steps are columns of their own so that each is evaluated once per statement.
     """
-
-    def after(words: str) -> Column:
-        segments = F.filter("_cut", lambda s: s.rlike(r"(?i)^(?:" + words + r")\s"))
-        return F.flatten(
-            F.transform(
-                segments, lambda s: _names(F.regexp_replace(s, r"(?i)^(?:" + words + ")", ""))
+    clauses = F.flatten(
+        F.transform(
+            "_parts",
+            lambda p: F.when(
+                F.rlike(p, F.lit(_QUERY)), F.regexp_extract_all(p, F.lit(_CLAUSE), F.lit(1))
             )
+            .when(F.rlike(p, F.lit(r"(?i)\bjoin\b")), F.array(p))
+            .otherwise(F.array().cast("array<string>")),
         )
-
+    )
+    into = F.lit(r"(?i)\binsert\s+into\s+(?:table\s+)?" + _NAME)
     cut = (
         df.withColumn("_masked", _masked(statement))
-        .withColumn("_cut", F.split(F.regexp_replace("_masked", _ENDS, _CUT + "$1"), _CUT))
+        .withColumn("_parts", _flat_parts(F.col("_masked")))
+        .withColumn("_clauses", clauses)
+        .withColumn("_names", F.flatten(F.transform("_clauses", _listed)))
         .withColumn("_defined", F.transform(regex_extract("_masked", _CTE, 1), lambda n: F.lower(n)))
+        .withColumn("_into", F.transform(F.regexp_extract_all("_masked", into, F.lit(1)), _bare))
     )
     sources = F.filter(
-        after("from|join"), lambda name: ~F.array_contains("_defined", F.lower(name))
+        "_names", lambda name: (name != "") & ~F.array_contains("_defined", F.lower(name))
     )
     return (
         cut.withColumn("sources", F.array_distinct(sources))
-        .withColumn("targets", F.array_distinct(after(r"insert\s+into")))
-        .drop("_masked", "_cut", "_defined")
+        .withColumn("targets", F.array_distinct("_into"))
+        .drop("_masked", "_parts", "_clauses", "_names", "_defined", "_into")
     )
 
 
@@ -203,13 +241,10 @@ def text_dictionary_match(
     All names are extracted first and then joined, so the cost follows the texts and not the
     number of catalog tables.
     """
-    groups = [F.regexp_extract_all(text, F.lit(_TABLE_REF), F.lit(i)) for i in (1, 2, 3)]
-    refs = log.select(row_id, F.posexplode(F.arrays_zip(*groups)).alias("pos", "r")).select(
-        row_id,
-        "pos",
-        F.lower("r.0").alias("statement"),
-        F.lower("r.1").alias("schema"),
-        F.lower("r.2").alias("table"),
+    hits = F.regexp_extract_all(text, F.lit(_TABLE_REF), F.lit(0))
+    group = lambda i: F.lower(F.regexp_extract("hit", _TABLE_REF, i))
+    refs = log.select(row_id, F.posexplode(hits).alias("pos", "hit")).select(
+        row_id, "pos", group(1).alias("statement"), group(2).alias("schema"), group(3).alias("table")
     )
     dim = catalog.select(
         F.lower("schema").alias("schema"), F.lower("table").alias("table"), "key"

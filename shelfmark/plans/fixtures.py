@@ -207,7 +207,7 @@ def _sql_text():
         .when(kind == 1, F.concat(F.lit("SELECT * FROM "), a, F.lit(" x JOIN "), b, F.lit(" y ON x.id = y.id")))
         .when(kind == 2, F.concat(F.lit("INSERT INTO mart.m"), u, F.lit(" SELECT * FROM "), a, F.lit(" p, "), b, F.lit(" q -- from none.such\nWHERE p.c = 'a;b from no.where'")))
         .when(kind == 3, F.concat(F.lit("COPY mart.m"), u, F.lit(" FROM 's3://bucket/"), u, F.lit("/' CSV")))
-        .when(kind == 4, F.concat(F.lit("/* two; parts */ DELETE FROM mart.m"), u, F.lit(";\nINSERT INTO mart.m"), u, F.lit(" WITH w AS (SELECT * FROM "), a, F.lit(") SELECT extract(year FROM d) FROM w JOIN (SELECT id FROM "), b, F.lit(") z ON z.id = w.id;")))
+        .when(kind == 4, F.concat(F.lit("/* two; parts */ DELETE FROM mart.m"), u, F.lit(";\nINSERT INTO mart.m"), u, F.lit(" WITH w AS (SELECT * FROM "), a, F.lit(") SELECT extract(year FROM d) FROM (SELECT id FROM "), b, F.lit(" WHERE id IS DISTINCT FROM no.col) z, w;")))
         .otherwise(F.concat(F.lit("select 1 from "), a))
     )
 
@@ -222,7 +222,7 @@ SQL_TEXT = f"""CASE event_id % 6
     WHEN 3 THEN 'COPY mart.m' || user_id || ' FROM ''s3://bucket/' || user_id || '/'' CSV'
     WHEN 4 THEN '/* two; parts */ DELETE FROM mart.m' || user_id || ';' || chr(10)
       || 'INSERT INTO mart.m' || user_id || ' WITH w AS (SELECT * FROM ' || {_A}
-      || ') SELECT extract(year FROM d) FROM w JOIN (SELECT id FROM ' || {_B} || ') z ON z.id = w.id;'
+      || ') SELECT extract(year FROM d) FROM (SELECT id FROM ' || {_B} || ' WHERE id IS DISTINCT FROM no.col) z, w;'
     ELSE 'select 1 from ' || {_A} END"""
 
 

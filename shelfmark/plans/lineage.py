@@ -11,14 +11,18 @@ from shelfmark.session import scratch_path
 from shelfmark.streaming.querylog import stream_query_log
 
 
-@query("lineage_edges", f"WITH {X.EDGES} SELECT * FROM edges")
+_HALVES = """SELECT src_otype, src, dataflow, 'dataflow' AS dst_otype, dataflow AS dst FROM edges
+    UNION SELECT 'dataflow', dataflow, dataflow, dst_otype, dst FROM edges"""
+
+
+@query("lineage_edges", f"WITH {X.EDGES} {_HALVES}")
 def lineage_edges(t):
     return L.lineage_edges(X.dataflows(t))
 
 
 @query(
     "lineage_edges_three_hop",
-    f"WITH {X.EDGES} SELECT * FROM edges WHERE dataflow NOT LIKE 'api/x%'",
+    f"WITH {X.EDGES} SELECT * FROM ({_HALVES}) WHERE dataflow NOT LIKE 'api/x%'",
 )
 def lineage_edges_three_hop(t):
     return L.lineage_edges(X.dataflows(t), legacy_three_hop=True)
@@ -123,7 +127,7 @@ def stream_query_log_query(t):
 # the statements of each text: comments and blank ones are left out
 _DELETE = "'DELETE FROM mart.m' || user_id"
 _WITH = f"""'INSERT INTO mart.m' || user_id || ' WITH w AS (SELECT * FROM ' || {X._A}
-      || ') SELECT extract(year FROM d) FROM w JOIN (SELECT id FROM ' || {X._B} || ') z ON z.id = w.id'"""
+      || ') SELECT extract(year FROM d) FROM (SELECT id FROM ' || {X._B} || ' WHERE id IS DISTINCT FROM no.col) z, w'"""
 _INSERT = f"""'INSERT INTO mart.m' || user_id || ' SELECT * FROM ' || {X._A} || ' p, ' || {X._B}
       || ' q ' || chr(10) || 'WHERE p.c = ''a;b from no.where'''"""
 _STATEMENTS = f"""st AS (
@@ -151,15 +155,26 @@ _SQL_EDGES = f"""moves AS (
 @query(
     "sql_table_lineage",
     f"""WITH {X.QUERIES}, {_STATEMENTS}, {_SQL_EDGES}
-    SELECT src_otype, src, substr(sha256(statement), 1, 16) AS text_hash, 'table' AS dst_otype, dst FROM moves""",
+    SELECT 'in' AS side, src_otype AS otype, src AS name, substr(sha256(statement), 1, 16) AS text_hash FROM moves
+    UNION SELECT 'out', 'table', dst, substr(sha256(statement), 1, 16) FROM moves""",
 )
 def sql_table_lineage(t):
     statements = S.split_statements(X.queries(t), "sql_text").select("statement")
-    flows = S.sql_table_lineage(statements)
-    edges = L.lineage_edges(flows)
     # DuckDB has no SHA-224, so the dataflow is shown by the SHA-256 of its text
-    texts = flows.select("dataflow", F.substring(F.sha2("content", 256), 1, 16).alias("text_hash"))
-    return edges.join(texts, "dataflow").drop("dataflow")
+    text_hash = F.substring(F.sha2("content", 256), 1, 16)
+    flows = S.sql_table_lineage(statements).withColumn("text_hash", text_hash)
+    return _ends(L.lineage_edges(flows, carry=["text_hash"]), "text_hash")
+
+
+def _ends(edges, *more):
+    """What goes in and out of dataflows."""
+    into = F.col("dst_otype") == "dataflow"
+    return edges.select(
+        F.when(into, F.lit("in")).otherwise(F.lit("out")).alias("side"),
+        F.when(into, F.col("src_otype")).otherwise(F.col("dst_otype")).alias("otype"),
+        F.when(into, F.col("src")).otherwise(F.col("dst")).alias("name"),
+        *more,
+    ).distinct()
 
 
 @query(
@@ -203,14 +218,16 @@ def _xml(t):
 @query(
     "xml_task_lineage",
     f"""WITH {X.QUERIES}, {_STATEMENTS}, {_SQL_EDGES}
-    SELECT DISTINCT src_otype, src, dst FROM moves
-    UNION SELECT 'table', 'nation_' || user_id || '.t' || user_id, 'mart.p' || user_id FROM events""",
+    SELECT 'in' AS side, src_otype AS otype, src AS name FROM moves
+    UNION SELECT 'out', 'table', dst FROM moves
+    UNION SELECT 'in', 'table', 'nation_' || user_id || '.t' || user_id FROM events
+    UNION SELECT 'out', 'table', 'mart.p' || user_id FROM events""",
 )
 def xml_task_lineage(t):
     tasks, pipelines = S.xml_task_lineage(_xml(t))
     flows = S.sql_table_lineage(S.split_statements(tasks.withColumnRenamed("statement", "s"), "s"))
     paths = flows.unionByName(S.pipeline_lineage(pipelines.distinct()))
-    return L.lineage_edges(paths).select("src_otype", "src", "dst").distinct()
+    return _ends(L.lineage_edges(paths))
 
 
 @query(

@@ -177,8 +177,8 @@ def test_edges_over_all_hops(spark):
     df = spark.createDataFrame(
         [(path,), (path[:2],), (None,)], "path array<array<struct<otype: string, key: string, is_temp: boolean>>>"
     )
-    assert rows(L.lineage_edges(df), "src", "dataflow", "dst") == [("a", "f", "b"), ("b", "g", "c"), ("tmp", "f", "b")]
-    assert rows(L.lineage_edges(df, legacy_three_hop=True), "src", "dst") == [("a", "b"), ("tmp", "b")]
+    assert rows(L.lineage_edges(df), "src", "dst") == [("a", "f"), ("b", "g"), ("f", "b"), ("g", "c"), ("tmp", "f")]
+    assert rows(L.lineage_edges(df, legacy_three_hop=True), "src", "dst") == [("a", "f"), ("f", "b"), ("tmp", "f")]
     titles = spark.createDataFrame([("f", "F")], "dataflow string, title string")
     assert rows(L.tables_with_lineage(df, titles), "key", "side", "dataflow", "title") == [
         ("a", "in", "f", "F"), ("b", "in", "g", None), ("b", "out", "f", "F"),

@@ -44,6 +44,13 @@ def test_long_statements_are_split_whole(spark):
         ("insert into t select extract(year from d), 'from fake' from a -- from comment", {"a"}, "t"),
         ('insert into "S"."T" select * from `a`.`b`', {"a.b"}, "S.T"),
         ("insert into t select 1 from a union all select 2 from b", {"a", "b"}, "t"),
+        ("insert into t select * FROM (SELECT 1 FROM s.a) x, s.b", {"s.a", "s.b"}, "t"),
+        ("insert into t select * from a join b on (a.i = b.i and f(a.x, b.y) > 0), c", {"a", "b", "c"}, "t"),
+        ("insert into t select f(a) x, y from (a join (b cross join c) on 1 = 1), only d", {"a", "b", "c", "d"}, "t"),
+        ('insert into "my schema" . "my table" select * from "my schema"."your table" q, [x y].z', {"my schema.your table", "x y.z"}, "my schema.my table"),
+        ("insert into t select * from a where d IS DISTINCT FROM s.col and e is not distinct from s.c", {"a"}, "t"),
+        ("insert into t select extract(year from coalesce(d, trim(both from x))) from a", {"a"}, "t"),
+        ("insert into t select * from a where i in (select i from b where j in (select j from c, d))", {"a", "b", "c", "d"}, "t"),
         ("copy s.t from 's3://b/k' csv", {"s3://b/k"}, "s.t"),
         ("select * from a", set(), None),
         ("insert into t values (1)", set(), None),
@@ -53,9 +60,9 @@ def test_long_statements_are_split_whole(spark):
 def test_lineage(spark, sql, sources, target):
     flows = S.sql_table_lineage(one(spark, sql), "sql")
     edges = lineage_edges(flows).collect()
-    assert {e.src for e in edges} == sources
-    assert {e.dst for e in edges} == ({target} if target else set())
-    assert {e.src_otype for e in edges} <= {"table", "file"}
+    assert {e.src for e in edges if e.dst == e.dataflow} == sources
+    assert {e.dst for e in edges if e.src == e.dataflow} == ({target} if target else set())
+    assert {e.src_otype for e in edges} <= {"table", "file", "dataflow"}
 
 
 def test_same_text_gives_one_dataflow(spark):
@@ -112,6 +119,9 @@ def test_xml(spark):
     )
     flows = S.sql_table_lineage(S.split_statements(tasks.drop("task_id").withColumnRenamed("statement", "s"), "s"))
     edges = lineage_edges(flows.unionByName(S.pipeline_lineage(pipelines)))
-    assert rows(edges, "src_otype", "src", "dst") == [
-        ("file", "s3://x", "p"), ("table", "b", "a"), ("table", "c", "a"), ("table", "q", "out1"),
+    assert rows(edges.where("dst = dataflow"), "src_otype", "src") == [
+        ("file", "s3://x"), ("table", "b"), ("table", "c"), ("table", "q"),
+    ]
+    assert rows(edges.where("src = dataflow"), "dst_otype", "dst") == [
+        ("table", "a"), ("table", "out1"), ("table", "p"),
     ]
