@@ -311,7 +311,8 @@ def flag_tables(t):
 def _schema_docs(t):
     """A schema document per 50 orders: orders as records, their status and priority as leaves."""
     leaf = lambda name, kind, c: F.struct(
-        F.lit(name).alias("name"), F.lit(kind).alias("type"), F.col(c).alias("description")
+        F.lit(name).alias("name"), F.lit(kind).alias("type"), F.col(c).alias("description"),
+        F.array(c).alias("examples"),
     )
     record = F.struct(
         F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("name"),
@@ -330,10 +331,10 @@ def _schema_docs(t):
     """WITH o AS (SELECT '' || (o_orderkey // 50) AS doc, 'o' || o_orderkey AS name, o_orderstatus AS s,
                   o_orderpriority AS p, row_number() OVER (PARTITION BY o_orderkey // 50 ORDER BY 'o' || o_orderkey) AS rn
                   FROM orders)
-    SELECT doc, NULL AS parent, name AS path, name, 'RECORD' AS type, 'REPEATED' AS mode, NULL AS description,
-           false AS is_leaf, rn * 3 - 2 AS seq FROM o
-    UNION ALL SELECT doc, name, name || '.status', 'status', 'STRING', NULL, s, true, rn * 3 - 1 FROM o
-    UNION ALL SELECT doc, name, name || '.urgency', 'urgency', 'STRING', NULL, p, true, rn * 3 FROM o""",
+    SELECT doc, NULL AS parent, name AS path, name, 'RECORD' AS type, 'REPEATED' AS mode, NULL AS title,
+           NULL AS description, NULL AS examples, false AS is_leaf, 1 AS level, rn * 3 - 2 AS seq FROM o
+    UNION ALL SELECT doc, name, name || '.status', 'status', 'STRING', NULL, NULL, s, '["' || s || '"]', true, 2, rn * 3 - 1 FROM o
+    UNION ALL SELECT doc, name, name || '.urgency', 'urgency', 'STRING', NULL, NULL, p, '["' || p || '"]', true, 2, rn * 3 FROM o""",
 )
 def flatten_schema(t):
     return S.flatten_schema(_schema_docs(t))
@@ -343,7 +344,8 @@ def flatten_schema(t):
     "encode_schema",
     """SELECT '' || (o_orderkey // 50) AS doc, '{"type":"object","properties":{' || string_agg(
         '"o' || o_orderkey || '":{"type":"array","items":{"properties":{"status":{"type":"STRING","description":"'
-        || o_orderstatus || '"},"urgency":{"type":"STRING","description":"' || o_orderpriority || '"}}}}',
+        || o_orderstatus || '","examples":["' || o_orderstatus || '"]},"urgency":{"type":"STRING","description":"'
+        || o_orderpriority || '","examples":["' || o_orderpriority || '"]}}}}',
         ',' ORDER BY 'o' || o_orderkey) || '}}' AS json FROM orders GROUP BY 1""",
 )
 def encode_schema(t):

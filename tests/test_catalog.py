@@ -3,6 +3,7 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from shelfmark.operators import attributes as A
 from shelfmark.operators import catalog as C
@@ -107,6 +108,55 @@ DEEP = [
 ]
 
 
+NESTED = [
+    # a list of records, three levels deep, with dots in names
+    [
+        {"name": "id", "type": "STRING", "description": "key", "examples": ["a", "b"]},
+        {"name": "a.b", "type": "RECORD", "mode": "REPEATED", "description": "of \"many\"", "fields": [
+            {"name": "c", "type": "RECORD", "fields": [{"name": "d.e", "type": "INT"}, {"name": "f"}]},
+        ]},
+        {"name": "tags", "type": "STRING", "mode": "REPEATED"},
+    ],
+    [{"name": "s", "type": "struct", "children": [{"name": "t", "type": "int", "children": [{"name": "u", "type": "x"}]}]}],
+    # an API resource
+    {"type": "object", "properties": {
+        "id": {"type": "integer", "title": "Id", "description": "the id", "examples": [1, {"x": 2}]},
+        "items": {"type": "array", "items": {"type": "object", "properties": {"id": {"type": "string"}}}},
+        "names": {"type": "array", "items": {"type": "string"}, "description": "all"},
+        "deep": {"type": "object", "properties": {"deeper": {"properties": {"leaf": {"type": "null"}}}}},
+    }},
+    {"items": {"properties": {"only": {"type": "string"}}}},
+]
+
+
+def test_schema_trees_come_back(spark):
+    docs = spark.createDataFrame([(f"d{i}", json.dumps(x)) for i, x in enumerate(NESTED)], "doc string, fields string")
+    flat = schematree.flatten_schema(docs)
+    paths = {d: sorted(r.path for r in flat.where(F.col("doc") == d).collect()) for d in ("d0", "d1", "d2", "d3")}
+    assert paths == {
+        "d0": ["a.b", "a.b.c", "a.b.c.d.e", "a.b.c.f", "id", "tags"],
+        "d1": ["s", "s.t", "s.t.u"],
+        "d2": ["deep", "deep.deeper", "deep.deeper.leaf", "id", "items", "items.id", "names"],
+        "d3": ["only"],
+    }
+    encoded = schematree.encode_schema(flat).withColumnRenamed("json", "fields")
+    again = schematree.flatten_schema(encoded)
+    same = ["doc", "parent", "path", "name", "mode", "title", "description", "examples", "is_leaf", "level"]
+    leaf = [*same, F.when(F.col("is_leaf"), F.col("type")).alias("kind")]
+    assert rows(again, *leaf) == rows(flat, *leaf)
+    third = schematree.encode_schema(again).withColumnRenamed("json", "fields")
+    assert rows(third) == rows(encoded)
+
+
+def test_malformed_schemas_are_named(spark):
+    texts = ["[{", "{}", "[]", "[1]", None, '{"properties": {"a": {}}}', '[{"name": "x"}]']
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc int, fields string")
+    assert rows(schematree.malformed_schemas(docs)) == sorted(
+        [(0, "not JSON"), (1, "no fields"), (2, "no fields"), (3, "no fields"), (4, "not JSON")], key=repr
+    )
+    assert rows(schematree.flatten_schema(docs), "doc", "path") == [(5, "a"), (6, "x")]
+
+
 def test_schema_rows_in_preorder(spark):
     docs = spark.createDataFrame([("x", json.dumps(DEEP)), ("y", json.dumps(DEEP[:1]))], "doc string, fields string")
     flat = schematree.flatten_schema(docs)
