@@ -220,7 +220,6 @@ _PROFILED = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailpric
 _LONG = " UNION ALL ".join(
     f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM part WHERE {c} IS NOT NULL GROUP BY 2"
     for c in _PROFILED
-    if c != "p_retailprice"
 )
 _GATED = f"""counts AS ({_LONG}),
     gated AS (SELECT * FROM counts WHERE col IN
@@ -234,7 +233,7 @@ _GATED = f"""counts AS ({_LONG}),
       (PARTITION BY col ORDER BY n DESC, value) AS rank FROM gated) WHERE rank <= 10""",
 )
 def value_frequency(t):
-    return Q.value_frequency(t.part, [c for c in _PROFILED if c != "p_retailprice"])
+    return Q.value_frequency(t.part, _PROFILED)
 
 
 @query(
@@ -244,11 +243,12 @@ def value_frequency(t):
       string_agg(value, '|' ORDER BY value) AS options FROM gated GROUP BY col""",
 )
 def picker_fields(t):
-    pickers = A.picker_fields(t.part, [c for c in _PROFILED if c != "p_retailprice"], prefix="DTV ")
+    pickers = A.picker_fields(t.part, _PROFILED, prefix="DTV ")
     return pickers.withColumn("options", F.array_join("options", "|"))
 
 
 _CUSTOMER = {"c_name": "c_name", "c_mktsegment": "c_mktsegment", "c_nationkey": "CAST(c_nationkey AS VARCHAR)",
+             "c_custkey": "CAST(c_custkey AS VARCHAR)", "c_acctbal": "CAST(c_acctbal AS VARCHAR)",
              "rich": "CASE WHEN c_acctbal > 9500 THEN c_name END"}
 _PROFILES = " UNION ALL ".join(
     f"""SELECT '{name}' AS col, CAST(coalesce(sum(n), 0) AS BIGINT) AS filled, count(*) AS "distinct",
@@ -262,7 +262,7 @@ _PROFILES = " UNION ALL ".join(
 @query("profile_columns", _PROFILES)
 def profile_columns(t):
     rich = F.when(F.col("c_acctbal") > 9500, F.col("c_name"))
-    return Q.profile_columns(t.customer.select("c_name", "c_mktsegment", "c_nationkey", rich.alias("rich")))
+    return Q.profile_columns(t.customer.withColumn("rich", rich))
 
 
 _RULES = [

@@ -14,18 +14,17 @@ from shelfmark.sources import readers, writers
 def scan_csv(t):
     path = scratch_path(t.spark, "csv")
     writers.write_csv(t.documents, path)
-    return readers.scan_csv(t.spark, path, t.documents.schema)
+    return readers.scan_csv(t.spark, path, t.documents.schema, multiline=True)
 
 
 @query(
     "scan_csv_semicolon",
-    "SELECT p_partkey, p_name, p_brand, p_type, p_size FROM part",
+    "SELECT * FROM part",
 )
 def scan_csv_semicolon(t):
     path = scratch_path(t.spark, "csv")
-    cols = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
-    t.part.select(cols).write.option("header", True).option("sep", ";").csv(path)
-    return readers.scan_csv(t.spark, path, t.part.select(cols).schema, sep=";", multiline=False)
+    t.part.write.option("header", True).option("sep", ";").csv(path)
+    return readers.scan_csv(t.spark, path, t.part.schema, sep=";")
 
 
 @query("scan_ndjson_nested", "SELECT conv_id, turn, role, text AS com FROM conversations")
@@ -137,12 +136,11 @@ def write_partitioned(t):
     return t.spark.read.parquet(path)
 
 
-@query("write_csv", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+@query("write_csv", "SELECT * FROM customer")
 def write_csv(t):
     path = scratch_path(t.spark, "csv")
-    rows = t.customer.select("c_custkey", "c_name", "c_mktsegment")
-    writers.write_csv(rows, path)
-    return readers.scan_csv(t.spark, path, rows.schema, multiline=False)
+    writers.write_csv(t.customer, path)
+    return readers.scan_csv(t.spark, path, t.customer.schema)
 
 
 @query(
@@ -189,12 +187,16 @@ def partition_spine(t):
 
 @query(
     "file_inventory",
-    """SELECT DISTINCT 'year=' || year(ts) AS top, 'month=' || month(ts) AS second FROM events""",
+    """SELECT 'year=' || year(ts) AS top, 'month=' || month(ts) AS second,
+       CAST(sum(length('' || event_id) + 1) AS BIGINT) AS bytes, true AS inside FROM events GROUP BY 1, 2""",
 )
 def file_inventory(t):
     path = scratch_path(t.spark, "inventory")
     rows = t.events.select(
-        "event_id", F.year("ts").alias("year"), F.month("ts").alias("month"), F.day("ts").alias("day")
+        F.col("event_id").cast("string").alias("value"),
+        F.year("ts").alias("year"), F.month("ts").alias("month"), F.day("ts").alias("day"),
     )
-    writers.write_partitioned(rows, ["year", "month", "day"], path=path)
-    return readers.file_inventory(t.spark, path).select("top", "second").distinct()
+    writers.write_partitioned(rows, ["year", "month", "day"], path=path, fmt="text", codec="none")
+    files = readers.file_inventory(t.spark, path)
+    inside = F.contains("path", F.concat_ws("/", F.lit(""), "top", "second", F.lit("day=")))
+    return files.groupBy("top", "second").agg(F.sum("size").alias("bytes"), F.bool_and(inside).alias("inside"))

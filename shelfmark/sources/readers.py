@@ -15,13 +15,12 @@ def scan_csv(
     path: str,
     schema: T.StructType | str,
     sep: str = ",",
-    multiline: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
     """CSV with a header; quotes are doubled inside a field.
 
-    ``multiline`` reads fields with line breaks but keeps each file in one task, so a large
-    sheet should come as several files; without line breaks in fields switch it off and files
-    are split.
+    Files are split over tasks. Fields with line breaks need ``multiline``, which keeps each
+    file in one task, so a large sheet should then come as several files.
     """
     return (
         spark.read.schema(schema)

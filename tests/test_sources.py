@@ -13,14 +13,14 @@ def test_csv_with_mark_quotes_and_line_breaks(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(
         b'\xef\xbb\xbfds;name;note\r\none;"Say ""hi""; ok";"two\nlines"\r\ntwo;name ;\r\n'
     )
-    df = readers.scan_csv(spark, str(tmp_path), "ds string, name string, note string", sep=";")
+    df = readers.scan_csv(spark, str(tmp_path), "ds string, name string, note string", sep=";", multiline=True)
     assert rows(df) == [("one", 'Say "hi"; ok', "two\nlines"), ("two", "name ", None)]
 
 
 def test_csv_round_trip_keeps_blanks_and_quotes(spark, tmp_path):
     df = spark.createDataFrame([(1, ' a "b" '), (2, "x,\ny"), (3, None)], "id int, t string")
     writers.write_csv(df, str(tmp_path / "out"))
-    assert rows(readers.scan_csv(spark, str(tmp_path / "out"), df.schema)) == rows(df)
+    assert rows(readers.scan_csv(spark, str(tmp_path / "out"), df.schema, multiline=True)) == rows(df)
 
 
 def test_json_document(spark, tmp_path):
