@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.aggregates import dedup_keep
 from shelfmark.operators.quality import value_counts
-from shelfmark.skew import joined_lists
+from shelfmark.session import hand_over
+from shelfmark.skew import joined_lists, lookup_join
 
 OBJECT_SET, MULTI_PICKER = "OBJECT_SET", "MULTI_PICKER"
 
@@ -105,6 +106,37 @@ def unpivot_attrs(
     )
 
 
+def resolve_object_sets(
+    long: DataFrame, objects: DataFrame, keys: Sequence[str] = ("otype", "id")
+) -> tuple[DataFrame, DataFrame]:
+    """Values of ``unpivot_attrs`` with the ids of the objects they name, and those not found.
+
+    ``objects`` has (otype, name, oid); names are compared without case, and of several objects
+    of one name the lowest id counts. Items without a type, as of pickers, stay as they are. The
+    first table has ``values`` of (otype, value, oid) without the items that name no object; a
+    value of none but such items is left out. The second has a row per item not found.
+    """
+    rows = [*keys, "field_id"]
+    items = long.select(*rows, "ts_updated", F.posexplode("values").alias("pos", "v")).select(
+        *rows, "ts_updated", "pos", F.col("v.otype").alias("_otype"), F.col("v.value").alias("value"),
+        F.lower(F.trim("v.value")).alias("_name"),
+    )
+    dim = objects.groupBy(
+        F.col("otype").alias("_otype"), F.lower(F.trim("name")).alias("_name")
+    ).agg(F.min("oid").alias("oid"))
+    named = hand_over(lookup_join(items, dim, ["_otype", "_name"]), "object-sets")
+    lost = F.col("_otype").isNotNull() & F.col("oid").isNull()
+    value = F.struct("pos", F.col("_otype").alias("otype"), "value", "oid")
+    found = (
+        named.where(~lost)
+        .groupBy(*rows)
+        .agg(F.sort_array(F.collect_list(value)).alias("_all"), F.first("ts_updated").alias("ts_updated"))
+        .select(*rows, F.transform("_all", lambda v: v.dropFields("pos")).alias("values"), "ts_updated")
+    )
+    unresolved = named.where(lost).select(*rows, F.col("_otype").alias("value_otype"), "value")
+    return found, unresolved
+
+
 def explode_tags(df: DataFrame, keys: Sequence[str], tags: str, sep: str = ";") -> DataFrame:
     """(object, tag) rows of a tag list; blank tags are dropped."""
     parts = F.array_distinct(F.split(tags, "\\Q" + sep + "\\E"))

@@ -206,6 +206,53 @@ def unpivot_attrs(t):
     return long.select("otype", "id", "field_id", F.array_join(item, ",").alias("items"))
 
 
+def _objects(t):
+    """Objects that field values name: all nations as users, every other customer, most groups."""
+    row = lambda otype, name, oid: (F.lit(otype).alias("otype"), name.alias("name"), oid.cast("bigint").alias("oid"))
+    nation, customer = F.col("n_nationkey"), F.col("c_custkey")
+    users = t.nation.select(*row("user", F.concat(F.lit("N"), nation.cast("string")), nation + 100))
+    more = t.customer.where("c_custkey % 2 = 0").select(
+        *row("user", F.concat(F.lit("m"), customer.cast("string")), customer + 1000)
+    )
+    groups = t.nation.where("n_nationkey <> 3").select(
+        *row("groupprofile", F.concat(F.lit("g"), nation.cast("string")), nation)
+    )
+    return users.unionByName(more).unionByName(groups).unionByName(more.withColumn("oid", F.col("oid") + 1))
+
+
+_ITEMS = """SELECT c_custkey AS id, 'user' AS o, 'n' || c_nationkey AS v, c_nationkey + 100 AS oid, 1 AS p FROM customer
+    UNION ALL SELECT c_custkey, 'user', 'm' || c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_custkey + 1000 END, 2 FROM customer
+    UNION ALL SELECT c_custkey, 'groupprofile', 'g' || c_nationkey, CASE WHEN c_nationkey <> 3 THEN c_nationkey END, 3 FROM customer"""
+
+
+@query(
+    "resolve_object_sets",
+    f"""SELECT 'table' AS otype, c_custkey AS id, 1 AS field_id, ':' || c_mktsegment AS items
+       FROM customer WHERE c_custkey % 4 <> 0
+    UNION ALL SELECT 'table', c_custkey, 2, ':gold,:silver' FROM customer
+    UNION ALL SELECT 'table', id, 3, string_agg(o || ':' || oid, ',' ORDER BY p) FROM ({_ITEMS})
+       WHERE oid IS NOT NULL GROUP BY id""",
+)
+def resolve_object_sets(t):
+    found, _ = A.resolve_object_sets(A.unpivot_attrs(X.wide_attrs(t), _fields(t)), _objects(t))
+    item = F.transform(
+        "values",
+        lambda v: F.concat(
+            F.coalesce(v["otype"], F.lit("")), F.lit(":"), F.coalesce(v["oid"].cast("string"), v["value"])
+        ),
+    )
+    return found.select("otype", "id", "field_id", F.array_join(item, ",").alias("items"))
+
+
+@query(
+    "unresolved_items",
+    f"SELECT 'table' AS otype, id, 3 AS field_id, o AS value_otype, v AS value FROM ({_ITEMS}) WHERE oid IS NULL",
+)
+def unresolved_items(t):
+    _, lost = A.resolve_object_sets(A.unpivot_attrs(X.wide_attrs(t), _fields(t)), _objects(t))
+    return lost
+
+
 @query(
     "explode_tags",
     """SELECT c_custkey, c_mktsegment AS tag FROM customer
