@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,16 +51,32 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/shelfmark/{spark.sparkContext.applicationId}"
 
 
+_given_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, in a folder of this application."""
-    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _given_out.append(path)
+    return path
+
+
+def scratch_paths() -> list[str]:
+    """The paths given out so far, oldest first."""
+    return list(_given_out)
+
+
+def drop_scratch(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete some of what was handed over; results read from it must be written before."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete what this application handed over; results read from it must be written before."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(root, True)
+    """Delete all that this application handed over; results must be written before."""
+    drop_scratch(spark, [_scratch_root(spark)])
 
 
 def hand_over(df: DataFrame, name: str) -> DataFrame:
