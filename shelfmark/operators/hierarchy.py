@@ -22,8 +22,8 @@ def ancestry(
     ``trail`` is an array of structs with the labels and the id. Nodes with children come
     first: each round joins the open ones with their nearest ancestor not yet in the trail and
     takes over that ancestor's whole trail, so trails double and the rounds grow with the
-    logarithm of the depth. All other nodes, the bulk of most trees, are joined once to their
-    parent. Parents with many children are hot join keys, which ``lookup_join`` deals with.
+    logarithm of the depth, and a round writes the open nodes only. All other nodes, the bulk of
+    most trees, are joined once to their parent.
     Status is ``ok``, ``missing parent`` or ``cycle``; in the latter case the trail stops where
     it would repeat.
     """
@@ -38,17 +38,15 @@ def ancestry(
     marked = hand_over(
         start.join(parents.where("node is not null").distinct(), "node", "left"), "ancestry"
     )
-    state = marked.where("has_children").drop("has_children")
-    while not state.where("up is not null").isEmpty():
-        state = hand_over(
-            state.where("up is null").unionByName(
-                _extended(state.where("up is not null"), state)
-            ),
-            "ancestry",
-        )
+    inner = marked.where("has_children").drop("has_children")
+    done, open_nodes = inner.where("up is null"), inner.where("up is not null")
+    while not open_nodes.isEmpty():
+        step = hand_over(_extended(open_nodes, done.unionByName(open_nodes)), "ancestry")
+        done = done.unionByName(step.where("up is null"))
+        open_nodes = step.where("up is not null")
     leaves = marked.where("has_children is null").drop("has_children")
-    found = state.unionByName(leaves.where("up is null")).unionByName(
-        _extended(leaves.where("up is not null"), state)
+    found = done.unionByName(leaves.where("up is null")).unionByName(
+        _extended(leaves.where("up is not null"), done)
     )
     return nodes.join(
         found.select(F.col("node").alias(node_id), "trail", "status"), node_id
@@ -91,6 +89,49 @@ def orphans(nodes: DataFrame, node_id: str, parent: str) -> DataFrame:
     return found.withColumn("reason", reason).drop("trail", "status")
 
 
+def depths(nodes: DataFrame, node_id: str, parent: str) -> DataFrame:
+    """Add the number of steps up to the top as ``depth``, and the ``status`` as in ``ancestry``.
+
+    Each round a node's pointer jumps to where its target points, so steps double; only open
+    nodes are written, without a trail. What is still open when steps could be as many as there
+    are nodes goes round in, or hangs below, a cycle.
+    """
+    start = hand_over(
+        nodes.select(
+            F.col(node_id).alias("node"),
+            F.col(parent).alias("up"),
+            F.when(F.col(parent).isNull(), F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("depth"),
+            F.lit("ok").alias("status"),
+        ),
+        "depths",
+    )
+    done, open_nodes = start.where("up is null"), start.where("up is not null")
+    for _ in range(start.count().bit_length() + 1):
+        if open_nodes.isEmpty():
+            break
+        above = done.unionByName(open_nodes).select(
+            F.col("node").alias("up"),
+            F.col("up").alias("next_up"),
+            F.col("depth").alias("further"),
+            F.col("status").alias("upper"),
+        )
+        step = hand_over(
+            lookup_join(open_nodes, above, "up").select(
+                "node",
+                F.col("next_up").alias("up"),
+                (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth"),
+                F.coalesce("upper", F.lit("missing parent")).alias("status"),
+            ),
+            "depths",
+        )
+        done = done.unionByName(step.where("up is null"))
+        open_nodes = step.where("up is not null")
+    found = done.unionByName(open_nodes.withColumn("status", F.lit("cycle")))
+    return nodes.join(
+        found.select(F.col("node").alias(node_id), "depth", "status"), node_id
+    )
+
+
 def folder_path(
     nodes: DataFrame, node_id: str, parent: str, name: str, sep: str = "//"
 ) -> DataFrame:
@@ -183,10 +224,9 @@ def creation_levels(
         nodes = lookup_join(nodes, known.distinct(), parent).withColumn(
             parent, F.when(F.col("_known").isNull(), F.col(parent))
         ).drop("_known")
-    found = ancestry(nodes, node_id, parent)
-    return found.withColumn(
-        "level", F.when(F.col("status") == "ok", F.size("trail") - 1)
-    ).drop("trail")
+    found = depths(nodes, node_id, parent)
+    level = F.when(F.col("status") == "ok", F.col("depth")).cast("int")
+    return found.withColumn("level", level).drop("depth")
 
 
 def _from_start(found: DataFrame, root: Column) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from shelfmark.operators import hierarchy as H
 from shelfmark.operators.hierarchy import orphans
@@ -143,3 +144,18 @@ def test_digest_shows_the_first_reports_only(spark):
     got = {r.external_id: r for r in H.folder_digest(folders, reports).collect()}
     assert got["f"].reports == 30 and got["f"].description.count("<a ") == 25
     assert got["empty"].description == "<p>There are 0 reports in this folder. Showing max 25.</p>"
+
+
+def test_a_deep_chain_has_levels(spark):
+    nodes = spark.range(100_000).select(
+        F.col("id").cast("string").alias("id"),
+        F.when(F.col("id") > 0, (F.col("id") - 1).cast("string")).alias("parent"),
+    )
+    cycle = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "b"), ("d", "gone")], "id string, parent string")
+    found = H.creation_levels(nodes.unionByName(cycle), "id", "parent")
+    assert found.where("status = 'ok' and level != cast(id as int)").isEmpty()
+    assert found.where("status = 'ok'").count() == 100_000
+    lost = found.where("status != 'ok'")
+    assert rows(lost, "id", "status", "level") == [
+        ("a", "cycle", None), ("b", "cycle", None), ("c", "cycle", None), ("d", "missing parent", None),
+    ]
