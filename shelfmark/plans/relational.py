@@ -12,7 +12,7 @@ from shelfmark.plans.registry import query
 
 @query(
     "nested_project",
-    """SELECT conv_id * 1000 + turn AS number, role AS author, text FROM conversations""",
+    """SELECT conv_id * 4294967296 + turn AS number, role AS author, text FROM conversations""",
 )
 def nested_project(t):
     posts = X.threads(t).select(F.explode("posts").alias("p"))

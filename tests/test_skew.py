@@ -129,3 +129,17 @@ def test_all_but_the_first_copy(spark):
     kept = aggregates.duplicate_keys(df, ["k"], keep="first", order=["id"])
     assert rows(kept) == [("a", 2), ("a", 3)]
     assert rows(aggregates.duplicate_keys(df, ["k"])) == [("a", 3)]
+
+
+def test_threads_of_any_length_have_one_root(spark):
+    """A thread takes several nested rows; its root and size are those of the whole thread."""
+    from shelfmark.plans import REGISTRY
+    from shelfmark.plans.registry import Tables
+
+    turns = spark.range(1500).selectExpr("id as turn").crossJoin(
+        spark.createDataFrame([(1, 130), (2, 1500), (3, 1)], "conv_id bigint, n int")
+    ).where("turn < n").selectExpr("conv_id", "turn", "'user' as role", "'text' as text")
+    tables = Tables(spark, "/nowhere")
+    tables.conversations = turns
+    got = REGISTRY["thread_root_nested"].run(tables).groupBy("ori_post", "replies_top").count()
+    assert set(rows(got)) == {(1 << 32, 130, 130), (2 << 32, 1500, 1500), (3 << 32, 1, 1)}
