@@ -12,6 +12,7 @@ BLANKS = r"[\x20\x09-\x0D]"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 ROW = "_row"
+MOST_LABELS = 10_000
 
 
 def lower_ascii(text: Column) -> Column:
@@ -56,7 +57,12 @@ def labelled_sample(df: DataFrame, by: str, key: str, bound: int) -> DataFrame:
     """About ``bound`` rows of each value of ``by`` at most, chosen by a hash of ``key``.
 
     The counts per value are taken over all rows; a value with no more than ``bound`` rows
-    keeps them all. Nothing is sorted and no group is brought together.
+    keeps them all. Nothing is sorted and no group is brought together: the shares come to the
+    driver if there are at most ``MOST_LABELS`` of them, and rows are chosen where they are read.
+    With more values than that the shares are joined.
     """
-    counts = df.groupBy(by).agg((F.lit(bound) / F.count("*")).alias("_share"))
+    counts = df.groupBy(by).agg((F.lit(float(bound)) / F.count("*")).alias("_share"))
+    found = counts.limit(MOST_LABELS + 1).collect()
+    if len(found) <= MOST_LABELS:
+        counts = F.broadcast(df.sparkSession.createDataFrame(found, counts.schema))
     return hash_share(df.join(counts, by), key, F.col("_share")).drop("_share")
