@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import nest, unnest, words
-from shelfmark.session import hand_over
 from shelfmark.skew import number_rows
 
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -95,7 +94,6 @@ def mix(
         source=F.col(f"`{source}`"),
         size=F.coalesce(size, F.lit(0)).cast("bigint"),
     )
-    rows = hand_over(rows, "mix-rows")
     targets = source_targets(rows, weights, share, most)
     salted = F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))
     order = [
