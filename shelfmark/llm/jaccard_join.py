@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from itertools import combinations, product
 from math import comb
 
 import numpy as np
@@ -13,12 +14,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import BLANK_CHARS
 from shelfmark.llm.components import components
 from shelfmark.llm.spans import mix, shingle_set
 from shelfmark.session import hand_over
 
 _SIGS = "sig bigint, n int, head bigint, members array<bigint>"
+COPIES = -1  # instead of a size
+# documents, and shingles, of a block; two blocks are compared in one task
+BLOCK, BLOCK_SHINGLES = 1000, 2_000_000
+BROADCAST_ROWS = 1_000_000  # of 30 bytes each
+# of few bits, as most of what is shuffled are signatures; what meets by chance is compared too
+SIGNATURE = np.uint64((1 << 48) - 1)
 
 
 class Scheme:
@@ -56,15 +62,17 @@ class Scheme:
             return 1, 1, 0, 1
         if k <= 3:
             return 1, k + 3, k, 1
-        spare = 2 + k // 40
+        spare = 3 + k // 30
         return k // 2 + spare, 3, 1, spare
 
     def signatures(self, elements: np.ndarray) -> np.ndarray:
         """Signatures of a sorted set in its own instance and the next.
 
         A choice of cells in which a set has no element says little, and yet two near sets may
-        agree in nothing else: but then each has such choices in at least ``spare`` parts. So
-        only those sets give signatures of empty choices.
+        agree in nothing else: but then both have such choices in ``spare`` parts at least, the
+        same ones. So only sets with as many give signatures of empty choices, and where there
+        are three parts to spare, of three parts at once: any two such sets share one of those
+        among the first of their parts (all but ``spare - 3``).
         """
         if not len(elements):
             return elements
@@ -86,8 +94,21 @@ class Scheme:
             names = np.arange(sigs.size, dtype=np.uint64).reshape(sigs.shape)
             sigs = mix(mix(sigs + np.uint64(i + 1)) + names)
             empty = sizes == 0
-            use = np.ones_like(empty) if empty.any(axis=1).sum() >= spare else ~empty
-            found.append(sigs[use])
+            found.append(sigs[~empty] & SIGNATURE)
+            parts = np.flatnonzero(empty.any(axis=1))
+            if len(parts) >= spare:
+                together = min(spare, 3)
+                first = parts[: len(parts) - spare + together].tolist()
+                rows = [
+                    [names[p][empty[p]].tolist() for p in chosen]
+                    for chosen in combinations(first, together)
+                ]
+                choices = [c for row in rows for c in product(*row)]
+                numbers = np.array(choices, np.uint64)
+                mixed = np.full(len(numbers), np.uint64(i + 1))
+                for column in numbers.T:
+                    mixed = mix(mixed * np.uint64(0x9E3779B97F4A7C15) + column + np.uint64(1))
+                found.append(mixed & SIGNATURE)
         return np.concatenate(found)
 
 
@@ -100,203 +121,177 @@ def _choices(n: int, size: int) -> np.ndarray:
     return chosen
 
 
+def _equal_sets(ids: np.ndarray, sets: list[np.ndarray]) -> tuple[dict[int, int], dict[int, list[int]]]:
+    """Of equal sets the one of least id: its index by id, and the other ids."""
+    groups: dict[tuple[int, int], list[int]] = {}
+    for i in np.argsort(ids, kind="stable"):
+        if len(sets[i]):
+            groups.setdefault((len(sets[i]), int(mix(sets[i]).sum())), []).append(int(i))
+    first = {int(ids[g[0]]): g[0] for g in groups.values()}
+    copies = {int(ids[g[0]]): sorted({int(ids[i]) for i in g[1:]} - {int(ids[g[0]])}) for g in groups.values()}
+    return first, {k: v for k, v in copies.items() if v}
+
+
+def _batch(sig: np.ndarray, n: pa.Array, head: pa.Array, members: pa.Array) -> pa.RecordBatch:
+    arrays = [pa.array(sig.view(np.int64)), n, head, members]
+    return pa.RecordBatch.from_arrays(arrays, ["sig", "n", "head", "members"])
+
+
 def _signature_rows(percent: int, words: int):  # noqa: ANN202
     scheme = Scheme(percent)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
-            if not len(ids):
-                continue
+            given = batch.column("doc_id")
             sets = [shingle_set(t, words) for t in batch.column("text").to_pylist()]
-            found = [scheme.signatures(s) for s in sets]
-            owner = np.repeat(ids, [len(f) for f in found])
-            sigs = np.concatenate(found).view(np.int64)
+            number = np.arange(len(sets), dtype=np.uint64)
+            sizes = pa.array(np.array([len(x) for x in sets], np.int32))
+            yield _batch(mix(number), sizes, given, pa.nulls(len(sets), pa.list_(pa.int64())))
+
+            known = np.flatnonzero(given.is_valid().to_numpy(zero_copy_only=False))
+            ids = given.drop_null().to_numpy()
+            first, copies = _equal_sets(ids, [sets[i] for i in known])
+            heads = np.array(list(copies), np.int64)
+            yield _batch(
+                mix(heads.view(np.uint64)),
+                pa.array(np.full(len(heads), COPIES, np.int32)),
+                pa.array(heads),
+                pa.array(list(copies.values()), pa.list_(pa.int64())),
+            )
+            found = [scheme.signatures(sets[known[i]]) for i in first.values()]
+            owner = np.repeat(np.array(list(first), np.int64), [len(f) for f in found])
+            sigs = np.concatenate([*found, np.zeros(0, np.uint64)])
             # one row per signature of a batch: its first document, and all if it has several
             order = np.lexsort((owner, sigs))
             sigs, owner = sigs[order], owner[order]
-            new = np.r_[True, sigs[1:] != sigs[:-1]] if len(sigs) else np.zeros(0, bool)
-            first = np.flatnonzero(new)
-            size = np.diff(np.r_[first, len(sigs)])
+            start = np.flatnonzero(np.r_[True, sigs[1:] != sigs[:-1]][: len(sigs)])
+            size = np.diff(np.r_[start, len(sigs)])
             several = size > 1
-            keep = np.repeat(several, size)
             offsets = np.r_[0, np.cumsum(np.where(several, size, 0))].astype(np.int32)
             members = pa.ListArray.from_arrays(
-                pa.array(offsets, mask=np.r_[~several, False]), pa.array(owner[keep])
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(sigs[first]),
-                    pa.nulls(len(first), pa.int32()),
-                    pa.array(owner[first]),
-                    members,
-                ],
-                ["sig", "n", "head", "members"],
-            )
-            # the size of every set, by the hash of its text
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("t1"),
-                    pa.array(np.array([len(s) for s in sets], np.int32)),
-                    pa.array(ids),
-                    pa.nulls(len(ids), pa.list_(pa.int64())),
-                ],
-                ["sig", "n", "head", "members"],
+                pa.array(offsets, mask=np.r_[~several, False]), pa.array(owner[np.repeat(several, size)])
             )
+            rows = _batch(sigs[start], pa.nulls(len(start), pa.int32()), pa.array(owner[start]), members)
+            # equal heads side by side are compressed best
+            yield rows.take(pa.array(np.argsort(owner[start], kind="stable")))
 
     return rows
 
 
-def _compare_with(percent: int):  # noqa: ANN202
-    """Compares a set with its centre: whether they link, how far they are apart, and tokens.
-
-    Tokens are elements of one of the two sets only, those that the centre lacks first; see
-    ``_second_pairs`` for how many are needed.
-    """
-    scheme = Scheme(percent)
-    kind = T.StructType(
-        [
-            T.StructField("linked", T.BooleanType()),
-            T.StructField("apart", T.IntegerType()),
-            T.StructField("near", T.IntegerType()),
-            T.StructField("tokens", T.ArrayType(T.LongType())),
-        ]
-    )
-
-    @F.pandas_udf(kind)
-    def compare(centre: pd.Series, other: pd.Series) -> pd.DataFrame:
-        found = []
-        for c, x in zip(centre, other, strict=True):
-            more = np.setdiff1d(x, c, assume_unique=True)
-            same = len(x) - len(more)
-            fewer = len(c) - same
-            apart = len(more) + fewer
-            linked = 100 * same >= percent * (len(c) + len(more))
-            near = min(apart, apart * 100 // (100 + percent) + 3)
-            far = scheme.most_apart(len(x), len(x) * 100 // percent + 1) + 1
-            wanted = near if linked else min(apart, max(near, far))
-            if wanted > len(more):
-                more = np.concatenate([more, np.setdiff1d(c, x, assume_unique=True)])
-            found.append((linked, apart, near, more[:wanted]))
-        return pd.DataFrame(found, columns=kind.names)
-
-    return compare
-
-
-def _second_pairs(stars: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of documents that share a signature and its centre, and may yet be linked.
-
-    Documents linked to the centre are in its component already, so of a pair at least one is
-    not. A set differs from its centre by ``apart`` elements; two sets that differ from each
-    other by at most k share at least (apart_a + apart_b - k) / 2 of those. Hence, with the
-    elements in one fixed order, they share one among the first (apart_a - apart_b + k) / 2 + 1
-    of a and the first (apart_b - apart_a + k) / 2 + 1 of b. What the centre lacks comes first:
-    edits seldom agree in that, so few documents meet. As the other set is not linked to the
-    centre, hardly more than half of the elements (``near``) are needed, but for unlinked sets
-    that meet linked ones.
+def _met(docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """Rows (a, b, n): the size n of the set of document a; copies b of a (n is ``COPIES``); or,
+    without n, a document b and the smallest document a of a signature both have.
     """
-    tokens = stars.select(
-        "c", "x", "size_x", "linked", "apart", "near", F.posexplode("tokens").alias("pos", "token")
-    )
-    left = tokens.select("c", "token", *[F.col(k).alias(f"{k}_a") for k in ("x", "size_x", "linked", "apart", "near", "pos")])
-    right = tokens.select("c", "token", *[F.col(k).alias(f"{k}_b") for k in ("x", "size_x", "linked", "apart", "near", "pos")])
-    k = F.expr(f"(size_x_a + size_x_b) * {100 - percent} div {100 + percent}")
-    in_reach = (2 * F.col("pos_a") <= F.col("apart_a") - F.col("apart_b") + k) & (
-        2 * F.col("pos_b") <= F.col("apart_b") - F.col("apart_a") + k
-    )
-    same = ["c", "token"]
-    apart = left.where("not linked_a and pos_a < near_a").join(
-        right.where("not linked_b and pos_b < near_b"), same
-    )
-    mixed = left.where("not linked_a").join(right.where("linked_b"), same)
-    return (
-        apart.where(in_reach & (F.col("x_a") < F.col("x_b")))
-        .select(F.col("x_a").alias("a"), F.col("x_b").alias("b"))
-        .unionByName(
-            mixed.where(in_reach).select(
-                F.least("x_a", "x_b").alias("a"), F.greatest("x_a", "x_b").alias("b")
-            )
-        )
-        .distinct()
-    )
-
-
-def _with_sets(pairs: DataFrame, a: str, b: str, sets: DataFrame) -> DataFrame:
-    of = lambda name: sets.select(F.col("doc_id").alias(name), F.col("elements").alias(f"set_{name}"))
-    return pairs.join(of(a), a).join(of(b), b)
-
-
-def _elements(words: int):  # noqa: ANN202
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def elements(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda s: np.sort(shingle_set(s, words).view(np.int64)))
-
-    return elements
-
-
-def _met(own: DataFrame, percent: int, words: int) -> DataFrame:
-    """Documents x with the centre c of a signature they share, and sizes n by text hash x."""
     by_sig = Window.partitionBy("sig", "n")
+    is_pair = F.col("n").isNull()
     met = (
-        own.select("doc_id", "text", "t1")
-        .mapInArrow(_signature_rows(percent, words), _SIGS)
-        .withColumn("c", F.min("head").over(by_sig))
+        docs.mapInArrow(_signature_rows(percent, words), _SIGS)
+        .withColumn("a", F.when(is_pair, F.min("head").over(by_sig)).otherwise(F.col("head")))
         .withColumn("rows", F.count("*").over(by_sig))
         .where("n is not null or rows > 1 or members is not null")
-        .withColumn("x", F.explode(F.coalesce("members", F.array("head"))))
-        .where("n is not null or x <> c")
-        .select("c", "n", F.when(F.col("n").isNull(), F.col("x")).otherwise(F.col("sig")).alias("x"))
-        .distinct()
+        .withColumn("b", F.explode(F.coalesce("members", F.array("head"))))
+        .where("n is not null or b <> a")
+        .select("a", "b", "n")
     )
     return hand_over(met, "met")
 
 
-def _links(pairs: DataFrame, own: DataFrame, percent: int, words: int) -> DataFrame:
-    """Links (a, b) that join the same documents as all links would."""
-    wanted = (
-        pairs.select(F.col("c").alias("doc_id"))
-        .unionByName(pairs.select(F.col("x").alias("doc_id")))
-        .distinct()
+def shared_counts(tokens: list[np.ndarray], a: np.ndarray, b: np.ndarray, width: int = 2048) -> np.ndarray:
+    """How many elements every set of ``a`` shares with every set of ``b`` (indices)."""
+    owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+    _, column, counts = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+    often = np.flatnonzero(counts > 1)  # others are shared with nobody
+    rank = np.full(len(counts), -1)
+    rank[often] = np.arange(len(often))
+    column = rank[column]
+    found = np.zeros((len(a), len(b)), np.float32)
+    for low in range(0, len(often), width):
+        inside = (column >= low) & (column < low + width)
+        table = np.zeros((len(tokens), min(width, len(often) - low)), np.float32)
+        table[owner[inside], column[inside] - low] = 1
+        found += table[a] @ table[b].T
+    return found
+
+
+def spanning_edges(ids: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that join the same vertices as the symmetric matrix ``linked`` does."""
+    left, edges = np.ones(len(ids), bool), []
+    for start in range(len(ids)):
+        if not left[start]:
+            continue
+        left[start] = False
+        reached = [start]
+        while reached:
+            new = np.flatnonzero(linked[reached.pop()] & left)
+            left[new] = False
+            reached.extend(new.tolist())
+            edges.extend((int(ids[start]), int(ids[k])) for k in new)
+    return edges
+
+
+def _placed(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Where every document that shares a signature is compared: rows (doc_id, cluster, own,
+    first, second).
+
+    A cluster is a document and all that share a signature of which it is the smallest; so all
+    documents of a signature are in one cluster, and chains of chance meetings join nothing. A
+    cluster is cut in blocks of about ``BLOCK`` documents, or fewer long ones, by a hash; a
+    document goes to every pair of blocks that has its own.
+    """
+    clusters = hand_over(
+        pairs.select(F.col("b").alias("doc_id"), F.col("a").alias("cluster"))
+        .unionByName(pairs.select(F.col("a").alias("doc_id"), F.col("a").alias("cluster")))
+        .distinct(),
+        "clusters",
     )
-    sets = hand_over(
-        own.join(wanted, "doc_id", "left_semi").select(
-            "doc_id", _elements(words)("text").alias("elements")
-        ),
-        "sets",
+    longest = sizes.groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
+    blocks = (
+        clusters.join(longest, "doc_id")
+        .groupBy("cluster")
+        .agg(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+        .withColumn("blocks", F.ceil("blocks").cast("int"))
     )
-    stars = hand_over(
-        _with_sets(pairs, "x", "c", sets)
-        .select("c", "x", F.size("set_x").alias("size_x"), _compare_with(percent)("set_c", "set_x").alias("r"))
-        .select("c", "x", "size_x", "r.*"),
-        "stars",
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    placed = (
+        clusters.join(blocks, "cluster")
+        .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        .withColumn("other", other)
+    )
+    first, second = F.least("own", "other"), F.greatest("own", "other")
+    return hand_over(
+        placed.select("doc_id", "cluster", "own", first.alias("first"), second.alias("second")),
+        "placed",
     )
 
-    @F.pandas_udf("boolean")
-    def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-        def check(x: np.ndarray, y: np.ndarray) -> bool:
-            same = len(np.intersect1d(x, y, assume_unique=True))
-            return 100 * same >= percent * (len(x) + len(y) - same)
 
-        return pd.Series([check(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
-
-    more = _with_sets(_second_pairs(stars, percent), "a", "b", sets)
-    return (
-        stars.where("linked")
-        .select(F.col("c").alias("a"), F.col("x").alias("b"))
-        .unionByName(more.where(linked("set_a", "set_b")).select("a", "b"))
-    )
+def _links(placed: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """Links (a, b) within the clusters, as a spanning forest of every two blocks.
 
+    What is shuffled grows with the documents times their cluster's blocks, and what a task
+    returns with its documents; pairs are only ever counted inside a task.
+    """
 
-def _same_id(classes: DataFrame) -> DataFrame:
-    """Links between the texts of one id."""
-    several = (
-        classes.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
-    )
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("doc_id", ignore_index=True)
+        a = np.flatnonzero(pdf["own"] == pdf["first"].iloc[0])
+        b = np.flatnonzero(pdf["own"] == pdf["second"].iloc[0])
+        edges: list[tuple[int, int]] = []
+        if len(pdf) > 1 and len(a) and len(b):
+            sets = [shingle_set(t, words) for t in pdf["text"]]
+            size = np.array([len(x) for x in sets], np.int64)
+            shared = shared_counts(sets, a, b).astype(np.int64)
+            union = size[a][:, None] + size[b][None, :] - shared
+            linked = np.zeros((len(pdf), len(pdf)), bool)
+            linked[np.ix_(a, b)] = (shared > 0) & (100 * shared >= percent * union)
+            edges = spanning_edges(pdf["doc_id"].to_numpy(), linked | linked.T)
+        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+
+    if placed.count() <= BROADCAST_ROWS:
+        placed = F.broadcast(placed)  # else the texts are shuffled to meet their places
     return (
-        classes.join(several, "doc_id")
-        .where("rep <> a")
-        .select("a", F.col("rep").alias("b"))
-        .distinct()
+        docs.join(placed, "doc_id")
+        .groupBy("cluster", "first", "second")
+        .applyInPandas(compare, "a bigint, b bigint")
     )
 
 
@@ -310,52 +305,34 @@ def linked_components(
     """(doc_id, n_shingles, component_id) of every row: documents whose sets of ``words``-word
     shingles have a Jaccard similarity of ``percent`` / 100 or more are linked.
 
-    component_id is the smallest id reachable by links. Words are what stands between blanks,
+    component_id is the smallest id reachable by links. It is exact for every threshold, but the
+    number of signatures rises steeply below 75 percent. Words are what stands between blanks,
     A-Z lower-cased; a text of fewer words is one shingle. The join is exact but for collisions
     of 64-bit hashes of shingles.
 
-    1. Equal texts become one document, the one with the smallest id.
-    2. The others give PartEnum signatures (see ``Scheme``): sets that may be linked share one.
-       The documents of a signature are compared with its smallest id, the centre, only.
-    3. Those not linked to the centre are compared with the others of the signature where their
-       differences from the centre overlap enough (see ``_second_pairs``).
-    4. Components of all links found are spread to the equal texts.
+    1. Every set gives PartEnum signatures (see ``Scheme``): sets that may be linked share one.
+       Equal sets that are read together count once, and a signature is one row for all its
+       documents that are read together, so a hot one is combined before the shuffle.
+    2. Of a signature only the pairs with its smallest document are written; that document and
+       all it is paired with are a cluster.
+    3. Clusters are compared in blocks, which return links only (see ``_placed``, ``_links``).
+    4. Components are found over all links.
 
     Null, empty and blank texts have no shingle and are linked with nothing; rows without id get
     no component. Rows of one id are one document with the links of all its texts. Repeated rows
     give repeated results. An empty table gives an empty result; other columns are ignored.
     """
     docs = df.select(
-        F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
-        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
-    )
-    blank = F.btrim("text", F.lit(BLANK_CHARS)) == ""
-    docs = docs.withColumn("apart", blank | F.col("doc_id").isNull())
-    texts = docs.where("not apart").select(
-        "doc_id", "text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("2"), "text").alias("t2")
+        F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")
     )
-    slim = hand_over(texts.select("doc_id", "t1", "t2"), "texts")
-    firsts = slim.groupBy("t1", "t2").agg(F.min("doc_id").alias("rep"))
-    classes = hand_over(slim.join(firsts, ["t1", "t2"]), "classes")
-    copies = classes.where("doc_id <> rep").select("doc_id", "t1", "t2").distinct()
-    own = texts.join(copies, ["doc_id", "t1", "t2"], "left_anti")
-
-    met = _met(own, percent, words)
-    sizes = met.where("n is not null").select(F.col("x").alias("t1"), "n").distinct()
-    pairs = met.where("n is null").select("c", "x")
-    edges = _links(pairs, own, percent, words).unionByName(_same_id(classes))
-    found = components(edges).withColumnRenamed("v", "rep")
-    linked = (
-        classes.join(sizes, "t1")
-        .join(found, "rep", "left")
-        .select(
-            "doc_id",
-            F.col("n").cast("bigint").alias("n_shingles"),
-            F.coalesce("component", "rep").alias("component_id"),
-        )
-    )
-    size = F.size(_elements(words)("text")).cast("bigint")
-    rest = docs.where("apart").select(
-        "doc_id", size.alias("n_shingles"), F.col("doc_id").alias("component_id")
+    met = _met(docs, percent, words)
+    sizes = met.where("n >= 0").select(F.col("a").alias("doc_id"), F.col("n").cast("bigint").alias("n_shingles"))
+    copies = met.where(F.col("n") == COPIES).select("a", "b")
+    pairs = met.where("n is null").select("a", "b").distinct()
+    links = _links(_placed(pairs, sizes), docs, percent, words)
+    found = components(copies.unionByName(links))
+    own = F.when(F.col("n_shingles") > 0, F.col("component"))
+    return (
+        sizes.join(found.withColumnRenamed("v", "doc_id"), "doc_id", "left")
+        .select("doc_id", "n_shingles", F.coalesce(own, "doc_id").alias("component_id"))
     )
-    return linked.unionByName(rest)
