@@ -86,8 +86,11 @@ def similarity(a: Column, b: Column) -> Column:
     def times(of: Column, s: Column) -> Column:
         return F.size(F.filter(of, lambda x: x == s))
 
-    both = F.aggregate(
-        F.array_intersect(a, b), F.lit(0), lambda n, s: n + F.least(times(a, s), times(b, s))
+    shared = F.array_intersect(a, b)
+    # if one of them repeats nothing, every shingle counts once
+    once = (F.size(F.array_distinct(a)) == F.size(a)) | (F.size(F.array_distinct(b)) == F.size(b))
+    both = F.when(once, F.size(shared)).otherwise(
+        F.aggregate(shared, F.lit(0), lambda n, s: n + F.least(times(a, s), times(b, s)))
     )
     return both / (F.size(a) + F.size(b) - both)
 
@@ -104,11 +107,12 @@ def leaks(
     document repeats. Documents that repeat none do not appear.
 
     Words are lower-cased (A-Z). A window has as many words as the item, or the whole document
-    if that has fewer, and is aligned with the item at a ``k``-word shingle that both have;
-    windows without such a shingle have similarity 0. Every window gets a 64-bit SimHash of its
+    if that has fewer, and starts at any word; only windows with too few shingles of items of
+    their length to reach the threshold are left out. Every window gets a 64-bit SimHash of its
     words. It is compared with the items of its length that agree in one of 8 blocks up to one
     bit, which finds all fingerprints no more than 15 bits apart; then the weighted Jaccard
-    similarity of the shingles decides. Of equally similar windows the first is returned.
+    similarity of the shingles decides. Of equally similar windows the first is returned that is
+    aligned with the item at a shingle both have (moved into the document), or else the first.
 
     The table of item shingles is written first, so Spark knows its size and broadcasts it only
     if that is small; else documents' shingles are shuffled as (hash, id, position). Whole texts
@@ -119,10 +123,8 @@ def leaks(
     columns are ignored.
     """
     items = hand_over(index_items(benchmark, k), "items")
-    anchors = hand_over(
-        items.select("length", "n", F.posexplode("item_shingles").alias("at", "shingle"))
-        .select("length", "n", "at", "shingle")
-        .distinct(),
+    known = hand_over(
+        items.select("length", "n", F.explode("item_shingles").alias("shingle")).distinct(),
         "item-shingles",
     )
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
@@ -135,16 +137,18 @@ def leaks(
     for n in sizes:
         part = (
             cut.select("doc_id", "t", "size", F.posexplode(shingles(F.col("w"), F.col("size"), n)).alias("pos", "shingle"))
-            .join(anchors.where(F.col("n") == n), "shingle")
-            .select("doc_id", "t", "length", _start("size", "length", F.col("pos") - F.col("at")).alias("start"))
+            .join(known.where(F.col("n") == n), "shingle")
+            .select("doc_id", "t", "size", "length", "n", "pos")
         )
         found = part if found is None else found.unionByName(part)
     if found is None:
         return _nothing(df, doc_id, benchmark)
     windows = hand_over(
-        found.groupBy(F.col("doc_id").alias("w_id"), F.col("t").alias("w_t")).agg(
-            F.collect_set(F.struct("length", "start")).alias("windows")
-        ),
+        found.groupBy(F.col("doc_id").alias("w_id"), F.col("t").alias("w_t"), "size", "length", "n")
+        .agg(F.array_sort(F.collect_set("pos")).alias("at"))
+        .withColumn("start", F.explode(_starts(threshold)))
+        .groupBy("w_id", "w_t")
+        .agg(F.collect_list(F.struct("length", "start", _edge().alias("edge"))).alias("windows")),
         "windows",
     )
     same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("t") == F.col("w_t"))
@@ -161,14 +165,15 @@ def leaks(
         .withColumn("value", block(F.col("print"), F.col("i")))
         .join(_blocks_of_items(items), ["length", "i", "value"])
         .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-        .select("doc_id", "item_id", "start", "length", "n", "window", "item_shingles")
+        .select("doc_id", "item_id", "start", "edge", "length", "n", "window", "item_shingles")
         .distinct()
     )
     size = F.size("window")
     own = F.lit(None).cast("array<bigint>")
     for n in sizes:
         own = F.when(F.col("n") == n, shingles(F.col("window"), size, n)).otherwise(own)
-    best = F.max(F.struct(F.col("similarity"), (-F.col("start")).alias("s"), "length"))
+    aligned = _aligned(F.col("own"), F.col("item_shingles")).alias("aligned")
+    best = F.max(F.struct(F.col("similarity"), aligned, (-F.col("start")).alias("s"), "length"))
     return (
         pairs.withColumn("own", own)
         .withColumn("similarity", similarity(F.col("own"), F.col("item_shingles")))
@@ -185,9 +190,54 @@ def leaks(
     )
 
 
-def _start(size: str, length: str, at: Column) -> Column:
-    """The window's first word, moved so that the window lies within the document."""
-    return F.greatest(F.lit(0), F.least(at, F.col(size) - F.col(length)))
+def _starts(threshold: float) -> Column:
+    """First words of the windows of ``length`` in a document of ``size`` words that can reach the
+    threshold, ``at`` being the sorted positions of the shingles that some item of that length has.
+
+    A similar window holds ``need`` of these positions at least. Those that hold ``need`` of them
+    from the one numbered i on start in a range; ranges only move on with i, so what the range
+    before has is left out.
+    """
+    cut = F.least("length", "size")
+    last = F.col("size") - cut
+    both = (F.col("length") + cut - 2 * F.col("n") + 2) * F.lit(threshold / (1 + threshold))
+    need = F.greatest(F.ceil(both - 1e-6).cast("int"), F.lit(1))
+
+    def starts(i: Column) -> Column:
+        low = F.greatest(F.get("at", i + need - 1) - cut + F.col("n"), F.lit(0))
+        low = F.when(i > 0, F.greatest(low, F.least(F.get("at", i - 1), last) + 1)).otherwise(low)
+        high = F.least(F.get("at", i), last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    none = F.array().cast("array<int>")
+    numbers = F.sequence(F.lit(0), F.size("at") - need)
+    return F.when(F.size("at") >= need, F.flatten(F.transform(numbers, starts))).otherwise(none)
+
+
+def _edge() -> Column:
+    """-1 for the first window of a document, 1 for the last, 0 for others."""
+    last = F.col("start") >= F.col("size") - F.col("length")
+    return F.when(F.col("start") == 0, -1).when(last, 1).otherwise(0)
+
+
+def _aligned(own: Column, item: Column) -> Column:
+    """Whether a shingle stands at the same place of a window and an item; in a document's first
+    window it may stand further on in the item, in the last further on in the window.
+    """
+    places = F.sequence(F.lit(0), F.size(own) - 1)
+    size = F.size(item)
+
+    def first(i: Column) -> Column:
+        at = F.call_function("array_position", F.reverse(item), F.get(own, i))
+        return (at > 0) & (size - at >= i)
+
+    def last(i: Column) -> Column:
+        at = F.call_function("array_position", item, F.get(own, i))
+        return (at > 0) & (at - 1 <= i)
+
+    same = F.exists(places, lambda i: F.get(own, i) == F.get(item, i))
+    ends = F.when(F.col("edge") < 0, F.exists(places, first)).when(F.col("edge") > 0, F.exists(places, last))
+    return F.coalesce(same, F.lit(False)) | F.coalesce(ends, F.lit(False))
 
 
 def _nothing(df: DataFrame, doc_id: str, benchmark: DataFrame) -> DataFrame:

@@ -157,6 +157,25 @@ def test_leaks_equal_brute_force(spark):
         assert got[key][0] == pytest.approx(value)
 
 
+def test_leaks_of_moved_passages(spark):
+    """Best windows that start where no shared shingle aligns them: new words, swapped halves."""
+    rng = random.Random(4)
+    items = [(k, " ".join(f"i{k}x{j}" for j in range(120))) for k in range(4)]
+    docs = []
+    for k, text in items:
+        w = words(text)
+        before, after, new = ([f"{c}{rng.random()}" for _ in range(n)] for c, n in (("b", 50), ("a", 60), ("n", 8)))
+        docs.append((k, " ".join(before + w[4:60] + new + w[60:-4] + after)))
+        docs.append((10 + k, " ".join(before + w[60:] + w[:60] + after)))
+        docs.append((20 + k, " ".join(before + w[:40] + after)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = decontaminate.leaks(df, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    want = brute_leaks(docs, items)
+    assert {(r.doc_id, r.item_id) for r in found} == set(want) and len(want) == len(found) == 8
+    for r in found:
+        assert r.similarity == pytest.approx(want[r.doc_id, r.item_id][0])
+
+
 def test_leaks_of_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     bench = spark.createDataFrame([(1, "a b c d e f g")], "item_id bigint, text string")
