@@ -176,6 +176,19 @@ def test_leaks_of_moved_passages(spark):
         assert r.similarity == pytest.approx(want[r.doc_id, r.item_id][0])
 
 
+def test_leaks_at_the_threshold(spark):
+    """Many windows at a similarity just over 0.8, with the last words replaced: none is lost."""
+    items, docs = [], []
+    for k in range(300):
+        w = [f"i{k}x{j}" for j in range(94)]
+        items.append((k, " ".join(w)))
+        docs.append((k, " ".join(w[:84] + [f"n{k}x{j}" for j in range(10)])))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = decontaminate.leaks(df, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(k, k) for k in range(300)]
+    assert all(r.similarity == pytest.approx(80 / 100) for r in found)
+
+
 def test_leaks_of_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     bench = spark.createDataFrame([(1, "a b c d e f g")], "item_id bigint, text string")
