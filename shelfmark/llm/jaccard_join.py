@@ -121,15 +121,19 @@ def _choices(n: int, size: int) -> np.ndarray:
     return chosen
 
 
-def _equal_sets(ids: np.ndarray, sets: list[np.ndarray]) -> tuple[dict[int, int], dict[int, list[int]]]:
-    """Of equal sets the one of least id: its index by id, and the other ids."""
+def _equal_sets(ids: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], dict[int, list[int]]]:
+    """Of equal sets the index of the one of least id, for every group of them, and the other ids
+    by that id; an id may have several texts and so be the least of several groups.
+    """
     groups: dict[tuple[int, int], list[int]] = {}
     for i in np.argsort(ids, kind="stable"):
         if len(sets[i]):
             groups.setdefault((len(sets[i]), int(mix(sets[i]).sum())), []).append(int(i))
-    first = {int(ids[g[0]]): g[0] for g in groups.values()}
-    copies = {int(ids[g[0]]): sorted({int(ids[i]) for i in g[1:]} - {int(ids[g[0]])}) for g in groups.values()}
-    return first, {k: v for k, v in copies.items() if v}
+    copies: dict[int, set[int]] = {}
+    for g in groups.values():
+        copies.setdefault(int(ids[g[0]]), set()).update(int(ids[i]) for i in g[1:])
+    found = {k: sorted(v - {k}) for k, v in copies.items()}
+    return [g[0] for g in groups.values()], {k: v for k, v in found.items() if v}
 
 
 def _batch(sig: np.ndarray, n: pa.Array, head: pa.Array, members: pa.Array) -> pa.RecordBatch:
@@ -158,8 +162,8 @@ def _signature_rows(percent: int, words: int):  # noqa: ANN202
                 pa.array(heads),
                 pa.array(list(copies.values()), pa.list_(pa.int64())),
             )
-            found = [scheme.signatures(sets[known[i]]) for i in first.values()]
-            owner = np.repeat(np.array(list(first), np.int64), [len(f) for f in found])
+            found = [scheme.signatures(sets[known[i]]) for i in first]
+            owner = np.repeat(ids[np.array(first, np.int64)], [len(f) for f in found])
             sigs = np.concatenate([*found, np.zeros(0, np.uint64)])
             # one row per signature of a batch: its first document, and all if it has several
             order = np.lexsort((owner, sigs))

@@ -88,6 +88,14 @@ def test_jaccard_join_of_odd_rows(spark):
     assert jaccard_join.linked_components(empty).count() == 0
 
 
+def test_one_id_heads_two_groups_of_copies(spark):
+    a, b = "a b c d e", "x y z u v w"
+    rows = [(2, a), (2, b), (5, a), (6, b)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    found = jaccard_join.linked_components(df).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(2, 2), (2, 2), (5, 2), (6, 2)]
+
+
 @settings(deadline=None)
 @given(st.integers(1, 400), st.integers(0, 10**9), st.sampled_from([85, 80, 75]))
 def test_near_sets_share_a_signature(size, seed, percent):
