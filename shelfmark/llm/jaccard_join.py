@@ -19,7 +19,6 @@ from shelfmark.llm.spans import mix, shingle_set
 from shelfmark.session import hand_over
 
 _SIGS = "sig bigint, n int, head bigint, members array<bigint>"
-COPIES = -1  # instead of a size
 # documents, and shingles, of a block; two blocks are compared in one task
 BLOCK, BLOCK_SHINGLES = 1000, 2_000_000
 BROADCAST_ROWS = 1_000_000  # of 30 bytes each
@@ -121,19 +120,10 @@ def _choices(n: int, size: int) -> np.ndarray:
     return chosen
 
 
-def _equal_sets(ids: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], dict[int, list[int]]]:
-    """Of equal sets the index of the one of least id, for every group of them, and the other ids
-    by that id; an id may have several texts and so be the least of several groups.
-    """
-    groups: dict[tuple[int, int], list[int]] = {}
-    for i in np.argsort(ids, kind="stable"):
-        if len(sets[i]):
-            groups.setdefault((len(sets[i]), int(mix(sets[i]).sum())), []).append(int(i))
-    copies: dict[int, set[int]] = {}
-    for g in groups.values():
-        copies.setdefault(int(ids[g[0]]), set()).update(int(ids[i]) for i in g[1:])
-    found = {k: sorted(v - {k}) for k, v in copies.items()}
-    return [g[0] for g in groups.values()], {k: v for k, v in found.items() if v}
+def set_key(elements: np.ndarray) -> np.int64:
+    """A hash of a set, the same for equal sets."""
+    total = mix(elements).sum(dtype=np.uint64) + np.uint64(len(elements))
+    return mix(np.array([total])).view(np.int64)[0]
 
 
 def _batch(sig: np.ndarray, n: pa.Array, head: pa.Array, members: pa.Array) -> pa.RecordBatch:
@@ -148,24 +138,19 @@ def _signature_rows(percent: int, words: int):  # noqa: ANN202
         for batch in batches:
             given = batch.column("doc_id")
             sets = [shingle_set(t, words) for t in batch.column("text").to_pylist()]
+            keys = np.array([set_key(x) for x in sets], np.int64)
             number = np.arange(len(sets), dtype=np.uint64)
             sizes = pa.array(np.array([len(x) for x in sets], np.int32))
-            yield _batch(mix(number), sizes, given, pa.nulls(len(sets), pa.list_(pa.int64())))
-
-            known = np.flatnonzero(given.is_valid().to_numpy(zero_copy_only=False))
-            ids = given.drop_null().to_numpy()
-            first, copies = _equal_sets(ids, [sets[i] for i in known])
-            heads = np.array(list(copies), np.int64)
-            yield _batch(
-                mix(heads.view(np.uint64)),
-                pa.array(np.full(len(heads), COPIES, np.int32)),
-                pa.array(heads),
-                pa.array(list(copies.values()), pa.list_(pa.int64())),
-            )
-            found = [scheme.signatures(sets[known[i]]) for i in first]
-            owner = np.repeat(ids[np.array(first, np.int64)], [len(f) for f in found])
+            of_text = np.c_[keys, batch.column("t").to_numpy()].ravel()
+            places = pa.array(np.arange(0, 2 * len(sets) + 1, 2, dtype=np.int32))
+            yield _batch(mix(number), sizes, given, pa.ListArray.from_arrays(places, pa.array(of_text)))
+
+            known = given.is_valid().to_numpy(zero_copy_only=False)
+            first = {keys[i]: i for i in np.flatnonzero(known) if len(sets[i])}
+            found = [scheme.signatures(sets[i]) for i in first.values()]
+            owner = np.repeat(np.array(list(first), np.int64), [len(f) for f in found])
             sigs = np.concatenate([*found, np.zeros(0, np.uint64)])
-            # one row per signature of a batch: its first document, and all if it has several
+            # one row per signature of a batch: its first set, and all if it has several
             order = np.lexsort((owner, sigs))
             sigs, owner = sigs[order], owner[order]
             start = np.flatnonzero(np.r_[True, sigs[1:] != sigs[:-1]][: len(sigs)])
@@ -183,8 +168,8 @@ def _signature_rows(percent: int, words: int):  # noqa: ANN202
 
 
 def _met(docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """Rows (a, b, n): the size n of the set of document a; copies b of a (n is ``COPIES``); or,
-    without n, a document b and the smallest document a of a signature both have.
+    """Rows (a, b, n, t): document a has a text of hash t, whose set has the key b and n elements;
+    or, without n and t, the key b of a set and the smallest key a of a signature both have.
     """
     by_sig = Window.partitionBy("sig", "n")
     is_pair = F.col("n").isNull()
@@ -193,9 +178,11 @@ def _met(docs: DataFrame, percent: int, words: int) -> DataFrame:
         .withColumn("a", F.when(is_pair, F.min("head").over(by_sig)).otherwise(F.col("head")))
         .withColumn("rows", F.count("*").over(by_sig))
         .where("n is not null or rows > 1 or members is not null")
+        .withColumn("t", F.when(~is_pair, F.get("members", F.lit(1))))
+        .withColumn("members", F.when(is_pair, F.col("members")).otherwise(F.slice("members", 1, 1)))
         .withColumn("b", F.explode(F.coalesce("members", F.array("head"))))
         .where("n is not null or b <> a")
-        .select("a", "b", "n")
+        .select("a", "b", "n", "t")
     )
     return hand_over(met, "met")
 
@@ -233,70 +220,89 @@ def spanning_edges(ids: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]
     return edges
 
 
-def _placed(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Where every document that shares a signature is compared: rows (doc_id, cluster, own,
-    first, second).
+def _placed(pairs: DataFrame, sets: DataFrame, count: bool) -> DataFrame:
+    """Where every set that shares a signature is compared: rows (key, doc_id, t, copies, earlier,
+    cluster, own, first, second). ``earlier`` are the set's smaller clusters, if links are counted.
 
-    A cluster is a document and all that share a signature of which it is the smallest; so all
-    documents of a signature are in one cluster, and chains of chance meetings join nothing. A
-    cluster is cut in blocks of about ``BLOCK`` documents, or fewer long ones, by a hash; a
-    document goes to every pair of blocks that has its own.
+    A cluster is a set and all that share a signature of which it is the smallest; so all
+    sets of a signature are in one cluster, and chains of chance meetings join nothing. A
+    cluster is cut in blocks of about ``BLOCK`` sets, or fewer long ones, by a hash; a
+    set goes to every pair of blocks that has its own.
     """
     clusters = hand_over(
-        pairs.select(F.col("b").alias("doc_id"), F.col("a").alias("cluster"))
-        .unionByName(pairs.select(F.col("a").alias("doc_id"), F.col("a").alias("cluster")))
+        pairs.select(F.col("b").alias("key"), F.col("a").alias("cluster"))
+        .unionByName(pairs.select(F.col("a").alias("key"), F.col("a").alias("cluster")))
         .distinct(),
         "clusters",
     )
-    longest = sizes.groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
+    found = clusters.join(sets, "key")
     blocks = (
-        clusters.join(longest, "doc_id")
-        .groupBy("cluster")
+        found.groupBy("cluster")
         .agg(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
         .withColumn("blocks", F.ceil("blocks").cast("int"))
     )
+    earlier = F.array().cast("array<bigint>")
+    if count:
+        lists = clusters.groupBy("key").agg(F.collect_list("cluster").alias("all"))
+        found = found.join(lists, "key")
+        earlier = F.filter("all", lambda c: c < F.col("cluster"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = (
-        clusters.join(blocks, "cluster")
-        .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        found.withColumn("earlier", earlier)
+        .join(blocks, "cluster")
+        .withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         .withColumn("other", other)
     )
     first, second = F.least("own", "other"), F.greatest("own", "other")
     return hand_over(
-        placed.select("doc_id", "cluster", "own", first.alias("first"), second.alias("second")),
+        placed.select("key", "doc_id", "t", "copies", "earlier", "cluster", "own", first.alias("first"), second.alias("second")),
         "placed",
     )
 
 
-def _links(placed: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """Links (a, b) within the clusters, as a spanning forest of every two blocks.
+def _links(placed: DataFrame, docs: DataFrame, percent: int, words: int, count: bool) -> DataFrame:
+    """Links (a, b) of documents within the clusters, as a spanning forest of every two blocks;
+    and rows (a, null, n): the set of key a is linked with the sets of n documents. Two sets are
+    counted in the least cluster both are in.
 
-    What is shuffled grows with the documents times their cluster's blocks, and what a task
-    returns with its documents; pairs are only ever counted inside a task.
+    What is shuffled grows with the sets times their cluster's blocks, and what a task
+    returns with its sets; pairs are only ever counted inside a task.
     """
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc_id", ignore_index=True)
-        a = np.flatnonzero(pdf["own"] == pdf["first"].iloc[0])
-        b = np.flatnonzero(pdf["own"] == pdf["second"].iloc[0])
-        edges: list[tuple[int, int]] = []
+        pdf = pdf.drop_duplicates("key").sort_values("key", ignore_index=True)
+        own, first, second = pdf["own"], pdf["first"].iloc[0], pdf["second"].iloc[0]
+        a, b = np.flatnonzero(own == first), np.flatnonzero(own == second)
+        rows: list[tuple[int, int | None, int | None]] = []
         if len(pdf) > 1 and len(a) and len(b):
             sets = [shingle_set(t, words) for t in pdf["text"]]
             size = np.array([len(x) for x in sets], np.int64)
             shared = shared_counts(sets, a, b).astype(np.int64)
             union = size[a][:, None] + size[b][None, :] - shared
+            near = (shared > 0) & (100 * shared >= percent * union) & (a[:, None] != b[None, :])
             linked = np.zeros((len(pdf), len(pdf)), bool)
-            linked[np.ix_(a, b)] = (shared > 0) & (100 * shared >= percent * union)
-            edges = spanning_edges(pdf["doc_id"].to_numpy(), linked | linked.T)
-        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
-
-    if placed.count() <= BROADCAST_ROWS:
-        placed = F.broadcast(placed)  # else the texts are shuffled to meet their places
-    return (
-        docs.join(placed, "doc_id")
+            linked[np.ix_(a, b)] = near
+            rows = [(x, y, None) for x, y in spanning_edges(pdf["doc_id"].to_numpy(), linked | linked.T)]
+            if count:
+                earlier = [np.asarray(x, np.int64) for x in pdf["earlier"]]
+                near &= shared_counts(earlier, a, b) == 0
+                copies, keys = pdf["copies"].to_numpy(), pdf["key"].to_numpy()
+                ends = [(a, near @ copies[b])] + ([(b, copies[a] @ near)] if first != second else [])
+                rows += [(int(keys[i]), None, int(n)) for of, ns in ends for i, n in zip(of, ns, strict=True) if n]
+        return pd.DataFrame(rows, columns=["a", "b", "n"], dtype="object").astype("Int64")
+
+    read = docs.withColumnsRenamed({"doc_id": "d_id", "t": "d_t"})
+    # else the texts are shuffled to meet their places
+    longs = placed.agg(F.sum(F.size("earlier") + 8)).first()[0] or 0
+    if longs <= 8 * BROADCAST_ROWS:
+        placed = F.broadcast(placed)
+    found = (
+        read.join(placed, (F.col("d_id") == F.col("doc_id")) & (F.col("d_t") == F.col("t")))
+        .drop("d_id", "d_t")
         .groupBy("cluster", "first", "second")
-        .applyInPandas(compare, "a bigint, b bigint")
+        .applyInPandas(compare, "a bigint, b bigint, n bigint")
     )
+    return hand_over(found, "links") if count else found
 
 
 def linked_components(
@@ -306,37 +312,90 @@ def linked_components(
     words: int = 4,
     percent: int = 85,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: documents whose sets of ``words``-word
-    shingles have a Jaccard similarity of ``percent`` / 100 or more are linked.
+    """(doc_id, n_shingles, component_id) of every row, see ``linked_documents``."""
+    found = _linked(df, doc_id, text, words, percent, count=False)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def linked_documents(
+    df: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = 4,
+    percent: int = 85,
+) -> DataFrame:
+    """(doc_id, n_shingles, n_links, component_id) of every row: documents whose sets of
+    ``words``-word shingles have a Jaccard similarity of ``percent`` / 100 or more are linked.
 
     component_id is the smallest id reachable by links. It is exact for every threshold, but the
     number of signatures rises steeply below 75 percent. Words are what stands between blanks,
     A-Z lower-cased; a text of fewer words is one shingle. The join is exact but for collisions
-    of 64-bit hashes of shingles.
+    of 64-bit hashes of shingles and sets.
+
+    n_links is the number of other documents the row's text is linked with; a document counts once
+    for each of its different sets that is linked, another set of the row's own id too.
 
     1. Every set gives PartEnum signatures (see ``Scheme``): sets that may be linked share one.
-       Equal sets that are read together count once, and a signature is one row for all its
-       documents that are read together, so a hot one is combined before the shuffle.
-    2. Of a signature only the pairs with its smallest document are written; that document and
+       Equal sets are one, known by a hash, and counted as often as documents have it; a signature
+       is one row for all its sets that are read together, so a hot one is combined before the
+       shuffle.
+    2. Of a signature only the pairs with its smallest set are written; that set and
        all it is paired with are a cluster.
-    3. Clusters are compared in blocks, which return links only (see ``_placed``, ``_links``).
+    3. Clusters are compared in blocks, which return a forest of links and the number of links of
+       every set (see ``_placed``, ``_links``).
     4. Components are found over all links.
 
     Null, empty and blank texts have no shingle and are linked with nothing; rows without id get
-    no component. Rows of one id are one document with the links of all its texts. Repeated rows
-    give repeated results. An empty table gives an empty result; other columns are ignored.
+    no component and no links. Rows of one id are one document with the links of all its texts in
+    its component. Repeated rows give repeated results. An empty table gives an empty result;
+    other columns are ignored.
     """
+    return _linked(df, doc_id, text, words, percent, count=True)
+
+
+def _linked(df: DataFrame, doc_id: str, text: str, words: int, percent: int, count: bool) -> DataFrame:
     docs = df.select(
-        F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")
+        F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
+        F.col(f"`{text}`").alias("text"),
+        F.xxhash64(F.col(f"`{text}`")).alias("t"),
     )
     met = _met(docs, percent, words)
-    sizes = met.where("n >= 0").select(F.col("a").alias("doc_id"), F.col("n").cast("bigint").alias("n_shingles"))
-    copies = met.where(F.col("n") == COPIES).select("a", "b")
+    rows = met.where("n is not null").select(
+        F.col("a").alias("doc_id"), F.col("b").alias("key"), F.col("n").cast("bigint").alias("n_shingles"), "t"
+    )
+    owned = (
+        rows.where("doc_id is not null and n_shingles > 0")
+        .groupBy("key", "doc_id")
+        .agg(F.min("t").alias("t"), F.max("n_shingles").alias("n"))
+    )
+    sets = hand_over(
+        owned.groupBy("key")
+        .agg(F.min(F.struct("doc_id", "t")).alias("least"), F.max("n").alias("n"), F.count("*").alias("copies"))
+        .select("key", "least.*", "n", "copies"),
+        "sets",
+    )
+    equal = (
+        rows.where("doc_id is not null")
+        .join(sets.where("copies > 1").select("key", F.col("doc_id").alias("a")), "key")
+        .select("a", F.col("doc_id").alias("b"))
+        .where("a <> b")
+    )
     pairs = met.where("n is null").select("a", "b").distinct()
-    links = _links(_placed(pairs, sizes), docs, percent, words)
-    found = components(copies.unionByName(links))
+    links = _links(_placed(pairs, sets, count), docs, percent, words, count)
+    found = components(equal.unionByName(links.where("b is not null").select("a", "b")))
     own = F.when(F.col("n_shingles") > 0, F.col("component"))
-    return (
-        sizes.join(found.withColumnRenamed("v", "doc_id"), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce(own, "doc_id").alias("component_id"))
+    result = rows.join(found.withColumnRenamed("v", "doc_id"), "doc_id", "left")
+    if count:
+        counted = (
+            sets.select("key", F.col("copies").alias("n"))
+            .unionByName(links.where("b is null").select(F.col("a").alias("key"), "n"))
+            .groupBy("key")
+            .agg((F.sum("n") - 1).alias("links"))
+        )
+        result = result.join(counted, "key", "left")
+    else:
+        result = result.withColumn("links", F.lit(None).cast("bigint"))
+    n_links = F.when(F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0).cast("bigint")))
+    return result.select(
+        "doc_id", "n_shingles", n_links.alias("n_links"), F.coalesce(own, "doc_id").alias("component_id")
     )

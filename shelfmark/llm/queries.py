@@ -92,7 +92,7 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 
 @_register("op2_jaccard_join")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_join.linked_components(_table(spark, folder, "documents"))
+    return jaccard_join.linked_documents(_table(spark, folder, "documents"))
 
 
 @_register("op3_language_id")

@@ -88,6 +88,27 @@ def test_jaccard_join_of_odd_rows(spark):
     assert jaccard_join.linked_components(empty).count() == 0
 
 
+def test_links_are_counted(spark, monkeypatch):
+    """Chains, triangles, copies and several blocks of a cluster; every pair counts once."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 7)
+    rng = random.Random(5)
+    texts = []
+    for length in (8, 40, 120):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(length)]
+        texts += family(rng, base, 40, max(1, length // 12))
+    rows = list(enumerate(texts + texts[:15] + ["", None, "a b c d e"]))
+    df = spark.createDataFrame([*rows, (None, texts[0]), rows[3]], "doc_id bigint, text string").repartition(3)
+    found = jaccard_join.linked_documents(df).collect()
+    sets = [shingles(t, 4) for _, t in rows]
+    want = {
+        i: sum(1 for j, b in enumerate(sets) if i != j and a & b and 100 * len(a & b) >= 85 * len(a | b))
+        for i, a in enumerate(sets)
+    }
+    want[None] = None
+    assert {r.doc_id: r.n_links for r in found} == want and len(found) == len(rows) + 2
+    assert max(want[i] for i, _ in rows) > 10
+
+
 def test_one_id_heads_two_groups_of_copies(spark):
     a, b = "a b c d e", "x y z u v w"
     rows = [(2, a), (2, b), (5, a), (6, b)]
