@@ -178,5 +178,24 @@ def test_secrets_with_given_labels(spark, no_docs):
     assert secrets.scan(no_docs).count() == 0
 
 
+def test_short_and_broken_secrets_are_candidates(spark, no_docs):
+    cases = [
+        ('set password = "hunter2!" now', 3, "hunter2!"),
+        ("pwd=Kx9.mP2$vL", 0, "Kx9.mP2$vL"),
+        ('my "passwd": "two words" end', 2, "two words"),
+        ("see ftp://bob:s3c!t@host here", 1, "s3c!t"),
+        ("a token: abc1 b", 2, "abc1"),
+    ]
+    df = spark.createDataFrame([(k, c[0]) for k, c in enumerate(cases)], "doc_id bigint, text string")
+    found = secrets.assigned(df).collect()
+    assert sorted((r.doc_id, r.at, r.value) for r in found) == [(k, *c[1:]) for k, c in enumerate(cases)]
+    assert {r.doc_id: r.right for r in found} == {0: "now", 1: "", 2: "end", 3: "here", 4: "b"}
+    rows = [(i, f'the password = "h{i}!x" and the secret: word next') for i in range(60)]
+    labels = [(i, f"h{i}!x", 1) for i in range(30)] + [(i, "word", 0) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = secrets.scan(df, spark.createDataFrame(labels, "doc_id bigint, value string, label int"))
+    assert {(r.doc_id, r.value) for r in found.collect()} == {(i, f"h{i}!x") for i in range(60)}
+
+
 def test_secrets_of_odd_rows(odd):
     assert secrets.scan(odd).count() == 0
