@@ -197,5 +197,22 @@ def test_short_and_broken_secrets_are_candidates(spark, no_docs):
     assert {(r.doc_id, r.value) for r in found.collect()} == {(i, f"h{i}!x") for i in range(60)}
 
 
+def test_sample_of_findings_is_bounded_in_one_document(spark, monkeypatch):
+    taken = []
+    keep = secrets.hand_over
+
+    def count(df, name):
+        found = keep(df, name)
+        taken.extend([found.count()] if name == "findings" else [])
+        return found
+
+    monkeypatch.setattr(secrets, "hand_over", count)
+    rows = [(None, k, f"v{k}", k % 2, *[float(k % 7)] * len(secrets.FEATURES)) for k in range(2000)]
+    schema = "doc_id bigint, at int, value string, label int, " + ", ".join(f"{f} double" for f in secrets.FEATURES)
+    df = spark.createDataFrame(rows, schema)
+    secrets.score_findings(df.drop("label"), df, per_label=100, trees=2, depth=2)
+    assert len(taken) == 1 and 120 < taken[0] < 280
+
+
 def test_secrets_of_odd_rows(odd):
     assert secrets.scan(odd).count() == 0
