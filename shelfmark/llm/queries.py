@@ -14,12 +14,15 @@ from shelfmark.llm import (
     jaccard_join,
     langid,
     mixing,
+    periods,
     quality_rules,
     secrets,
     sharding,
+    spelling,
+    top_products,
     toxicity,
 )
-from shelfmark.llm.common import held_out
+from shelfmark.llm.common import held_out, words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -275,3 +278,170 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines.drop_common_lines(docs).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+
+
+# the table of crc32, one value per byte
+_CRC_TABLE = """crc_table AS (
+  SELECT list(v ORDER BY b) AS crc FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)),
+      lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS b))
+)"""
+
+
+def _crc32(hexed: str) -> str:
+    """SQL for the unsigned crc32 of the bytes in a column of hexadecimal digits; needs crc_table."""
+    byte = f"CAST('0x' || substr({hexed}, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)"
+    given = f"list_transform(range(length({hexed}) // 2), lambda i: {byte})"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295, {given}), "
+        "lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295)"
+    )
+
+
+_OP11 = f"""
+WITH RECURSIVE {_CRC_TABLE}, runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), counted AS (
+  SELECT run, count(*) AS c, hex(encode(doc_id || ':' || run)) AS x FROM runs GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, c, {_crc32('x')} AS h FROM counted, crc_table
+), words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT))
+    || substr(run, CAST(h % length(run) + 2 AS BIGINT)) ELSE run END AS word, CAST(sum(c) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING sum(c) >= 2 AND length(word) >= 7
+), cuts AS (
+  SELECT word, n, i, substr(word, 1, CAST(i - 1 AS BIGINT)) AS l, substr(word, CAST(i + 1 AS BIGINT)) AS r
+  FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+), longer AS (
+  SELECT DISTINCT c.word AS long, c.n AS long_n, w.word AS short, w.n AS short_n
+  FROM cuts c JOIN words w ON w.word = c.l || c.r
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b USING (i, l, r) WHERE a.word <> b.word
+  UNION ALL SELECT long, short, short_n FROM longer
+  UNION ALL SELECT short, long, long_n FROM longer
+), best AS (
+  SELECT *, count(*) OVER (PARTITION BY word) AS n_near,
+    row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place FROM near
+), judged AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form,
+    CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word AND b.place = 1
+), ways AS (
+  SELECT word, word AS root, form AS next FROM judged
+  UNION ALL SELECT w.word, j.word, j.form FROM ways w JOIN judged j ON j.word = w.next
+)
+SELECT j.word, j.form, w.root, j.n, j.n_near, j.form_n FROM judged j JOIN ways w ON w.word = j.word AND w.next IS NULL
+"""
+
+
+@_register("op11_spelling_variants", _OP11)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    # one code point less never makes a run longer, so shorter runs are not even cut out
+    found = spelling.letter_runs(docs, least=7)
+    spoilt = found.withColumn("h", F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), "word").cast("binary")))
+    cut = spelling.without(F.col("word"), F.col("h") % F.length("word"))
+    word = F.when(F.col("h") % 31 == 0, cut).otherwise(F.col("word")).alias("word")
+    counts = spoilt.select(word).where(F.length("word") >= 7).groupBy("word").agg(F.count("*").alias("n"))
+    return spelling.group_variants(counts.where("n >= 2"), ratio=10)
+
+
+_OP12 = f"""
+WITH {_CRC_TABLE}, docs AS (
+  SELECT row_number() OVER () AS d, doc_id, hex(encode(CAST(doc_id AS VARCHAR))) AS x,
+    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda v: v <> '') AS w
+  FROM documents
+), hashed AS (
+  SELECT d, doc_id, w, CAST(len(w) AS BIGINT) AS n, {_crc32('x')} AS h FROM docs, crc_table
+), parts AS (
+  SELECT *, CASE WHEN n > 0 THEN (h // 10) % n END AS a,
+    CASE WHEN n > 0 THEN 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) END AS p FROM hashed
+), texts AS (
+  SELECT d, doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN w[1 : a] || list_transform(range(a, n),
+    lambda i: w[CAST(a + (i - a) % p + 1 AS BIGINT)]) ELSE w END AS w, n FROM parts
+), grams AS (
+  SELECT d, i, array_to_string(w[i + 1 : i + 6], ' ') AS g
+  FROM (SELECT d, w, unnest(range(n - 5)) AS i FROM texts WHERE n >= 12)
+), pairs AS (
+  SELECT x.d, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.d = y.d AND x.g = y.g AND x.i < y.i
+), islands AS (
+  SELECT d, q, i, i - row_number() OVER (PARTITION BY d, q ORDER BY i) AS island FROM pairs
+), stretches AS (
+  SELECT d, q, min(i) AS s, max(i) + 6 + q AS e FROM islands GROUP BY d, q, island
+), runs AS (
+  SELECT d, s, e, min(q) AS q FROM stretches WHERE e - s >= greatest(12, 2 * q) GROUP BY d, s, e
+), digests AS (
+  SELECT d, count(*) AS n_runs, string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q) AS listed,
+    arg_min(struct_pack(s := s, l := e - s, q := q), struct_pack(l := s - e, s := s, q := q)) AS b
+  FROM runs GROUP BY d
+), dropped AS (
+  SELECT DISTINCT d, unnest(range(s + q, e)) AS i FROM runs
+), kept AS (
+  SELECT t.d, string_agg(t.v, ' ' ORDER BY t.i) AS c
+  FROM (SELECT d, unnest(w) AS v, unnest(range(n)) AS i FROM texts) t ANTI JOIN dropped x ON x.d = t.d AND x.i = t.i
+  GROUP BY t.d
+)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.l AS length, b.q AS period,
+  1000 * b.l // b.q AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+  sha256(coalesce(c, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN digests USING (d) LEFT JOIN kept USING (d)
+"""
+
+
+@_register("op12_periodic_runs", _OP12)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = _table(spark, folder, "documents").select(
+        "doc_id", "text", hashed.alias("h"), F.floor(hashed / 10).alias("g"), words(F.col("text")).alias("w")
+    )
+    n, g = F.size("w").cast("bigint"), F.col("g")
+    a, p = g % n, 1 + F.floor((n - g % n) / (3 + g % 8))
+    period = F.slice("w", (a + 1).cast("int"), p.cast("int"))
+    again = F.flatten(F.array_repeat(period, F.ceil((n - a) / p).cast("int")))
+    periodic = F.concat(
+        F.slice("w", F.lit(1), a.cast("int")), F.slice(again, F.lit(1), (n - a).cast("int"))
+    )
+    text = F.when((F.col("h") % 10 == 0) & (n > 0), F.array_join(periodic, " ")).otherwise(F.col("text"))
+    found = periods.collapse_runs(docs.select("doc_id", text.alias("text")), carry=["doc_id"])
+    longest = F.array_min(F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"])))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    ends = F.transform(line, lambda x: F.concat(x, F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        longest["start"].alias("start"),
+        (-longest["col1"]).alias("length"),
+        longest["period"].alias("period"),
+        F.floor(-1000 * longest["col1"] / longest["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(ends, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+_OP13 = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.r, q.vec_id AS query_id, p.vec_id, CAST(list_inner_product(q.v, p.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors p ON q.vec_id % 50 = 0 AND q.r <> p.r
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@_register("op13_top_products", _OP13)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    given = _table(spark, folder, "embeddings").select("vec_id", "embedding")
+    x = F.transform("embedding", lambda v: v.cast("double"))
+    finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    whole = F.transform(x, lambda v: F.floor(v * 256))
+    vectors = given.where(finite).select("vec_id", whole.alias("vector"))
+    return top_products.top_products(vectors, F.col("vec_id") % 50 == 0, k=5)
