@@ -36,23 +36,25 @@ def lineage_edges(
     starts = paths.select(*carry, "path", F.explode(_starts(legacy_three_hop)).alias("i"))
     flow = F.get(F.col("path")[F.col("i") + 1], F.lit(0))
 
-    def edge(src_otype: Column, src: Column, dst_otype: Column, dst: Column) -> Column:
-        return F.struct(
-            src_otype.alias("src_otype"), src.alias("src"),
-            dst_otype.alias("dst_otype"), dst.alias("dst"),
+    def ends(hop: Column, goes_in: bool) -> Column:
+        return F.transform(
+            hop,
+            lambda e: F.struct(F.lit(goes_in).alias("goes_in"), e["otype"].alias("otype"), e["key"].alias("key")),
         )
 
-    flow_type, flow_key = F.lit("dataflow"), flow["key"]
-    edges = F.concat(
-        F.transform(
-            F.col("path")[F.col("i")], lambda e: edge(e["otype"], e["key"], flow_type, flow_key)
-        ),
-        F.transform(
-            F.col("path")[F.col("i") + 2], lambda e: edge(flow_type, flow_key, e["otype"], e["key"])
-        ),
+    both = F.concat(ends(F.col("path")[F.col("i")], True), ends(F.col("path")[F.col("i") + 2], False))
+    # an edge is told by its end and its dataflow, so each text is in the key of the distinct once
+    halves = starts.select(*carry, flow["key"].alias("dataflow"), F.explode(both).alias("e"))
+    found = halves.select(*carry, "dataflow", "e.*").distinct()
+    flow_type, goes_in = F.lit("dataflow"), F.col("goes_in")
+    return found.select(
+        *carry,
+        "dataflow",
+        F.when(goes_in, F.col("otype")).otherwise(flow_type).alias("src_otype"),
+        F.when(goes_in, F.col("key")).otherwise(F.col("dataflow")).alias("src"),
+        F.when(goes_in, flow_type).otherwise(F.col("otype")).alias("dst_otype"),
+        F.when(goes_in, F.col("dataflow")).otherwise(F.col("key")).alias("dst"),
     )
-    found = starts.select(*carry, flow_key.alias("dataflow"), F.explode(edges).alias("e"))
-    return found.select(*carry, "dataflow", "e.*").distinct()
 
 
 def tables_with_lineage(dataflows: DataFrame, titles: DataFrame) -> DataFrame:

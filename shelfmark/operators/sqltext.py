@@ -184,24 +184,71 @@ def sql_table_lineage(stmts: DataFrame, statement: str = "statement") -> DataFra
     )
 
 
+_PART = r"""("[^"]*"|`[^`]*`|\[[^\]]*\]|[^\s."`\[\]]+)"""
+_DOT = "\u0003"  # between the parts of a name, of which a quoted one may hold dots
+
+
+def name_parts(name: str | Column) -> Column:
+    """Parts of a dotted name in lower case, without identifier quotes."""
+    found = F.regexp_extract_all(F.col(name) if isinstance(name, str) else name, F.lit(_PART), F.lit(1))
+    bare = lambda part: F.regexp_replace(part, r"""^["`\[](.*)["`\]]$""", "$1")
+    return F.transform(found, lambda part: F.lower(bare(part)))
+
+
+def _tails(parts: Column, least: int) -> Column:
+    """The last parts of a name, all of them first, down to the last ``least``."""
+    n = F.size(parts)
+    starts = F.when(n >= least, F.sequence(F.lit(1), n - least + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_join(F.slice(parts, i, n), _DOT))
+
+
+def tail_index(catalog: DataFrame) -> DataFrame:
+    """(tail, key, rank): every name under which a catalog table may be met, with its lowest key.
+
+    ``catalog`` has (``schema``, ``table``, ``key``), the schema of any number of parts. Names are the
+    table's whole name (rank 0) and its other dotted tails (1), and each other part of the schema
+    with the table (2). Of several tables for one name the lowest rank counts, then the lowest key.
+    """
+    schema = F.coalesce(name_parts("schema"), F.array().cast("array<string>"))
+    table = F.lower(F.regexp_replace("table", r"""^["`\[](.*)["`\]]$""", "$1"))
+    named = catalog.where("table is not null").select("key", schema.alias("schema"), table.alias("table"))
+    whole = F.concat("schema", F.array("table"))
+    entries = F.concat(
+        F.transform(_tails(whole, 1), lambda t, i: F.struct(t.alias("tail"), F.least(i, F.lit(1)).alias("rank"))),
+        F.transform("schema", lambda s: F.struct(F.concat_ws(_DOT, s, "table").alias("tail"), F.lit(2).alias("rank"))),
+    )
+    best = F.min(F.struct("rank", "key"))
+    return (
+        named.select("key", F.explode(entries).alias("e")).select("key", "e.*")
+        .groupBy("tail").agg(best.alias("b")).select("tail", "b.key", "b.rank")
+    )
+
+
 def resolve_tables(refs: DataFrame, catalog: DataFrame, name: str = "name") -> DataFrame:
     """Add the catalog key of a table name in a text, null if there is none.
 
-    ``catalog`` has (``schema``, ``table``, ``key``). Case is ignored; a name without a schema
-    takes the lowest key of that table name. Of a dotted schema each part and the whole count.
+    Names have any number of parts, quoted or not; case is ignored. The whole name is looked up
+    among the names of ``tail_index``. A name that has more parts than the catalog knows, as one with a
+    database in front, is then tried without its first parts, down to schema and table, against
+    whole names of the catalog only. The first that is found counts, of several tables the lowest
+    key among those of the best rank.
+
+    Distinct names are split and looked up once; rows of ``refs`` are joined with the result.
     """
-    parts = F.split(F.lower(name), r"\.")
-    wanted = refs.withColumn(
-        "_schema", F.when(F.size(parts) > 1, parts[0]).otherwise(F.lit(""))
-    ).withColumn("_table", F.when(F.size(parts) > 1, parts[1]).otherwise(parts[0]))
-    schema = F.lower("schema")
-    names = F.array_distinct(F.concat(F.array(F.lit(""), schema), F.split(schema, r"\.")))
-    dim = (
-        catalog.select(F.explode(names).alias("_schema"), F.lower("table").alias("_table"), "key")
-        .groupBy("_schema", "_table")
-        .agg(F.min("key").alias("key"))
+    names = refs.select(F.col(name).alias("_name")).where("_name is not null").distinct()
+    parts = names.select("_name", name_parts("_name").alias("parts"))
+    # the whole name even if it has one part, then its tails of two parts and more
+    shorter = F.when(F.size("parts") > 2, F.slice(_tails(F.col("parts"), 2), 2, 1 << 30)).otherwise(F.array().cast("array<string>"))
+    probes = F.concat(F.array(F.array_join("parts", _DOT)), shorter)
+    probed = parts.select("_name", F.posexplode(probes).alias("step", "tail"))
+    index = tail_index(catalog)
+    found = (
+        lookup_join(probed, index, "tail", "inner")
+        .where("step = 0 or rank = 0")
+        .groupBy("_name")
+        .agg(F.min_by("key", "step").alias("key"))
     )
-    return lookup_join(wanted, dim, ["_schema", "_table"]).drop("_schema", "_table")
+    return lookup_join(refs.withColumn("_name", F.col(name)), found, "_name").drop("_name")
 
 
 _MENTION = r"([A-Z0-9_]+)\.([A-Z0-9_]+)"
@@ -230,53 +277,33 @@ def mention_resolve(
     )
 
 
-_TABLE_REF = r"(?i)\b(from|join)\W+(\w+)[.](\w+)"
+_TABLE_REF = rf"(?i)\b(from|join)\b[\s(]*{_NAME}"
 
 
 def text_dictionary_match(
     log: DataFrame, row_id: str, text: str, catalog: DataFrame
 ) -> DataFrame:
-    """Catalog tables named after FROM or JOIN in a text.
+    """Catalog tables named after FROM or JOIN in a text: (row id, ``pos``, ``statement``, ``schema``,
+    ``table``, ``key``), with schema and table as the text has them, in lower case and without quotes.
 
-    All names are extracted first and then joined, so the cost follows the texts and not the
-    number of catalog tables.
+    Names have one to many parts, quoted or not, and are resolved as by ``resolve_tables``. All are
+    extracted first and then joined, so the cost follows the texts and not the number of catalog
+    tables.
     """
     hits = F.regexp_extract_all(text, F.lit(_TABLE_REF), F.lit(0))
-    group = lambda i: F.lower(F.regexp_extract("hit", _TABLE_REF, i))
+    group = lambda i: F.regexp_extract("hit", _TABLE_REF, i)
     refs = log.select(row_id, F.posexplode(hits).alias("pos", "hit")).select(
-        row_id, "pos", group(1).alias("statement"), group(2).alias("schema"), group(3).alias("table")
-    )
-    dim = catalog.select(
-        F.lower("schema").alias("schema"), F.lower("table").alias("table"), "key"
+        row_id, "pos", F.lower(group(1)).alias("statement"), group(2).alias("_ref")
     )
-    return lookup_join(refs, dim, ["schema", "table"], "inner")
-
-
-def xml_task_lineage(files: DataFrame, content: str = "content") -> tuple[DataFrame, DataFrame]:
-    """SQL statements and pipelines of ETL project files, one file per row.
-
-    The first table has a row per task with SQL text: ``task_id``, ``title``, ``statement``; feed
-    it to ``split_statements`` and ``sql_table_lineage``. The second has a row per pipeline with a
-    query and a target table: ``query``, ``target``.
-    """
-    task = '//*[name()="SQLTask:SqlTaskData"]'
-    sql = F.xpath(content, F.lit(task + '/@*[name()="SQLTask:SqlStatementSource"]'))
-    ids = F.xpath(content, F.lit(task + '/../../@*[name()="DTS:DTSID"]'))
-    titles = F.xpath(content, F.lit(task + '/../../@*[name()="DTS:ObjectName"]'))
-    cloud = F.xpath(content, F.lit("//AmazonRedshiftExecuteSqlTask/@SqlStatementSource"))
-    tasks = files.select(F.explode(F.arrays_zip(ids.alias("task_id"), titles.alias("title"), sql.alias("statement"))).alias("t")).select("t.*")
-    clouds = files.select(F.explode(cloud).alias("statement")).select(
-        F.lit(None).cast("string").alias("task_id"),
-        F.lit(None).cast("string").alias("title"),
+    parts = name_parts("_ref")
+    return resolve_tables(refs, catalog, "_ref").where("key is not null").select(
+        row_id,
+        "pos",
         "statement",
+        F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), ".").alias("schema"),
+        F.element_at(parts, -1).alias("table"),
+        "key",
     )
-    pipeline = F.regexp_extract_all(content, F.lit(r"(?s)<pipeline\b.*?</pipeline>"), F.lit(0))
-    parts = files.select(F.explode(pipeline).alias("p")).select(
-        F.xpath_string("p", F.lit('//property[@name="Query"]')).alias("query"),
-        F.xpath("p", F.lit('//property[@name="TableName"]/text()')).alias("targets"),
-    )
-    pipelines = parts.where("query <> ''").select("query", F.explode("targets").alias("target"))
-    return tasks.unionByName(clouds).where("statement <> ''"), pipelines
 
 
 def pipeline_lineage(pipelines: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from shelfmark.operators import lineage as L
+from shelfmark.operators import projects as P
 from shelfmark.operators import querylog as G
 from shelfmark.operators import sqltext as S
 from shelfmark.plans import fixtures as X
@@ -121,7 +122,7 @@ def stream_query_log_query(t):
     audit.write.mode("append").json(source)  # every file is delivered twice
     stream = stream_query_log(t.spark, source, X.AUDIT_SCHEMA, sink, checkpoint)
     stream.awaitTermination()
-    return t.spark.read.parquet(sink).drop("event_ts", "event_key", "file_no")
+    return t.spark.read.parquet(sink).drop("event_ts", "event_key", "file_no", "batch")
 
 
 # the statements of each text: comments and blank ones are left out
@@ -191,21 +192,61 @@ def resolve_tables(t):
     return S.resolve_tables(names, X.tables(t))
 
 
+def _long_names(t):
+    """Catalog with databases, and table names in texts of one to four parts, some quoted."""
+    named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    database = F.concat(F.lit("db"), F.col("n_regionkey").cast("string"))
+    table = F.concat(F.lit("t"), F.col("c_custkey").cast("string"))
+    catalog = named.select(
+        F.concat_ws(".", database, F.lower("n_name")).alias("schema"), table.alias("table"),
+        F.concat_ws(".", database, F.lower("n_name"), table).alias("key"),
+    )
+    quoted = F.concat(F.lit('"'), F.col("n_name"), F.lit('"."'), F.upper(table), F.lit('"'))
+    kind = F.col("c_custkey") % 8
+    name = (
+        F.when(kind == 0, F.upper(table))
+        .when(kind == 1, F.concat_ws(".", "n_name", table))
+        .when(kind == 2, quoted)
+        .when(kind == 3, F.concat_ws(".", database, "n_name", table))
+        .when(kind == 4, F.concat_ws(".", F.lit("`prod`"), database, F.concat(F.lit("["), "n_name", F.lit("]")), table))
+        .when(kind == 5, F.concat_ws(".", database, table))
+        .when(kind == 6, F.concat_ws(".", F.lit("db"), "n_name", table))
+        .otherwise(F.concat(F.lit('"'), F.concat_ws(".", "n_name", table), F.lit('"')))
+    )
+    return named.select("c_custkey", name.alias("name")), catalog
+
+
+@query(
+    "resolve_long_names",
+    """SELECT c_custkey, CASE WHEN c_custkey % 8 < 6
+         THEN 'db' || n_regionkey || '.' || lower(n_name) || '.t' || c_custkey END AS key
+       FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+)
+def resolve_long_names(t):
+    return S.resolve_tables(*_long_names(t)).select("c_custkey", "key")
+
+
 def _xml(t):
-    """ETL project file per 50 events: tasks with SQL, and pipelines with query and target."""
+    """ETL project file per 50 events: tasks with SQL, of which every fifth lacks a name and every
+    seventh has a second statement, and pipelines with query and target, each in a task of its own.
+    """
     marks = (("&", "&amp;"), ("<", "&lt;"), ('"', "&quot;"), ("\n", "&#10;"))
     sql = F.col("sql_text")
     for char, entity in marks:
         sql = F.replace(sql, F.lit(char), F.lit(entity))
     key = F.col("event_id").cast("string")
     user = F.col("user_id").cast("string")
+    name = F.when(F.col("event_id") % 5 != 0, F.concat(F.lit(' DTS:ObjectName="Task &lt;'), key, F.lit('&gt;"'))).otherwise("")
+    second = F.lit('<SQLTask:SqlTaskData SQLTask:SqlStatementSource="truncate table x > y"></SQLTask:SqlTaskData>')
     task = F.concat(
-        F.lit('<DTS:Executable DTS:DTSID="{'), key, F.lit('}" DTS:ObjectName="Task '), key,
-        F.lit('"><DTS:ObjectData><SQLTask:SqlTaskData SQLTask:SqlStatementSource="'), sql,
-        F.lit('"/></DTS:ObjectData></DTS:Executable><pipeline><components><component><properties>'),
+        F.lit('<DTS:Executable DTS:DTSID="{'), key, F.lit('}"'), name,
+        F.lit('><DTS:ObjectData><SQLTask:SqlTaskData SQLTask:SqlStatementSource="'), sql, F.lit('"/>'),
+        F.when(F.col("event_id") % 7 == 0, second).otherwise(""),
+        F.lit('</DTS:ObjectData></DTS:Executable><!-- <DTS:Executable> --><DTS:Executable DTS:ObjectName="Pipe '), user,
+        F.lit('"><DTS:ObjectData><pipeline><components><component><properties>'),
         F.lit('<property name="Query">select * from nation_'), user, F.lit(".t"), user,
         F.lit('</property><property name="TableName">mart.p'), user,
-        F.lit("</property></properties></component></components></pipeline>"),
+        F.lit("</property></properties></component></components></pipeline></DTS:ObjectData></DTS:Executable>"),
     )
     files = X.queries(t).groupBy(F.floor(F.col("event_id") / 50)).agg(F.collect_list(task).alias("tasks"))
     return files.select(
@@ -224,12 +265,39 @@ def _xml(t):
     UNION SELECT 'out', 'table', 'mart.p' || user_id FROM events""",
 )
 def xml_task_lineage(t):
-    tasks, pipelines = S.xml_task_lineage(_xml(t))
+    tasks, pipelines = P.xml_task_lineage(_xml(t))
     flows = S.sql_table_lineage(S.split_statements(tasks.withColumnRenamed("statement", "s"), "s"))
-    paths = flows.unionByName(S.pipeline_lineage(pipelines.distinct()))
+    paths = flows.unionByName(S.pipeline_lineage(pipelines.select("query", "target").distinct()))
     return _ends(L.lineage_edges(paths))
 
 
+_TASKS = f"""WITH {X.QUERIES}
+    SELECT '{{' || event_id || '}}' AS task_id, CASE WHEN event_id % 5 <> 0 THEN 'Task <' || event_id || '>' END AS title,
+      sha256(sql_text) AS text_hash FROM q
+    UNION ALL SELECT '{{' || event_id || '}}', CASE WHEN event_id % 5 <> 0 THEN 'Task <' || event_id || '>' END,
+      sha256('truncate table x > y') FROM q WHERE event_id % 7 = 0
+    UNION ALL SELECT NULL, 'Pipe ' || user_id, sha256('select * from nation_' || user_id || '.t' || user_id || '>mart.p' || user_id) FROM q"""
+
+
+def _named_tasks(files):
+    tasks, pipelines = P.xml_task_lineage(files)
+    whole = F.concat_ws(">", "query", "target")
+    both = tasks.unionByName(pipelines.select("task_id", "title", whole.alias("statement")))
+    return both.select("task_id", "title", F.sha2("statement", 256).alias("text_hash"))
+
+
+@query("xml_tasks", _TASKS)
+def xml_tasks(t):
+    return _named_tasks(_xml(t))
+
+
+@query("xml_tasks_in_pieces", _TASKS)
+def xml_tasks_in_pieces(t):
+    path = scratch_path(t.spark, "projects")
+    _xml(t).write.text(path)
+    return _named_tasks(P.task_pieces(t.spark, path))
+
+
 @query(
     "execution_flatten",
     """SELECT conv_id AS session_id, conv_id * 10 + turn % 2 AS batch_id, conv_id * 1000 + turn AS event_id,

@@ -256,3 +256,21 @@ def mention_resolve(t):
 def text_dictionary_match(t):
     found = sqltext.text_dictionary_match(X.queries(t), "event_id", "sql_text", X.tables(t))
     return found.select("event_id", "statement", "key")
+
+
+@query(
+    "text_dictionary_long_names",
+    f"""WITH {X.CATALOG_TABLES}
+    SELECT id, 'from' AS statement, "schema", "table", key FROM tab
+    UNION ALL SELECT id, 'join', 'prod.' || "schema", "table", key FROM tab""",
+)
+def text_dictionary_long_names(t):
+    tables = X.tables(t)
+    name = lambda *parts: F.concat_ws(".", *parts)
+    quoted = lambda c: F.concat(F.lit('"'), F.upper(c), F.lit('"'))
+    text = F.concat(
+        F.lit("select extract(day from d) FROM "), name(quoted("schema"), quoted("table")),
+        F.lit(" a join ("), name(F.lit("[prod]"), "schema", F.concat(F.lit("`"), "table", F.lit("`"))), F.lit(" b) join no.such"),
+    )
+    log = tables.select("id", text.alias("text"))
+    return sqltext.text_dictionary_match(log, "id", "text", tables).drop("pos")

@@ -31,6 +31,22 @@ def _place(df: DataFrame, order: list[Column]) -> DataFrame:
     return placed.withColumn(_RANGE, F.shiftright(_MID, _POSITION_BITS))
 
 
+def place_rows(df: DataFrame, order: Sequence[str | Column], ranges: int) -> DataFrame:
+    """Rows sorted into about ``ranges`` ranges, equal keys in one, with the number of the range
+    (``_range``) and the place in it (``_place``, from 0). Written once.
+    """
+    by = as_columns(order)
+    placed = hand_over(
+        df.repartitionByRange(ranges, *by).sortWithinPartitions(*by).withColumn(_MID, F.monotonically_increasing_id()),
+        "placed",
+    )
+    return placed.select(
+        *df.columns,
+        F.shiftright(_MID, _POSITION_BITS).alias("_range"),
+        F.col(_MID).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_place"),
+    )
+
+
 def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "rn") -> DataFrame:
     """Add the 1-based row number over the whole table in ``order``.
 

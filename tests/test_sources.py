@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from pathlib import Path
 
 import pytest
@@ -46,6 +47,54 @@ def test_log_folders_are_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(region" in plan
 
 
+def spread(spark, size):
+    """Splits of so many bytes for whatever is read in the block."""
+
+    class Held:
+        def __enter__(self):
+            self.old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+
+        def __exit__(self, *_):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", self.old)
+
+    return Held()
+
+
+@pytest.mark.parametrize("size", [9, 64, 100_000])
+def test_fields_with_line_breaks_are_read_by_several_tasks(spark, tmp_path, size):
+    """Quotes, line breaks and separators fall on every place of the borders of splits."""
+    rng = random.Random(size)
+    made = ["", "plain", 'say ""x""', "two\nlines", "a;b", '"', '""', "\n", "\n\n", 'end"\n', "é\n𝒳", "\r\n in", "long " * 9 + "\nx\n" * 9]
+    schema = "a string, b int, c string"
+    for n in range(3):
+        lines = ["a;b;c"]
+        for k in range({9: 6, 64: 40}.get(size, 300)):
+            cell = lambda: '"' + rng.choice(made).replace('"', '""') + '"' if rng.random() < 0.6 else rng.choice(["", "p", "q r"])
+            lines.append(f"{cell()};{k};{cell()}" if rng.random() < 0.95 else "")
+        end = ["\n", "\n", "\r\n"][n]
+        (tmp_path / f"{n}.csv").write_bytes(("\ufeff" if n else "").encode() + (end.join(lines) + (end if n else "")).encode())
+    options = {"header": True, "sep": ";", "multiLine": True, "escape": '"'}
+    want = rows(spark.read.schema(schema).options(**options).csv(str(tmp_path)))
+    with spread(spark, size):
+        got = rows(readers.scan_csv(spark, str(tmp_path), schema, sep=";", multiline=True))
+    assert got == want and len(want) > 14
+
+
+def test_one_record_over_many_splits(spark, tmp_path):
+    long = "x\n" * 5000
+    (tmp_path / "a.csv").write_text(f'a,b\n1,"{long}"\n2,y\n')
+    (tmp_path / "b.csv").write_text('a,b\n3,"never closed\n4,z\n')
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "header.csv").write_text("a,b\n")
+    with spread(spark, 2500):
+        lines = readers.scan_pieces(spark, str(tmp_path / "a.csv"), "\n", "value")
+        assert lines.select("block").distinct().count() == 5
+        found = readers.scan_csv(spark, str(tmp_path), "a int, b string", multiline=True).collect()
+    got = {r.a: r.b for r in found}
+    assert got[1] == long and got[2] == "y" and set(got) == {1, 2, 3} and "never closed" in got[3]
+
+
 @pytest.mark.parametrize("codec", ["snappy", "zstd", "gzip"])
 def test_partitioned_table(spark, tmp_path, codec):
     data = spark.range(100).withColumn("day", (F.col("id") % 3).cast("int"))

@@ -1,6 +1,7 @@
 import pytest
 from conftest import rows
 
+from shelfmark.operators import projects
 from shelfmark.operators import sqltext as S
 from shelfmark.operators.lineage import lineage_edges
 
@@ -85,6 +86,34 @@ def test_resolve(spark, no_broadcast):
     }
 
 
+def test_names_of_any_length(spark, no_broadcast):
+    catalog = spark.createDataFrame(
+        [
+            ("prod.sales", "orders", "1.prod.sales.orders"), ("sales", "orders", "2.sales.orders"), ("Hr", "People", "3.hr.people"),
+            ("", "alone", "4.alone"), (None, "orphan", "5.orphan"), ("hr", "a.b", "6.hr.a.b"), ("x.hr", "people", "0.x.hr.people"),
+            ("x", None, "7.x"),
+        ],
+        "schema string, table string, key string",
+    )
+    want = {
+        "prod.sales.orders": "1.prod.sales.orders",  # all parts
+        '"Prod" . [Sales].`ORDERS`': "1.prod.sales.orders",
+        "srv.prod.sales.orders": "1.prod.sales.orders",  # more than the catalog knows
+        "dev.sales.orders": "2.sales.orders",
+        "sales.orders": "2.sales.orders",  # the whole name comes before the tail of a longer one
+        "orders": "1.prod.sales.orders",  # two tails: the lowest key
+        "prod.orders": "1.prod.sales.orders",  # another part of the schema
+        "hr.people": "3.hr.people", "z.hr.people": "3.hr.people", "people": "0.x.hr.people",
+        "alone": "4.alone", "any.alone": None, "orphan": "5.orphan", 'hr."a.b"': "6.hr.a.b", "hr.a.b": None, "": None, "..": None,
+    }
+    names = spark.createDataFrame([(n,) for n in [*want, *want, None]], "name string")
+    found = S.resolve_tables(names, catalog).collect()
+    assert len(found) == 2 * len(want) + 1
+    assert {r.name: r.key for r in found} == want | {None: None}
+    assert S.resolve_tables(names, catalog.limit(0)).where("key is not null").count() == 0
+    assert S.resolve_tables(names.limit(0), catalog).count() == 0
+
+
 def test_mentions(spark, no_broadcast):
     cols = spark.createDataFrame([("tab", "COL", 7), ("TAB", "col", 5)], "table string, column string, id int")
     df = spark.createDataFrame([(1, "TAB.COL and TAB.COL, T.X"), (2, "none"), (3, None)], "id int, text string")
@@ -101,6 +130,14 @@ def test_dictionary(spark, no_broadcast):
     ]
 
 
+def test_dictionary_reads_quoted_and_long_names(spark, no_broadcast):
+    catalog = spark.createDataFrame([("s", "t", "1.s.t")], "schema string, table string, key string")
+    log = one(spark, 'select 1 FROM "S"."T" x join (db.s.t) join `my db`.[s]."t" join u from t where from_t = from').selectExpr("1 as id", "sql")
+    assert rows(S.text_dictionary_match(log, "id", "sql", catalog), "pos", "statement", "schema", "table", "key") == [
+        (0, "from", "s", "t", "1.s.t"), (1, "join", "db.s", "t", "1.s.t"), (2, "join", "my db.s", "t", "1.s.t"), (4, "from", "", "t", "1.s.t"),
+    ]
+
+
 XML = """<Root xmlns:DTS="d" xmlns:SQLTask="s">
 <DTS:Executable DTS:DTSID="{1}" DTS:ObjectName="First"><DTS:ObjectData>
 <SQLTask:SqlTaskData SQLTask:SqlStatementSource="insert into a select * from b, c; select 1"/></DTS:ObjectData></DTS:Executable>
@@ -113,7 +150,7 @@ XML = """<Root xmlns:DTS="d" xmlns:SQLTask="s">
 
 
 def test_xml(spark):
-    tasks, pipelines = S.xml_task_lineage(spark.createDataFrame([(XML,)], "content string"))
+    tasks, pipelines = projects.xml_task_lineage(spark.createDataFrame([(XML,)], "content string"))
     assert rows(tasks, "task_id", "title") == sorted(
         [("{1}", "First"), ("{2}", "Second"), (None, None)], key=repr
     )
@@ -125,3 +162,68 @@ def test_xml(spark):
     assert rows(edges.where("src = dataflow"), "dst_otype", "dst") == [
         ("table", "a"), ("table", "out1"), ("table", "p"),
     ]
+
+
+def cut_at_tasks(spark, projects_by_file, per_block):
+    """Pieces as the reader of large files gives them, with the given number of pieces per split."""
+    pieces = []
+    for file, xml in projects_by_file.items():
+        for n, piece in enumerate(xml.split(projects.TASK_END)):
+            pieces.append((file, n // per_block * 100, n, piece + projects.TASK_END))
+    return spark.createDataFrame(pieces[::-1], "file string, block bigint, place bigint, content string")
+
+
+def task(attributes, *sql, inner=""):
+    data = "".join(f"<SQLTask:SqlTaskData SQLTask:SqlStatementSource='{q}'/>" for q in sql)
+    return f"<DTS:Executable {attributes}>{inner}<DTS:ObjectData>{data}</DTS:ObjectData></DTS:Executable>"
+
+
+def test_fields_of_a_task_stay_together(spark):
+    name = 'DTS:ObjectName="{}" DTS:DTSID="{}"'.format
+    first = "".join(
+        [
+            "<DTS:Executable><DTS:Executables>",
+            task('DTS:DTSID="1"', "select 1"),  # no name
+            task(name("Load B", 2), "select 2", "select &lt;2&gt; > &quot;&quot;"),
+            "<!--", task(name("No", 0), "no"), "-->",
+            task('DTS:ObjectName="Load C"', "select 3"),  # no id
+            task(name("Empty", 4), ""),
+            # a task whose own statement comes after the tasks inside it
+            task(name("Outer", 5), "select 5", inner=task(name("In", 6), "select 6") + task(name("Self", 7)) + "<DTS:Executable a='/>'/>"),
+            '<DTS:Executable DTS:DTSID="8"><AmazonRedshiftExecuteSqlTask SqlStatementSource="select 8"/></DTS:Executable>',
+            "</DTS:Executables></DTS:Executable>",
+        ]
+    )
+    pipe = '<pipeline><a><property name="Query">select 9 from q</property><property name="TableName">t1</property><property name="TableName">t2</property></a></pipeline>'
+    second = f"<r>{pipe}{task(name('P', 9), inner=pipe)}</r>"
+    want = {
+        ("1", None, "select 1"), ("2", "Load B", "select 2"), ("2", "Load B", 'select <2> > ""'),
+        (None, "Load C", "select 3"), ("5", "Outer", "select 5"), ("6", "In", "select 6"), ("8", None, "select 8"),
+    }
+    want_pipes = sorted([(i, t, "select 9 from q", x) for i, t in ((None, None), ("9", "P")) for x in ("t1", "t2")], key=repr)
+    commented = first.replace("<!--", "").replace("-->", "")
+    whole = spark.createDataFrame([(first,), (second,), (None,), ("",)], "content string")
+    found = [projects.xml_task_lineage(whole)]
+    for per_block in (1, 2, 3, 100):  # tasks open over many blocks
+        cut = cut_at_tasks(spark, {"a": commented, "b": second}, per_block)
+        found.append(projects.xml_task_lineage(cut))
+    for n, (tasks, pipes) in enumerate(found):
+        more = {("0", "No", "no")} if n else set()
+        assert set(map(tuple, tasks.collect())) == want | more and tasks.count() == len(want | more)
+        assert rows(pipes) == want_pipes
+
+
+def test_large_project_is_read_by_several_tasks(spark, tmp_path):
+    name = 'DTS:ObjectName="T{0}" DTS:DTSID="{0}"'.format
+    body = "".join(task(name(i) if i % 5 else f'DTS:DTSID="{i}"', f"select {i}") for i in range(3000))
+    (tmp_path / "p.dtsx").write_text(f"<DTS:Executable DTS:ObjectName='All'>{body}</DTS:Executable>\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        pieces = projects.task_pieces(spark, str(tmp_path))
+        assert pieces.rdd.getNumPartitions() > 5 and pieces.select("block").distinct().count() > 5
+        tasks, _ = projects.xml_task_lineage(pieces)
+        got = {r.task_id: (r.title, r.statement) for r in tasks.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {str(i): (f"T{i}" if i % 5 else None, f"select {i}") for i in range(3000)}
