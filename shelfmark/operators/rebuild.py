@@ -1,8 +1,9 @@
 """Replace parts of a text by values that come from another table.
 
-The text is cut at a pattern and each match is parsed once. Only the distinct keys of the
-matches are joined; the pieces stay in their row, and the resolved keys come back as one map per
-text. Texts without a match are neither joined nor shuffled.
+A text is cut into pieces by one pass of the pattern, and each match is parsed once; pieces and
+parsed matches are written, as both the keys and the new texts are made of them. Only the distinct
+keys of the matches are joined; the pieces stay in their row, and the resolved keys come back as one
+map per text. Texts without a match are neither written nor shuffled.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import matches, rejoin
+from shelfmark.functions.text import odd_pieces, pieces
+from shelfmark.session import hand_over
 from shelfmark.skew import lookup_join
 
 
@@ -49,14 +51,17 @@ def replace_resolved(
     ``parse`` turns the array of matches into an array of structs with a field ``key``, null
     where nothing is to be looked up.
     """
-    touched = df.where(has_match)
     untouched = df.where(~F.coalesce(has_match, F.lit(False)))
-    parsed = parse(matches(text, pattern))
-    keys = F.transform(parsed, lambda p: p["key"])
-    resolved = resolve_keys(touched, row_id, keys, dim, key, value)
+    cut = hand_over(
+        df.where(has_match)
+        .withColumn("_pieces", pieces(text, pattern))
+        .withColumn("_parsed", parse(odd_pieces("_pieces")))
+        .drop(text),
+        "pieces",
+    )
+    resolved = resolve_keys(cut, row_id, F.transform("_parsed", lambda p: p["key"]), dim, key, value)
     rebuilt = (
-        touched.join(resolved, row_id, "left")
-        .withColumn("_parsed", parsed)
+        cut.join(resolved, row_id, "left")
         .withColumn(
             "_valued",
             F.transform(
@@ -66,9 +71,18 @@ def replace_resolved(
                 ),
             ),
         )
+        .withColumn("_new", F.transform("_valued", lambda m: build(m["p"], m["v"])))
         .withColumn(
             text,
-            rejoin(text, pattern, F.transform("_valued", lambda m: build(m["p"], m["v"]))),
+            F.array_join(
+                F.transform(
+                    "_pieces",
+                    lambda piece, i: F.when(i % 2 == 0, piece).otherwise(
+                        F.coalesce(F.get("_new", F.floor(i / 2).cast("int")), F.lit(""))
+                    ),
+                ),
+                "",
+            ),
         )
     )
     return untouched.unionByName(rebuilt.select(*df.columns))

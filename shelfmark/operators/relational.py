@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions import text, values
+from shelfmark.operators.paging import PageIndex
 from shelfmark.skew import as_columns, number_rows
 
 
@@ -114,8 +115,12 @@ def page_slice(
 ) -> DataFrame:
     """Page of a sorted result, in its order.
 
-    The page is cut by row number, so the rows before it are never gathered in one task.
+    Ordered by names of columns (``-`` in front for falling order), only the key columns are sorted
+    and only rows of the page's key ranges are read whole; for many pages of one result make a
+    ``PageIndex`` and keep it. Ordered by expressions, rows are numbered.
     """
+    if all(isinstance(o, str) for o in order):
+        return PageIndex(df, order).page(limit, offset)
     numbered = number_rows(df, order, "_rn")
     page = numbered.where(F.col("_rn").between(offset + 1, offset + limit))
     return page.orderBy("_rn").drop("_rn")

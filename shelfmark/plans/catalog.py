@@ -297,16 +297,27 @@ def picker_fields(t):
 _CUSTOMER = {"c_name": "c_name", "c_mktsegment": "c_mktsegment", "c_nationkey": "CAST(c_nationkey AS VARCHAR)",
              "c_custkey": "CAST(c_custkey AS VARCHAR)", "c_acctbal": "CAST(c_acctbal AS VARCHAR)",
              "rich": "CASE WHEN c_acctbal > 9500 THEN c_name END"}
-_PROFILES = " UNION ALL ".join(
-    f"""SELECT '{name}' AS col, CAST(coalesce(sum(n), 0) AS BIGINT) AS filled, count(*) AS "distinct",
-        coalesce(max(n), 0) AS largest, coalesce(max(n), 0) > 5
-        OR coalesce(sum(n), 0) > 0.25 * (SELECT count(*) FROM customer) AS interesting
-        FROM (SELECT {sql} AS v, count(*) AS n FROM customer WHERE {sql} IS NOT NULL GROUP BY 1)"""
-    for name, sql in _CUSTOMER.items()
-)
 
 
-@query("profile_columns", _PROFILES)
+def _profiles(table, columns):
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS col, CAST(coalesce(sum(n), 0) AS BIGINT) AS filled, count(*) AS "distinct",
+            coalesce(max(n), 0) AS largest, coalesce(max(n), 0) > 5
+            OR coalesce(sum(n), 0) > 0.25 * (SELECT count(*) FROM {table}) AS interesting
+            FROM (SELECT {sql} AS v, count(*) AS n FROM {table} WHERE {sql} IS NOT NULL GROUP BY 1)"""
+        for name, sql in columns.items()
+    )
+
+
+_DOCUMENTS = {c: c for c in ("text", "lang", "source")} | {"n_chars": "CAST(n_chars AS VARCHAR)"}
+
+
+@query("profile_texts", _profiles("documents", _DOCUMENTS))
+def profile_texts(t):
+    return Q.profile_columns(t.documents, list(_DOCUMENTS))
+
+
+@query("profile_columns", _profiles("customer", _CUSTOMER))
 def profile_columns(t):
     rich = F.when(F.col("c_acctbal") > 9500, F.col("c_name"))
     return Q.profile_columns(t.customer.withColumn("rich", rich))

@@ -241,4 +241,28 @@ def sync_plan(t):
     target = t.part.where("p_brand <> 'Brand#3'").selectExpr(
         "p_partkey as id", "p_name as name", "p_size as size"
     )
-    return sync.sync_plan(source, target, ["id"], ["name", "size"], remove_not_seen=True, action="action")
+    plan = sync.sync_plan(source, target, ["id"], ["name", "size"], remove_not_seen=True, action="action")
+    return plan.select("id", "op")
+
+
+@query(
+    "sync_plan_conflicts",
+    """WITH s AS (SELECT CASE WHEN p_partkey % 50 = 0 THEN NULL WHEN p_partkey % 7 = 0 THEN p_partkey - 1 ELSE p_partkey END AS id,
+                     p_name AS name FROM part WHERE p_size > 10),
+       t AS (SELECT CASE WHEN p_partkey % 11 = 0 THEN p_partkey - 2 WHEN p_partkey <> 50 THEN p_partkey END AS id,
+                    CASE WHEN p_size > 30 THEN 'x' ELSE p_name END AS name FROM part WHERE p_size < 40 OR p_partkey = 50),
+       g AS (SELECT id, sum(a) AS n_source, sum(b) AS n_target, min(x) AS x, min(y) AS y
+             FROM (SELECT id, 1 AS a, 0 AS b, name AS x, NULL AS y FROM s UNION ALL SELECT id, 0, 1, NULL, name FROM t) GROUP BY id)
+       SELECT id, CASE WHEN n_source > 1 OR n_target > 1 THEN 'conflict' WHEN n_source = 0 THEN 'keep' WHEN n_target = 0 THEN 'create'
+         WHEN x <> y THEN 'update' ELSE 'keep' END AS op, CAST(n_source AS BIGINT) AS n_source, CAST(n_target AS BIGINT) AS n_target FROM g""",
+)
+def sync_plan_conflicts(t):
+    key = F.col("p_partkey")
+    source = t.part.where("p_size > 10").select(
+        F.when(key % 50 == 0, None).when(key % 7 == 0, key - 1).otherwise(key).alias("id"), F.col("p_name").alias("name")
+    )
+    target = t.part.where("p_size < 40 or p_partkey = 50").select(
+        F.when(key % 11 == 0, key - 2).when(key != 50, key).alias("id"),
+        F.when(F.col("p_size") > 30, "x").otherwise(F.col("p_name")).alias("name"),
+    )
+    return sync.sync_plan(source, target, ["id"], ["name"])

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import text, values
 from shelfmark.operators import relational as R
+from shelfmark.operators.paging import PageIndex
+from shelfmark.operators.search import TermIndex
 from shelfmark.plans import fixtures as X
 from shelfmark.plans.registry import query
 
@@ -169,6 +171,22 @@ def top_k(t):
     return R.top_k(revenue, [F.desc("cents"), "l_partkey"], 20)
 
 
+_SEARCHED = """WITH words AS (SELECT doc_id, unnest(string_split_regex(lower(text), '\\W+')) AS term FROM documents),
+  hits AS (SELECT doc_id, term, count(*) AS times FROM words WHERE term IN ('with', 'the', 'avec') GROUP BY ALL),
+  weighed AS (SELECT *, ln(1 + (SELECT count(*) FROM documents)::DOUBLE / count(*) OVER (PARTITION BY term)) AS w FROM hits)
+  SELECT doc_id AS id, count(*) AS n_terms, round(sum(times * w), 4) AS score FROM weighed GROUP BY doc_id"""
+
+
+@query("ranked_search", _SEARCHED)
+def ranked_search(t):
+    return TermIndex.build(t.documents, "doc_id", "text").search("with THE, avec the")
+
+
+@query("ranked_search_all", f"{_SEARCHED} HAVING count(*) = 3 ORDER BY score DESC, id LIMIT 100")
+def ranked_search_all(t):
+    return TermIndex.build(t.documents, "doc_id", "text").search("avec the with", mode="all", k=100)
+
+
 @query(
     "page_slice",
     "SELECT p_partkey, p_name FROM part ORDER BY p_name, p_partkey LIMIT 100 OFFSET 100",
@@ -177,6 +195,15 @@ def page_slice(t):
     return R.page_slice(t.part, ["p_name", "p_partkey"], 100, 100).select("p_partkey", "p_name")
 
 
+@query(
+    "page_slice_falling",
+    "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer ORDER BY c_mktsegment DESC, c_acctbal, c_custkey LIMIT 50 OFFSET 70",
+)
+def page_slice_falling(t):
+    index = PageIndex(t.customer, ["-c_mktsegment", "c_acctbal", "c_custkey"], rows=100)
+    return index.page(50, 70).select("c_custkey", "c_mktsegment", "c_acctbal")
+
+
 @query(
     "page_slice_deep",
     "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem "
