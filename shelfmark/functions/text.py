@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from html.entities import html5
+from zlib import crc32
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -84,6 +85,27 @@ def rejoin(text: str | Column, pattern: str, replacements: Column) -> Column:
     )
 
 
+_MARK, _ESCAPE = "\u0001", "\u0002"
+
+
+def pieces(text: str | Column, pattern: str) -> Column:
+    """The text cut at the matches of a pattern, in one pass of it: places 0, 2, ... hold what is
+    kept and 1, 3, ... the matches. Joined they are the text to the byte.
+    """
+    col = F.col(text) if isinstance(text, str) else text
+    marked = F.contains(col, F.lit(_MARK)) | F.contains(col, F.lit(_ESCAPE))
+    escaped = F.replace(F.replace(col, F.lit(_ESCAPE), F.lit(_ESCAPE + "b")), F.lit(_MARK), F.lit(_ESCAPE + "a"))
+    plain = F.when(marked, escaped).otherwise(col)
+    cut = F.split(F.regexp_replace(plain, pattern, f"{_MARK}$0{_MARK}"), _MARK, -1)
+    restored = lambda p: F.replace(F.replace(p, F.lit(_ESCAPE + "a"), F.lit(_MARK)), F.lit(_ESCAPE + "b"), F.lit(_ESCAPE))
+    return F.transform(cut, lambda p: F.when(F.contains(p, F.lit(_ESCAPE)), restored(p)).otherwise(p))
+
+
+def odd_pieces(cut: str | Column) -> Column:
+    """The matches among ``pieces``."""
+    return F.filter(cut, lambda _, i: i % 2 == 1)
+
+
 ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 # names of the HTML standard; those without a semicolon also stand before other letters
 _NAMES = dict(html5)
@@ -102,16 +124,28 @@ def _code_table() -> dict[str, str]:
     return {str(k): v for k, v in (table | dict.fromkeys(gone, "")).items()}
 
 
-def _lookup(table: dict[str, str]) -> Column:
-    """A literal map; folded into one constant before the query runs."""
-    return F.from_json(F.lit(json.dumps(table)), T.MapType(T.StringType(), T.StringType()))
+_SLOTS = 4096
+
+
+def _lookup(table: dict[str, str], name: Column) -> Column:
+    """Value of ``name`` in a literal table, null if it has none.
+
+    Spark looks through a map entry by entry, so the entries are dealt by a hash to slots of one
+    or two; the slots are folded into one constant before the query runs.
+    """
+    slots: list[dict[str, str]] = [{} for _ in range(_SLOTS)]
+    for key, value in table.items():
+        slots[crc32(key.encode()) % _SLOTS][key] = value
+    kind = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
+    slot = (F.crc32(name.cast("binary")) % _SLOTS).cast("int")
+    return F.try_element_at(F.get(F.from_json(F.lit(json.dumps(slots)), kind), slot), name)
 
 
 def _number(code: Column) -> Column:
     """Character of a code point given as a number."""
     in_range = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
     wide = F.unhex(F.lpad(F.hex(F.when(in_range, code).otherwise(F.lit(0xFFFD).cast("bigint"))), 8, "0"))
-    return F.coalesce(F.element_at(_lookup(_code_table()), code.cast("string")), F.decode(wide, "UTF-32"))
+    return F.coalesce(_lookup(_code_table(), code.cast("string")), F.decode(wide, "UTF-32"))
 
 
 def _digits(text: Column, base: int) -> Column:
@@ -120,20 +154,23 @@ def _digits(text: Column, base: int) -> Column:
     return F.when(F.length(plain) > 8, F.lit(1 << 31)).otherwise(F.conv(plain, base, 10).cast("bigint"))
 
 
-def _resolved(entity: Column) -> Column:
-    name = F.substr(entity, F.lit(2))
-    opened = F.regexp_extract(name, "^(?:" + "|".join(_OPEN_NAMES) + ")", 0)
-    by_name = F.element_at(_lookup(_NAMES), name)
-    by_start = F.concat(F.element_at(_lookup(_NAMES), opened), F.substr(name, F.length(opened) + 1))
+def _numbered(entity: Column) -> Column:
     decimal = F.regexp_extract(entity, "^&#([0-9]+)", 1)
     hexadecimal = F.regexp_extract(entity, "^&#[xX]([0-9a-fA-F]+)", 1)
-    return (
-        F.when(decimal != "", _number(_digits(decimal, 10)))
-        .when(hexadecimal != "", _number(_digits(hexadecimal, 16)))
-        .otherwise(F.coalesce(by_name, F.when(opened != "", by_start), entity))
+    return F.when(decimal != "", _number(_digits(decimal, 10))).when(
+        hexadecimal != "", _number(_digits(hexadecimal, 16))
     )
 
 
+def _resolved(entity: Column) -> Column:
+    """Names are looked up whole first; only what is unknown is searched for a name it begins with."""
+    name = F.substr(entity, F.lit(2))
+    opened = F.regexp_extract(name, "^(?:" + "|".join(_OPEN_NAMES) + ")", 0)
+    by_start = F.concat(_lookup(_NAMES, opened), F.substr(name, F.length(opened) + 1))
+    by_name = F.coalesce(_lookup(_NAMES, name), F.when(opened != "", by_start))
+    return F.coalesce(F.when(F.startswith(name, F.lit("#")), _numbered(entity)).otherwise(by_name), entity)
+
+
 def html_unescape(column: str | Column) -> Column:
     """Resolve named and numeric HTML entities, each once: ``&amp;lt;`` becomes ``&lt;``."""
     col = F.col(column) if isinstance(column, str) else column

@@ -187,6 +187,32 @@ def test_plan_applied_leaves_nothing_to_do(spark):
     assert {r.op for r in kept.collect()} == {"keep"}
 
 
+def test_one_row_per_key_whatever_the_keys(spark):
+    schema = "a string, b int, v string, action string"
+    source = [("x", 1, "s", None), ("x", 1, "s", None), (None, 1, "s", None), (None, None, "s", None), ("one", 1, "s", None), ("gone", 1, "s", "delete"), ("never", 1, "s", "delete"), ("dup", 1, "s", "delete")]
+    target = [("x", 1, "s", None), ("x", 1, "t", None), (None, 1, "s", None), (None, None, "t", None), ("two", 1, "s", None), ("two", 1, "s", None), ("gone", 1, "s", None), ("dup", 1, "s", None), ("dup", 1, "s", None), ("", 1, "s", None)]
+    make = lambda data: spark.createDataFrame(data, schema)
+    plan = sync.sync_plan(make(source), make(target), ["a", "b"], ["v"], remove_not_seen=True, action="action").collect()
+    got = {(r.a, r.b): (r.op, r.n_source, r.n_target) for r in plan}
+    assert len(plan) == len(got)
+    assert got == {
+        ("x", 1): ("conflict", 2, 2), (None, 1): ("keep", 1, 1), (None, None): ("update", 1, 1), ("one", 1): ("create", 1, 0),
+        ("two", 1): ("conflict", 0, 2), ("gone", 1): ("delete", 1, 1), ("dup", 1): ("conflict", 1, 2), ("", 1): ("delete", 0, 1),
+    }
+    assert sync.sync_plan(make([]), make([]), ["a"], ["v"]).count() == 0
+
+
+def test_profile_shuffles_hashes_only(spark):
+    """A cell takes as many bytes in the shuffle whatever its text."""
+    df = spark.range(2000).select(F.concat(F.repeat(F.lit("x"), 3000), F.col("id").cast("string")).alias("wide.text"), (F.col("id") % 7).alias("n"))
+    found = {r.col: r for r in quality.profile_columns(df).collect()}
+    assert (found["wide.text"].filled, found["wide.text"]["distinct"], found["wide.text"].largest) == (2000, 2000, 1)
+    assert (found["n"].filled, found["n"]["distinct"], found["n"].largest) == (2000, 7, 286)
+    plan = quality.profile_columns(df)._jdf.queryExecution().executedPlan().toString()
+    keyed = [x for x in plan.splitlines() if "Exchange hashpartitioning(col" in x]
+    assert keyed and all("wide" not in x and "value" not in x for x in keyed)
+
+
 @pytest.mark.parametrize("sketch", [True, False])
 def test_gate_is_open_from_21_to_120_values(spark, sketch, monkeypatch):
     if not sketch:
