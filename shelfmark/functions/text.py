@@ -124,21 +124,26 @@ def _code_table() -> dict[str, str]:
     return {str(k): v for k, v in (table | dict.fromkeys(gone, "")).items()}
 
 
-_SLOTS = 4096
+_SLOTS = 1024
+_ENTRY, _VALUE, _NONE = "\u0001", "\u0002", "\u0003"
 
 
 def _lookup(table: dict[str, str], name: Column) -> Column:
     """Value of ``name`` in a literal table, null if it has none.
 
-    Spark looks through a map entry by entry, so the entries are dealt by a hash to slots of one
-    or two; the slots are folded into one constant before the query runs.
+    Spark looks through a map entry by entry, so the entries are dealt by a hash to slots of about
+    two, each one text; the slots are folded into one constant before the query runs.
     """
-    slots: list[dict[str, str]] = [{} for _ in range(_SLOTS)]
+    slots = [""] * _SLOTS
     for key, value in table.items():
-        slots[crc32(key.encode()) % _SLOTS][key] = value
-    kind = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
-    slot = (F.crc32(name.cast("binary")) % _SLOTS).cast("int")
-    return F.try_element_at(F.get(F.from_json(F.lit(json.dumps(slots)), kind), slot), name)
+        slots[crc32(key.encode()) % _SLOTS] += f"{_ENTRY}{key}{_VALUE}{value}"
+    number = (F.crc32(name.cast("binary")) % _SLOTS).cast("int")
+    slot = F.get(F.from_json(F.lit(json.dumps(slots)), T.ArrayType(T.StringType())), number)
+    entry = F.concat(F.lit(_ENTRY), name, F.lit(_VALUE))
+    # what follows the entry, or the mark behind the one put at the end; the slot is named only once
+    rest = F.split_part(F.concat(slot, entry, F.lit(_NONE)), entry, F.lit(2))
+    value = F.substring_index(rest, _ENTRY, 1)
+    return F.get(F.filter(F.array(value), lambda v: v != _NONE), F.lit(0))
 
 
 def _number(code: Column) -> Column:

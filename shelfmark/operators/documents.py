@@ -48,27 +48,24 @@ def parse_elements(found: Column, *names: str) -> Column:
             e.alias("whole"), F.regexp_extract(e, r"(?is)^<[^>]*>", 0).alias("opening")
         ),
     )
+    # one list of values, so that the table of entities is in the plan once and not per attribute
     quoted = F.transform(
         tags,
         lambda t: F.struct(
             t["whole"].alias("whole"),
             t["opening"].alias("opening"),
-            *[
-                F.regexp_extract(t["opening"], _attribute_pattern(_ATTRIBUTES[n]), 1).alias(n)
-                for n in names
-            ],
+            F.transform(
+                F.array(*[F.regexp_extract(t["opening"], _attribute_pattern(_ATTRIBUTES[n]), 1) for n in names]),
+                lambda raw: F.when(raw != "", html_unescape(F.substr(raw, F.lit(2), F.length(raw) - 2))),
+            ).alias("values"),
         ),
     )
-
-    def value(raw: Column) -> Column:
-        return F.when(raw != "", html_unescape(F.substr(raw, F.lit(2), F.length(raw) - 2)))
-
     return F.transform(
         quoted,
         lambda q: F.struct(
             q["whole"].alias("whole"),
             q["opening"].alias("opening"),
-            *[value(q[n]).alias(n) for n in names],
+            *[q["values"][k].alias(n) for k, n in enumerate(names)],
         ),
     )
 

@@ -36,16 +36,15 @@ def lineage_edges(
     starts = paths.select(*carry, "path", F.explode(_starts(legacy_three_hop)).alias("i"))
     flow = F.get(F.col("path")[F.col("i") + 1], F.lit(0))
 
-    def ends(hop: Column, goes_in: bool) -> Column:
-        return F.transform(
-            hop,
-            lambda e: F.struct(F.lit(goes_in).alias("goes_in"), e["otype"].alias("otype"), e["key"].alias("key")),
-        )
+    def side(goes_in: bool, hop: Column) -> Column:
+        return F.struct(F.lit(goes_in).alias("goes_in"), hop.alias("hop"))
 
-    both = F.concat(ends(F.col("path")[F.col("i")], True), ends(F.col("path")[F.col("i") + 2], False))
+    i = F.col("i")
+    both = F.array(side(True, F.col("path")[i]), side(False, F.col("path")[i + 2]))
+    sides = starts.select(*carry, flow["key"].alias("dataflow"), F.explode(both).alias("s"))
+    ends = sides.select(*carry, "dataflow", "s.goes_in", F.explode("s.hop").alias("e"))
     # an edge is told by its end and its dataflow, so each text is in the key of the distinct once
-    halves = starts.select(*carry, flow["key"].alias("dataflow"), F.explode(both).alias("e"))
-    found = halves.select(*carry, "dataflow", "e.*").distinct()
+    found = ends.select(*carry, "dataflow", "goes_in", "e.otype", "e.key").distinct()
     flow_type, goes_in = F.lit("dataflow"), F.col("goes_in")
     return found.select(
         *carry,
