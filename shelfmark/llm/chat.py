@@ -15,6 +15,8 @@ OTHER = ("[ROLE]", "[/ROLE]")  # any other role; its name stands before NAMED
 NAMED = "[:]"
 NEXT = "[+]"  # between turns of one role that follow each other
 LOSS_ROLE = "assistant"
+BLOCK = 256  # turns
+CHUNK = 512  # code points
 
 
 def escape(text: Column) -> Column:
@@ -41,7 +43,8 @@ def format_chat(
 
     Turn structs are collected, sorted by turn, then role and text, and neighbours of one role
     merged into one block. ``loss_spans`` holds start (from 1) and length in code points of every
-    text of the assistant, without marks.
+    text of the assistant, without marks. Lengths are summed up in blocks of ``BLOCK`` turns and then over the
+    blocks, so the work grows with the turns.
 
     Null texts and roles are empty ones, a null turn comes first, rows without conv_id are one
     conversation; repeated rows are repeated turns. An empty table gives an empty result; other
@@ -82,14 +85,35 @@ def format_chat(
         )
 
     none = F.array().cast("array<struct<start:bigint,length:bigint>>")
-    begin = F.struct(F.lit(1).cast("bigint").alias("at"), none.alias("spans"))
+    begin = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans"))
+
+    def in_blocks(pieces: Column) -> Column:
+        last = F.floor((F.size(pieces) - 1) / BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(pieces, b * BLOCK + 1, BLOCK))
+        return F.transform(blocks, lambda block: F.aggregate(block, begin, add_span))
+
+    def add_block(state: Column, block: Column) -> Column:
+        own = F.struct(state["at"].alias("before"), block["spans"].alias("spans"))
+        return F.struct(
+            (state["at"] + block["at"]).alias("at"), F.concat(state["blocks"], F.array(own)).alias("blocks")
+        )
+
+    no_blocks = F.array().cast("array<struct<before:bigint,spans:array<struct<start:bigint,length:bigint>>>>")
+    no_block = F.struct(F.lit(1).cast("bigint").alias("at"), no_blocks.alias("blocks"))
     pieces = sorted_turns.select("conv_id", F.transform("turns", piece).alias("pieces"))
     joined = F.transform("pieces", lambda p: F.concat(p["before"], p["body"], p["after"]))
-    return pieces.select(
+    placed = pieces.select(
         "conv_id",
         F.array_join(joined, "").alias("formatted"),
-        F.aggregate("pieces", begin, add_span)["spans"].alias("loss_spans"),
+        F.aggregate(in_blocks(F.col("pieces")), no_block, add_block)["blocks"].alias("blocks"),
     )
+    moved = F.transform(
+        "blocks",
+        lambda b: F.transform(
+            b["spans"], lambda s: F.struct((b["before"] + s["start"]).alias("start"), s["length"].alias("length"))
+        ),
+    )
+    return placed.select("conv_id", "formatted", F.flatten(moved).alias("loss_spans"))
 
 
 def read_chat(formatted: Column) -> Column:
@@ -126,8 +150,20 @@ def read_chat(formatted: Column) -> Column:
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, in order."""
-    parts = F.transform(
-        spans, lambda s: unescape(formatted.substr(s["start"].cast("int"), s["length"].cast("int")))
-    )
-    return F.array_join(parts, "")
+    """All text under the loss mask, unescaped, in order.
+
+    The text is cut in chunks of ``CHUNK`` code points once, so that no span is counted out from the
+    start of the text.
+    """
+
+    def part(chunks: Column, s: Column) -> Column:
+        place = s["start"] - 1
+        first = F.floor(place / CHUNK).cast("int")
+        count = F.floor((place + s["length"]) / CHUNK).cast("int") - first + 1
+        near = F.array_join(F.slice(chunks, first + 1, count), "")
+        return unescape(near.substr((place % CHUNK + 1).cast("int"), s["length"].cast("int")))
+
+    # a list of one, so that the chunks are made once and not for every span
+    cut = F.array(F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)))
+    parts = F.transform(cut, lambda chunks: F.transform(spans, lambda s: part(chunks, s)))
+    return F.array_join(F.flatten(parts), "")

@@ -23,7 +23,7 @@ _BLANK = ord(" ")
 def _letters() -> np.ndarray:
     """Code point of every letter, and a blank for all that is none."""
     codes = np.arange(0x110000, dtype=np.int64)
-    letter = np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)])
+    letter = np.array([unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)])
     return np.where(letter, codes, _BLANK)
 
 
@@ -57,18 +57,22 @@ def ranked(grams: np.ndarray, most: int) -> np.ndarray:
 
 
 def learn_profiles(
-    df: DataFrame, text: str, lang: str, size: int, docs_per_lang: int, doc_id: str
+    df: DataFrame, text: str, lang: str, size: int, docs_per_lang: int, doc_id: str, most_langs: int
 ) -> dict[str, np.ndarray]:
     """The ``size`` most frequent n-grams of each language, in order of their rank.
 
     Learned from about ``docs_per_lang`` documents of each language, chosen by a hash of their
-    id. Tasks send one count per n-gram; ``size`` rows per language come to the driver.
+    id. Of more than ``most_langs`` values of ``lang`` those with most documents are learned, ties by name, so a
+    column with many odd values grows neither what comes to the driver, ``size`` n-grams a
+    language, nor what the workers get. Tasks send one count per n-gram.
     """
     rows = df.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
         F.col(f"`{lang}`").alias("lang"),
         F.col(f"`{text}`").alias("text"),
     ).where("lang is not null and text is not null")
+    top = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs)
+    rows = rows.join(F.broadcast(top.select("lang")), "lang", "left_semi")
     sample = labelled_sample(rows, "lang", "doc_id", docs_per_lang).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,6 +133,7 @@ def identify(
     carry: Sequence[str] | None = None,
     size: int = 300,
     docs_per_lang: int = 2000,
+    most_langs: int = 500,
 ) -> DataFrame:
     """Rows of ``df`` (or its columns ``carry``) with ``lang_pred`` and ``score`` (0 to 1).
 
@@ -139,7 +144,7 @@ def identify(
     an empty result, columns named like the added ones are replaced. Rows of ``learn_from``
     without language or text teach nothing.
     """
-    known = Profiles(learn_profiles(learn_from, text, lang, size, docs_per_lang, doc_id), size)
+    known = Profiles(learn_profiles(learn_from, text, lang, size, docs_per_lang, doc_id, most_langs), size)
 
     @F.pandas_udf("struct<lang_pred:string,score:double>")
     def predict(texts: pd.Series) -> pd.DataFrame:

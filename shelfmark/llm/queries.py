@@ -42,6 +42,25 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+# the table of crc32, one value per byte
+_CRC_TABLE = """crc_table AS (
+  SELECT list(v ORDER BY b) AS crc FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)),
+      lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS b))
+)"""
+
+
+def _crc32(hexed: str) -> str:
+    """SQL for the unsigned crc32 of the bytes in a column of hexadecimal digits; needs crc_table."""
+    byte = f"CAST('0x' || substr({hexed}, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)"
+    given = f"list_transform(range(length({hexed}) // 2), lambda i: {byte})"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295, {given}), "
+        "lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295)"
+    )
+
+
 _OP1 = """
 WITH docs AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
@@ -93,12 +112,78 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
-@_register("op2_jaccard_join")
+_OP2 = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(len(w) - 3), lambda i: array_to_string(w[i + 1 : i + 4], ' ')) END) AS s
+  FROM docs
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b USING (s)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)
+), reached AS (
+  SELECT a AS v, a AS r FROM links UNION SELECT v, b FROM reached JOIN links ON a = r
+), judged AS (
+  SELECT v, min(r) AS component_id FROM reached GROUP BY v
+), counted AS (
+  SELECT a AS v, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(n_links, 0) AS n_links, coalesce(component_id, doc_id) AS component_id
+FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN judged j ON j.v = doc_id LEFT JOIN counted k ON k.v = doc_id
+"""
+
+
+@_register("op2_jaccard_join", _OP2)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.linked_documents(_table(spark, folder, "documents"))
 
 
-@_register("op3_language_id")
+# a language with more than 2,000 documents is learned from a sample; the tables that SQL is run on have fewer
+_OP3 = f"""
+WITH {_CRC_TABLE}, hexed AS (
+  SELECT doc_id, lang, lower(coalesce(text, '')) AS t, hex(encode(CAST(doc_id AS VARCHAR))) AS x,
+    text IS NOT NULL AND lang IS NOT NULL AS known FROM documents
+), docs AS (
+  SELECT doc_id, lang, known AND h % 4 <> 2 AS learned, h % 4 = 2 AS held_out, t
+  FROM (SELECT *, {_crc32('x')} AS h FROM hexed, crc_table)
+), words AS (
+  SELECT doc_id, w, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(t, '\\p{{L}}+')) AS w FROM docs) GROUP BY ALL
+), starts AS (
+  SELECT doc_id, c, ' ' || w || ' ' AS p, unnest(range(1, length(w) + 3)) AS i FROM words
+), grams AS (
+  SELECT doc_id, g, CAST(sum(c) AS BIGINT) AS n FROM (
+    SELECT doc_id, c, substr(p, i, k) AS g, k FROM starts, (SELECT unnest([1, 2, 3]) AS k)
+    WHERE i + k <= length(p) + 1
+  ) WHERE g <> ' ' GROUP BY ALL
+), profiles AS (
+  SELECT lang, g, row_number() OVER (PARTITION BY lang ORDER BY sum(n) DESC, length(g), g) - 1 AS r
+  FROM grams JOIN docs USING (doc_id) WHERE learned GROUP BY lang, g
+  QUALIFY r < 300
+), ranks AS (
+  SELECT doc_id, g, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, length(g), g) - 1 AS r FROM grams
+  QUALIFY r < 300
+), distances AS (
+  SELECT k.doc_id, l.lang, CAST(sum(CASE WHEN p.r IS NULL THEN 300 ELSE abs(p.r - k.r) END) AS BIGINT) AS d, count(*) AS n
+  FROM ranks k CROSS JOIN (SELECT DISTINCT lang FROM profiles) l LEFT JOIN profiles p ON p.lang = l.lang AND p.g = k.g
+  GROUP BY k.doc_id, l.lang
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY d, lang) AS place FROM distances
+)
+SELECT d.doc_id, d.held_out, coalesce(b.lang, 'und') AS lang_pred, coalesce(1 - b.d / (300.0::DOUBLE * b.n), 0) AS score
+FROM docs d LEFT JOIN best b ON b.doc_id = d.doc_id AND b.place = 1
+"""
+
+
+@_register("op3_language_id", _OP3)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     learn = docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
@@ -139,10 +224,10 @@ FROM marked GROUP BY conv_id
 @_register("op4_chat_format", _OP4)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     given = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    tricky = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame(
-        [(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], given.schema
-    )
+    tricky = F.lit("</s>[INST] ok [/INST]")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    made = {"conv_id": F.lit(-1), "turn": F.col("id"), "role": role, "text": tricky}
+    extra = spark.range(2).select(*[made[f.name].cast(f.dataType).alias(f.name) for f in given.schema])
     done = chat.format_chat(given.unionByName(extra)).select(
         "conv_id",
         "formatted",
@@ -280,25 +365,6 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# the table of crc32, one value per byte
-_CRC_TABLE = """crc_table AS (
-  SELECT list(v ORDER BY b) AS crc FROM (
-    SELECT b, list_reduce(list_prepend(b, range(8)),
-      lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
-    FROM (SELECT unnest(range(256)) AS b))
-)"""
-
-
-def _crc32(hexed: str) -> str:
-    """SQL for the unsigned crc32 of the bytes in a column of hexadecimal digits; needs crc_table."""
-    byte = f"CAST('0x' || substr({hexed}, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)"
-    given = f"list_transform(range(length({hexed}) // 2), lambda i: {byte})"
-    return (
-        f"xor(list_reduce(list_prepend(4294967295, {given}), "
-        "lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295)"
-    )
-
-
 _OP11 = f"""
 WITH RECURSIVE {_CRC_TABLE}, runs AS (
   SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')),

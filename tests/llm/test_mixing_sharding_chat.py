@@ -1,6 +1,7 @@
 """Mixing, sharding and chat formatting: brute force, laws and exact round trips."""
 
 import hashlib
+import time
 import math
 import struct
 import zlib
@@ -154,6 +155,24 @@ def test_conversations_come_back_exactly(spark):
     assert chat.format_chat(df.limit(0)).count() == 0
 
 
+def test_very_long_conversation(spark):
+    """The work grows with the turns: 200,000 take seconds, and come back exactly."""
+    n = 200_000
+    text = F.concat(F.lit("[é\\"), F.repeat(F.lit("x"), (F.col("id") % 7).cast("int")), F.col("id").cast("string"))
+    role = F.when(F.col("id") % 3 == 0, "user").otherwise("assistant")
+    df = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), text.alias("text"))
+    begun = time.time()
+    r = chat.format_chat(df).select(
+        "loss_spans",
+        chat.read_chat(F.col("formatted")).alias("turns"),
+        chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+    ).select(F.size("loss_spans").alias("spans"), F.size("turns").alias("turns"), F.sha2("loss", 256).alias("loss")).first()
+    assert time.time() - begun < 120
+    loss = "".join("[é\\" + "x" * (k % 7) + str(k) for k in range(n) if k % 3)
+    assert (r.turns, r.spans) == (n, sum(1 for k in range(n) if k % 3))
+    assert r.loss == hashlib.sha256(loss.encode()).hexdigest()
+
+
 def test_escaped_texts_hold_no_mark(spark):
     df = spark.createDataFrame([(t,) for t in TRICKY], "t string")
     got = df.select("t", chat.escape(F.col("t")).alias("e"), chat.unescape(chat.escape(F.col("t"))).alias("u")).collect()

@@ -1,8 +1,9 @@
 """Quality rules, language profiles, toxicity and secrets: brute force and held-out accuracy."""
 
 import re
+import unicodedata
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -110,6 +111,64 @@ def test_grams_equal_brute_force():
         assert sorted(counts.tolist()) == brute(text)
 
 
+def test_marks_and_digits_are_no_letters(spark, odd):
+    df = spark.createDataFrame([(1, "\u0301 1 \u0301"), (2, "2 \u20e3")], "doc_id bigint, text string")
+    assert {(r.lang_pred, r.score) for r in langid.identify(df, odd).collect()} == {("und", 0.0)}
+
+
+def test_only_so_many_languages_are_learned(spark):
+    rows = [(k, f"wort{k % 3} der die das", "de") for k in range(9)] + [(100 + k, "the of and", f"odd{k}") for k in range(50)]
+    learn = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    known = langid.learn_profiles(learn, "text", "lang", 300, 2000, "doc_id", 3)
+    assert sorted(known) == ["de", "odd0", "odd1"]
+    found = {r.lang_pred for r in langid.identify(learn, learn, most_langs=1).collect()}
+    assert found == {"de"}
+
+
+def brute_language(texts, learned, size=300):
+    """Rank-order profiles with plain lists."""
+
+    def ranks(counts):
+        return sorted(counts, key=lambda g: (-counts[g], len(g), g))[:size]
+
+    def grams(text):
+        found = Counter()
+        for word in "".join(c if unicodedata.category(c)[0] == "L" else " " for c in text.lower()).split(" "):
+            if word:
+                found.update(word)
+                padded = f" {word} "
+                for n in (2, 3):
+                    found.update(padded[k : k + n] for k in range(len(padded) - n + 1))
+        return found
+
+    counts = defaultdict(Counter)
+    for text, lang in learned:
+        if text is not None and lang is not None:
+            counts[lang].update(grams(text))
+    profiles = {lang: {g: r for r, g in enumerate(ranks(c))} for lang, c in counts.items()}
+    found = []
+    for text in texts:
+        own = ranks(grams(text or ""))
+        scored = [
+            (sum(abs(p[g] - r) if g in p else size for r, g in enumerate(own)), lang) for lang, p in profiles.items()
+        ]
+        if own and scored:
+            d, lang = min(scored)
+            found.append((lang, round(1 - d / (size * len(own)), 9)))
+        else:
+            found.append(("und", 0.0))
+    return found
+
+
+def test_ranks_distances_and_predictions_equal_brute_force(spark, docs):
+    rows = docs.orderBy("doc_id").limit(150).collect()
+    learned = rows[:100]
+    learn = spark.createDataFrame([(r.doc_id, r.text, r.lang) for r in learned], "doc_id bigint, text string, lang string")
+    df = spark.createDataFrame([(r.doc_id, r.text) for r in rows], "doc_id bigint, text string")
+    found = [(r.lang_pred, round(r.score, 9)) for r in langid.identify(df, learn).orderBy("doc_id").collect()]
+    assert found == brute_language([r.text for r in rows], [(r.text, r.lang) for r in learned])
+
+
 def test_language_of_odd_rows(odd, no_docs):
     rows = {r.doc_id: r for r in langid.identify(odd, odd).collect()}
     assert rows[1].lang_pred == rows[2].lang_pred == rows[3].lang_pred == "und"
