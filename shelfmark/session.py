@@ -6,7 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,19 +53,26 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/shelfmark/{spark.sparkContext.applicationId}"
 
 
-_given_out: list[str] = []
+_logs: ContextVar[tuple[list[str], ...]] = ContextVar("scratch logs", default=())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, in a folder of this application."""
     path = f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    _given_out.append(path)
+    for log in _logs.get():
+        log.append(path)
     return path
 
 
-def scratch_paths() -> list[str]:
-    """The paths given out so far, oldest first."""
-    return list(_given_out)
+@contextmanager
+def scratch_log() -> Iterator[list[str]]:
+    """The paths that are given out within the block, oldest first; those of other threads aren't."""
+    paths: list[str] = []
+    token = _logs.set((*_logs.get(), paths))
+    try:
+        yield paths
+    finally:
+        _logs.reset(token)
 
 
 def drop_scratch(spark: SparkSession, paths: Iterable[str]) -> None:
