@@ -25,6 +25,35 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS + "+"), "")
 
 
+def sums_before(lengths: Column, block: int = 256) -> Column:
+    """For each number of an array the sum of those before it.
+
+    Sums are taken in blocks and then over the blocks, as every step copies the sums so far: so the work
+    grows with the array as long as that has no more than some million numbers.
+    """
+
+    def add(state: Column, x: Column) -> Column:
+        total = state["total"] + x
+        return F.struct(total.alias("total"), F.concat(state["sums"], F.array(state["total"])).alias("sums"))
+
+    def add_block(state: Column, b: Column) -> Column:
+        own = F.struct(state["total"].alias("before"), b["sums"].alias("sums"))
+        return F.struct(
+            (state["total"] + b["total"]).alias("total"), F.concat(state["blocks"], F.array(own)).alias("blocks")
+        )
+
+    none = F.array().cast("array<bigint>")
+    zero = F.struct(F.lit(0).cast("bigint").alias("total"), none.alias("sums"))
+    last = F.floor((F.size(lengths) - 1) / block).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(lengths, b * block + 1, block))
+    summed = F.transform(blocks, lambda part: F.aggregate(part, zero, add))
+    no_blocks = F.array().cast("array<struct<before:bigint,sums:array<bigint>>>")
+    no_block = F.struct(F.lit(0).cast("bigint").alias("total"), no_blocks.alias("blocks"))
+    placed = F.aggregate(summed, no_block, add_block)["blocks"]
+    found = F.flatten(F.transform(placed, lambda b: F.transform(b["sums"], lambda x: b["before"] + x)))
+    return F.when(F.size(lengths) > 0, found).otherwise(none)
+
+
 def nest(df: DataFrame, carry: Sequence[str] | None = None, **columns: Column) -> DataFrame:
     """Whole rows, or the columns to carry, as one struct beside an operator's columns, so that
     no names can clash.

@@ -205,12 +205,12 @@ def test_ftrl_drops_what_does_not_matter():
 
 
 def test_candidates_equal_brute_force(docs):
-    found = secrets.candidates(docs).select("doc_id", "at", "value").collect()
+    found = secrets.candidates(docs).where("kind = 'run'").select("doc_id", "at", "start", "value").collect()
     want = [
-        (r.doc_id, i, value)
+        (r.doc_id, i, w.start() + m.start(), m[0])
         for r in docs.collect()
-        for i, w in enumerate(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
-        for value in dict.fromkeys(re.findall(secrets.RUN, w))
+        for i, w in enumerate(re.finditer(r"[^\x20\x09-\x0D]+", r.text or ""))
+        for m in re.finditer(secrets.RUN, w[0])
     ]
     assert sorted(map(tuple, found)) == sorted(want)
 
@@ -267,7 +267,7 @@ def test_sample_of_findings_is_bounded_in_one_document(spark, monkeypatch):
 
     monkeypatch.setattr(secrets, "hand_over", count)
     rows = [(None, k, f"v{k}", k % 2, *[float(k % 7)] * len(secrets.FEATURES)) for k in range(2000)]
-    schema = "doc_id bigint, at int, value string, label int, " + ", ".join(f"{f} double" for f in secrets.FEATURES)
+    schema = "doc_id bigint, start bigint, value string, label int, " + ", ".join(f"{f} double" for f in secrets.FEATURES)
     df = spark.createDataFrame(rows, schema)
     secrets.score_findings(df.drop("label"), df, per_label=100, trees=2, depth=2)
     assert len(taken) == 1 and 120 < taken[0] < 280
