@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import lower_ascii, words
 from shelfmark.session import hand_over
 
-BITS, BLOCKS = 64, 8
+BITS, BLOCKS = 64, 4
 WIDTH = BITS // BLOCKS
-# two fingerprints of which every block differs in two bits or more are further apart than this
-RADIUS = 2 * BLOCKS - 1
+# so many bits of a block are turned on the side of the windows and of the items; two fingerprints of which
+# every block differs in more bits than both are further apart than the radius
+WINDOW_BITS, ITEM_BITS = 1, 2
+RADIUS = (WINDOW_BITS + ITEM_BITS + 1) * BLOCKS - 1
 # independent fingerprints; one within the radius is enough
 PRINTS = 4
 
@@ -77,39 +81,38 @@ def index_items(benchmark: DataFrame, k: int) -> DataFrame:
     return found
 
 
-def _blocks_of(df: DataFrame, prints: str) -> DataFrame:
-    """Every block of every fingerprint, as (p, i, value)."""
-    return (
-        df.select("*", F.posexplode(prints).alias("p", "print"))
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
-        .withColumn("value", block(F.col("print"), F.col("i")))
-        .drop("print")
-    )
+def turns(bits: int) -> Column:
+    """All masks with at most ``bits`` bits of a block set."""
+    masks = [sum(1 << b for b in c) for n in range(bits + 1) for c in combinations(range(WIDTH), n)]
+    return F.array(*[F.lit(m).cast("bigint") for m in masks])
 
 
-def _blocks_of_items(items: DataFrame) -> DataFrame:
-    """Every block of an item's fingerprints, and with each of its bits turned over."""
-    turned = F.concat(
-        F.array(F.lit(0).cast("bigint")), F.array(*[F.lit(1 << b).cast("bigint") for b in range(WIDTH)])
-    )
+def _blocks_of(df: DataFrame, key: str, prints: str, bits: int) -> DataFrame:
+    """(key, length, p, i, value, print): every block of every fingerprint, as it is and with up to
+    ``bits`` bits turned over.
+    """
     return (
-        _blocks_of(items, "item_prints")
-        .withColumn("turn", F.explode(turned))
-        .select("item_id", "length", "n", "item_prints", "item_shingles", "p", "i", F.col("value").bitwiseXOR(F.col("turn")).alias("value"))
+        df.select(key, "length", F.posexplode(prints).alias("p", "print"))
+        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
+        .withColumn("turn", F.explode(turns(bits)))
+        .withColumn("value", block(F.col("print"), F.col("i")).bitwiseXOR(F.col("turn")))
+        .drop("turn")
     )
 
 
-def _first_meeting() -> Column:
-    """Whether (p, i) is the first fingerprint within the radius and its first block that agrees
-    up to one bit, so that a pair is met once.
+def proposed(windows: DataFrame, items: DataFrame) -> DataFrame:
+    """(window, item_no): the pairs of one length of which a block of a fingerprint agrees but for
+    ``WINDOW_BITS + ITEM_BITS`` bits; several times if several do. With ``print`` of both sides.
     """
-    apart = F.zip_with("prints", "item_prints", lambda a, b: a.bitwiseXOR(b))
-    near = F.transform(apart, lambda x: F.bit_count(x) <= RADIUS)
-    mine = F.get("prints", F.col("p")).bitwiseXOR(F.get("item_prints", F.col("p")))
-    agree = F.array(*[F.bit_count(block(mine, F.lit(i))) <= 1 for i in range(BLOCKS)])
-    return (F.array_position(near, True) == F.col("p") + 1) & (
-        F.array_position(agree, True) == F.col("i") + 1
-    )
+    blocks = hand_over(_blocks_of(items, "item_no", "item_prints", ITEM_BITS), "item-blocks")
+    blocks = blocks.withColumnRenamed("print", "item_print")
+    return _blocks_of(windows, "window", "prints", WINDOW_BITS).join(blocks, ["length", "p", "i", "value"])
+
+
+def near_pairs(windows: DataFrame, items: DataFrame) -> DataFrame:
+    """(window, item_no) of one length that have a fingerprint within the radius; no words travel."""
+    apart = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
+    return proposed(windows, items).where(apart <= RADIUS).select("window", "item_no").distinct()
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -143,12 +146,13 @@ def leaks(
     Words are lower-cased (A-Z). A window has as many words as the item, or the whole document
     if that has fewer, and starts at any word; only windows with too few shingles of items of
     their length to reach the threshold are left out. Every window gets four 64-bit SimHashes
-    of its words, with different hashes. It is compared with the items of its length that agree
-    in one of 8 blocks of one of them up to one bit, which finds all that have a fingerprint no
-    more than 15 bits apart; then the weighted Jaccard similarity of the shingles decides. A
-    window at a similarity of 0.8 has a given fingerprint further away in up to 3 of 100 cases,
-    all four in less than 1 of 100,000. Of equally similar windows the first is returned that is
-    aligned with the item at a shingle both have (moved into the document), or else the first.
+    of its words, with different hashes. It meets the items of its length that agree in one of 4
+    blocks of 16 bits of one of them up to three bits, one of them turned on the side of the window and two on
+    that of the item, which finds all that have a fingerprint no more than 15 bits apart, and a sixth
+    of all others. Those within the radius are put together with their words, and the weighted
+    Jaccard similarity of the shingles decides. A window at a similarity of 0.8 has a given fingerprint
+    further away in up to 3 of 100 cases, all four in less than 1 of 100,000. Of equally similar
+    windows the first is returned.
 
     The table of item shingles is written first, so Spark knows its size and broadcasts it only
     if that is small; else documents' shingles are shuffled as (hash, id, position). Whole texts
@@ -158,7 +162,7 @@ def leaks(
     repeated rows of documents or items give one result. Empty tables give an empty result; other
     columns are ignored.
     """
-    items = hand_over(index_items(benchmark, k), "items")
+    items = hand_over(index_items(benchmark, k).withColumn("item_no", F.monotonically_increasing_id()), "items")
     known = hand_over(
         items.select("length", "n", F.explode("item_shingles").alias("shingle")).distinct(),
         "item-shingles",
@@ -184,7 +188,7 @@ def leaks(
         .agg(F.array_sort(F.collect_set("pos")).alias("at"))
         .withColumn("start", F.explode(_starts(threshold)))
         .groupBy("w_id", "w_t")
-        .agg(F.collect_list(F.struct("length", "start", _edge().alias("edge"))).alias("windows")),
+        .agg(F.collect_list(F.struct("length", "n", "start")).alias("windows")),
         "windows",
     )
     same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("t") == F.col("w_t"))
@@ -192,22 +196,23 @@ def leaks(
         docs.join(windows, same)
         .select("doc_id", "windows", words(lower_ascii(F.col("text"))).alias("w"))
         .select("doc_id", "w", F.explode("windows").alias("at"))
-        .select("doc_id", "at.*", F.slice("w", F.col("at.start") + 1, F.col("at.length")).alias("window"))
+        .select("doc_id", "at.*", F.slice("w", F.col("at.start") + 1, F.col("at.length")).alias("words"))
         .distinct()
+        .repartition(F.xxhash64("doc_id", "start", "length"))  # few bytes, but much work a row
     )
-    read = hand_over(fingerprints(read, "window", "prints"), "windows-read")
-    pairs = (
-        _blocks_of(read, "prints")
-        .join(_blocks_of_items(items), ["length", "p", "i", "value"])
-        .where(_first_meeting())
-        .select("doc_id", "item_id", "start", "edge", "length", "n", "window", "item_shingles")
+    read = hand_over(
+        fingerprints(read, "words", "prints").withColumn("window", F.monotonically_increasing_id()), "windows-read"
     )
-    size = F.size("window")
+    size = F.size("words")
     own = F.lit(None).cast("array<bigint>")
     for n in sizes:
-        own = F.when(F.col("n") == n, shingles(F.col("window"), size, n)).otherwise(own)
-    aligned = _aligned(F.col("own"), F.col("item_shingles")).alias("aligned")
-    best = F.max(F.struct(F.col("similarity"), aligned, (-F.col("start")).alias("s"), "length"))
+        own = F.when(F.col("n") == n, shingles(F.col("words"), size, n)).otherwise(own)
+    pairs = (
+        near_pairs(read, items)
+        .join(read.select("window", "doc_id", "start", "length", "n", "words"), "window")
+        .join(items.select("item_no", "item_id", "item_shingles"), "item_no")
+    )
+    best = F.max(F.struct(F.col("similarity"), (-F.col("start")).alias("s"), "length"))
     return (
         pairs.withColumn("own", own)
         .withColumn("similarity", similarity(F.col("own"), F.col("item_shingles")))
@@ -248,32 +253,6 @@ def _starts(threshold: float) -> Column:
     return F.when(F.size("at") >= need, F.flatten(F.transform(numbers, starts))).otherwise(none)
 
 
-def _edge() -> Column:
-    """-1 for the first window of a document, 1 for the last, 0 for others."""
-    last = F.col("start") >= F.col("size") - F.col("length")
-    return F.when(F.col("start") == 0, -1).when(last, 1).otherwise(0)
-
-
-def _aligned(own: Column, item: Column) -> Column:
-    """Whether a shingle stands at the same place of a window and an item; in a document's first
-    window it may stand further on in the item, in the last further on in the window.
-    """
-    places = F.sequence(F.lit(0), F.size(own) - 1)
-    size = F.size(item)
-
-    def first(i: Column) -> Column:
-        at = F.call_function("array_position", F.reverse(item), F.get(own, i))
-        return (at > 0) & (size - at >= i)
-
-    def last(i: Column) -> Column:
-        at = F.call_function("array_position", item, F.get(own, i))
-        return (at > 0) & (at - 1 <= i)
-
-    same = F.exists(places, lambda i: F.get(own, i) == F.get(item, i))
-    ends = F.when(F.col("edge") < 0, F.exists(places, first)).when(F.col("edge") > 0, F.exists(places, last))
-    return F.coalesce(same, F.lit(False)) | F.coalesce(ends, F.lit(False))
-
-
 def _nothing(df: DataFrame, doc_id: str, benchmark: DataFrame) -> DataFrame:
     spark: SparkSession = df.sparkSession
     ids = f"doc_id {df.schema[doc_id].dataType.simpleString()}, item_id {benchmark.schema['item_id'].dataType.simpleString()}"

@@ -135,8 +135,10 @@ def drop_common_lines(
     of_batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
     for b in range(batches):
         runs.add(lines.where(of_batch == b))
+    # short lines have no hash and would all meet under one key
+    long = runs.anti_join(lines.where("h1 is not null"), min_docs, keep_last=True)
     kept = (
-        runs.anti_join(lines, min_docs, keep_last=True)
+        long.unionByName(lines.where("h1 is null"))
         .groupBy(F.col("doc_id").alias("k_id"), F.col("t1").alias("k1"), F.col("t2").alias("k2"))
         .agg(F.array_sort(F.collect_set("pos")).alias("at"))
     )

@@ -78,26 +78,19 @@ WITH docs AS (
   SELECT doc_id, size, n, pos, array_to_string(w[pos + 1 : pos + n], ' ') AS s
   FROM (SELECT doc_id, w, len(w) AS size, n, unnest(range(len(w) - n + 1)) AS pos
     FROM docs, (SELECT DISTINCT n FROM items) sizes WHERE len(w) >= n)
-), windows AS (
-  SELECT DISTINCT doc_id, item_id, i.length, i.n, greatest(0, least(pos - p, size - i.length)) AS start
-  FROM doc_shingles d JOIN (SELECT DISTINCT length, n, p, s FROM item_shingles) a USING (n, s)
-  JOIN items i ON i.length = a.length AND i.n = a.n
-), in_window AS (
-  SELECT v.doc_id, v.item_id, v.start, v.length, d.s, count(*) AS c
-  FROM windows v JOIN doc_shingles d ON d.doc_id = v.doc_id AND d.n = v.n
-    AND d.pos >= v.start AND d.pos <= v.start + v.length - v.n
-  GROUP BY ALL
 ), in_item AS (
-  SELECT item_id, s, count(*) AS c FROM item_shingles GROUP BY ALL
-), sizes AS (
-  SELECT doc_id, item_id, start, length, sum(c) AS total FROM in_window GROUP BY ALL
-), common AS (
-  SELECT v.doc_id, v.item_id, v.start, v.length, sum(least(v.c, i.c)) AS shared
-  FROM in_window v JOIN in_item i ON i.item_id = v.item_id AND i.s = v.s GROUP BY ALL
+  SELECT item_id, length, n, s, count(*) AS c FROM item_shingles GROUP BY ALL
+), hits AS (
+  SELECT d.doc_id, i.item_id, i.length, i.n, d.size, d.pos, s, i.c AS item_c
+  FROM doc_shingles d JOIN in_item i USING (n, s)
+), in_window AS (
+  SELECT doc_id, item_id, length, n, size, start, s, least(count(*), any_value(item_c)) AS met FROM (
+    SELECT *, unnest(range(greatest(0, pos - length + n), least(pos, greatest(0, size - length)) + 1)) AS start FROM hits
+  ) GROUP BY doc_id, item_id, length, n, size, start, s
 ), judged AS (
-  SELECT doc_id, item_id, start, length,
-    shared / (total + (SELECT sum(c) FROM in_item i WHERE i.item_id = c.item_id) - shared) AS similarity
-  FROM common c JOIN sizes USING (doc_id, item_id, start, length)
+  SELECT doc_id, item_id, length, start, sum(met) AS shared,
+    sum(met) / (length + least(length, size) - 2 * n + 2 - sum(met)) AS similarity
+  FROM in_window GROUP BY doc_id, item_id, length, n, size, start
 ), placed AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) AS r
   FROM judged WHERE similarity >= 0.8

@@ -5,7 +5,9 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm import decontaminate, dedup_lines, jaccard_join
 from shelfmark.llm.components import components
+from shelfmark.llm.queries import SQL
 
 FOLDER = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -157,8 +160,9 @@ def brute_leaks(docs, items, k=5, threshold=0.8):
                 value = both / (sum(got.values()) + sum(want.values()) - both)
                 if value >= threshold:
                     key = (doc, item)
-                    found[key] = max(found.get(key, (0, 0)), (value, start))
-    return found
+                    value, start = max(found.get(key, (0, 0)), (value, -start))
+                    found[key] = value, start
+    return {key: (value, -start) for key, (value, start) in found.items()}
 
 
 def test_leaks_equal_brute_force(spark):
@@ -182,8 +186,8 @@ def test_leaks_equal_brute_force(spark):
     assert len(got) == len(found)
     want = brute_leaks(docs, items)
     assert set(got) == set(want)
-    for key, (value, _) in want.items():  # the best windows may differ, not how near they come
-        assert got[key][0] == pytest.approx(value)
+    for key, (value, start) in want.items():
+        assert got[key][0] == pytest.approx(value) and got[key][1] == start
 
 
 def test_leaks_of_moved_passages(spark):
@@ -202,7 +206,29 @@ def test_leaks_of_moved_passages(spark):
     want = brute_leaks(docs, items)
     assert {(r.doc_id, r.item_id) for r in found} == set(want) and len(want) == len(found) == 8
     for r in found:
-        assert r.similarity == pytest.approx(want[r.doc_id, r.item_id][0])
+        assert (r.similarity, r.start) == pytest.approx(want[r.doc_id, r.item_id])
+    # and the SQL of the query finds them too
+    con = duckdb.connect()
+    for name, rows in (("documents", docs), ("benchmark", items)):
+        key = "doc_id" if name == "documents" else "item_id"
+        con.register(name, pa.table({key: [i for i, _ in rows], "text": [t for _, t in rows]}))
+    told = con.execute(SQL["op1_decontaminate"]).fetchall()
+    assert {(d, i): (v, s) for d, i, s, _, v in told} == {k: (pytest.approx(v), s) for k, (v, s) in want.items()}
+
+
+def test_few_unrelated_pairs_are_proposed(spark):
+    """The index leaves out most pairs of a length that have nothing in common."""
+    rng = random.Random(9)
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(300)]
+    items = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts[:100])], "item_id bigint, text string")
+    items = decontaminate.index_items(items, 5).withColumn("item_no", F.col("item_id"))
+    windows = spark.createDataFrame([(k, 60, t) for k, t in enumerate(texts[50:])], "window bigint, length int, words array<string>")
+    windows = decontaminate.fingerprints(windows, "words", "prints")
+    pairs = {(r.window, r.item_no) for r in decontaminate.proposed(windows, items).select("window", "item_no").distinct().collect()}
+    assert len(pairs) < 0.2 * 250 * 100
+    assert {(k, k + 50) for k in range(50)} <= pairs
+    near = {(r.window, r.item_no) for r in decontaminate.near_pairs(windows, items).collect()}
+    assert {(k, k + 50) for k in range(50)} <= near and len(near) < 60
 
 
 def test_leaks_at_the_threshold(spark):
@@ -234,8 +260,9 @@ def test_blocks_find_all_within_the_radius():
         other = value
         for bit in rng.sample(range(64), away):
             other ^= 1 << bit
-        parts = [((value ^ other) >> (8 * i)) & 255 for i in range(8)]
-        assert min(bin(p).count("1") for p in parts) <= 1
+        width = decontaminate.WIDTH
+        parts = [((value ^ other) >> (width * i)) & ((1 << width) - 1) for i in range(64 // width)]
+        assert min(bin(p).count("1") for p in parts) <= decontaminate.WINDOW_BITS + decontaminate.ITEM_BITS
 
 
 def brute_lines(rows, min_chars=40, min_docs=5):
