@@ -122,8 +122,8 @@ def csv_records(lines: DataFrame) -> DataFrame:
         )
     )
     every = whole.unionByName(crossing.select("file", "record", "is_first", "pairs"))
-    broken = F.regexp_replace(F.replace("record", F.lit("\r\n"), F.lit("\n")), "\r$", "")
-    return every.select("file", F.when(F.col("pairs"), broken).otherwise(F.col("record")).alias("record"), "is_first")
+    broken = F.when(F.col("pairs"), F.replace("record", F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("record"))
+    return every.select("file", F.regexp_replace(broken, "\r$", "").alias("record"), "is_first")
 
 
 def _parsed_records(
