@@ -147,15 +147,18 @@ def _extend(words: np.ndarray, first: int, last: int, q: int, block: int, least:
     n, margin = len(words), 2 * block
     while True:
         lo, hi = max(0, first - margin), min(n, last + q + block + margin)
-        equal = words[lo : hi - q] == words[lo + q : hi]
-        starts, ends = runs(equal)
-        cut = (lo > 0 and equal[0]) or (hi < n and equal[-1])
-        if not cut or margin >= n:
+        starts, ends = runs(words[lo : hi - q] == words[lo + q : hi])
+        # the stretches that the blocks stand in, and whether one goes on beyond what was compared
+        own = (ends > first - lo) & (starts <= last - lo)
+        starts, ends = starts[own], ends[own]
+        if not len(starts):
+            return
+        if not (lo > 0 and starts[0] == 0) and not (hi < n and ends[-1] == hi - q - lo):
             break
         margin *= 4
-    for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
-        if e - s + q >= max(least, 2 * q):
-            found.add(lo + s, lo + e + q, q)
+    long = ends - starts + q >= max(least, 2 * q)
+    for s, e in zip(starts[long].tolist(), ends[long].tolist(), strict=True):
+        found.add(lo + s, lo + e + q, q)
 
 
 def find_runs(words: np.ndarray, least: int = 12) -> list[tuple[int, int, int]]:
