@@ -154,8 +154,8 @@ def load_summary(results: DataFrame) -> tuple[DataFrame, DataFrame]:
 def thread_root(df: DataFrame, thread: str, order: str) -> DataFrame:
     """Give every post the number of the first post and the size of its thread.
 
-    Root and size come from an aggregate and are joined back, with hot threads salted, so a
-    long thread is not gathered in one task.
+    Root and size come from an aggregate, added up where the posts are read, and are joined back by a
+    join that adaptive execution can split, so a long thread is not gathered in one task.
     """
     roots = df.groupBy(thread).agg(F.min(order).alias("root"), F.count("*").alias("thread_size"))
     return lookup_join(df, roots, thread)
