@@ -300,9 +300,43 @@ def test_common_lines_equal_brute_force(spark):
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256)
     )
     assert sorted(map(tuple, found.collect()), key=repr) == brute_lines(rows)
+    for settings_ in ({"batches": 1}, {"batches": 9, "fanout": 2}, {"batch_docs": 13}):
+        again = dedup_lines.drop_common_lines(df, **settings_)
+        again = again.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256))
+        assert sorted(map(tuple, again.collect()), key=repr) == brute_lines(rows)
     assert dedup_lines.drop_common_lines(df.limit(0)).count() == 0
 
 
+def test_ranges_of_ids_hold_every_row_once(spark):
+    ids = [None, None, *range(50), *[7] * 40, -(1 << 63), (1 << 63) - 1, (1 << 63) - 2]
+    rows = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
+    for n in (1, 2, 5, 200):
+        ranges = dedup_lines.id_ranges(rows, n)
+        parts = [[r.doc_id for r in rows.where(x).collect()] for x in ranges]
+        assert len(ranges) <= n and sorted(map(repr, sum(parts, []))) == sorted(map(repr, ids))
+        assert None not in sum(parts[:-1], [])
+        for above, below in zip(parts, parts[1:]):
+            assert min(above, default=1 << 63) > max((i for i in below if i is not None), default=-(1 << 63) - 1)
+
+
+def test_batches_lose_what_the_runs_hold(spark, monkeypatch):
+    """Lines that a run holds often enough are lost as a batch comes, and not counted again."""
+    line, rare = "a line that very many documents hold, word by word", "another line that only one document holds, {}"
+    rows = [(i, f"{line}\n{rare.format(i)}\nshort") for i in range(80)]
+    added, add = [], dedup_lines.LineRuns.add
+
+    def watched(self, lines):
+        added.append(lines.where("h1 is not null").count())
+        add(self, lines)
+
+    monkeypatch.setattr(dedup_lines.LineRuns, "add", watched)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = dedup_lines.drop_common_lines(df, batches=4).collect()
+    assert {(r.doc_id, r.n_dropped) for r in found} == {(i, int(i < 79)) for i in range(80)}
+    # the first batch holds both lines of its documents, the others only the rare one
+    assert len(added) == 4 and added[0] > 30 and sum(added) - added[0] == 80 - added[0] // 2
+
+
 def test_new_batches_lose_lines_of_earlier_ones(spark):
     """Every batch is anti-joined with the runs and adds its own; levels stay short."""
     runs = dedup_lines.LineRuns(spark, fanout=3)
