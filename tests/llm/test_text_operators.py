@@ -275,3 +275,93 @@ def test_sample_of_findings_is_bounded_in_one_document(spark, monkeypatch):
 
 def test_secrets_of_odd_rows(odd):
     assert secrets.scan(odd).count() == 0
+
+
+def test_features_equal_brute_force(docs):
+    """Words, neighbours and words with one between, of the whole text and nothing else."""
+    texts = [r.text for r in docs.limit(40).collect()] + ["Ein WORT_zwei drei-4 äöü", "a", "a b", "", None]
+    for text in texts:
+        w = re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", (text or "").lower())
+        expected = set()
+        for k in range(len(w)):
+            expected.update(toxicity.hashed_features(" ".join(w[k : k + 3])).tolist())
+        assert toxicity.hashed_features(text).tolist() == sorted(expected)
+    abc, ab, bc = (set(toxicity.hashed_features(t).tolist()) for t in ("a b c", "a b", "b c"))
+    assert len(ab) == 3 and len(abc) == 6 and len(abc - ab - bc) == 1
+
+
+def brute_ftrl(samples, epochs, alpha, beta, l1, l2):
+    """Weights by feature, one coordinate after the other; the feature None is the bias."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(f):
+        rest = abs(z[f]) - (0 if f is None else l1)
+        if rest <= 0:
+            return 0.0
+        return -rest * (1 if z[f] > 0 else -1) / ((beta + n[f] ** 0.5) / alpha + l2)
+
+    for _ in range(epochs):
+        for x, y in samples:
+            w = {f: weight(f) for f in [*x, None]}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - y
+            for f in w:
+                z[f] += g - ((n[f] + g * g) ** 0.5 - n[f] ** 0.5) / alpha * w[f]
+                n[f] += g * g
+    return {f: weight(f) for f in list(z)}
+
+
+def test_toxicity_equals_a_plain_loop(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(120):
+        toxic = int(rng.integers(3) == 0)
+        pool = ["bad", "worse", "worst"] if toxic else ["good", "fine", "nice"]
+        w = [f"w{k}" for k in rng.integers(0, 40, 12)] + list(rng.choice(pool, 4))
+        rows.append((i, " ".join(rng.permutation(w).tolist()), toxic))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    place = F.xxhash64(F.lit("order"), "doc_id", "text")
+    ordered = df.select(place.alias("p"), "label", "text").orderBy("p", "label").collect()
+    samples = [(toxicity.hashed_features(r.text).tolist(), r.label) for r in ordered]
+    weights = brute_ftrl(samples, 5, 2.0, 1.0, 0.5, 0.1)
+    found = toxicity.score_toxicity(df.select("doc_id", "text"), df, l1=0.5).collect()
+    for r in found:
+        total = weights[None] + sum(weights[f] for f in toxicity.hashed_features(r.text).tolist())
+        assert r.score == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-9)
+    assert len({round(r.score, 6) for r in found}) > 50
+
+
+def test_path_lengths_equal_brute_force():
+    rng = np.random.default_rng(2)
+    x = np.r_[rng.normal(size=(60, 2)), np.zeros((5, 2)), [[9.0, 9.0]]]
+    trees = [quality_rules.grow_tree(x, seed) for seed in range(30)]
+
+    def mean_path(n):
+        return 0.0 if n <= 1 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+
+    def path(nodes, row):
+        """The depth at which a row stands and the path expected among the rows still beside it."""
+        at, depth, beside = 0, 0, list(x)
+        while nodes[at][0] >= 0:
+            f, cut = int(nodes[at][0]), nodes[at][1]
+            values = [r[f] for r in beside]
+            assert min(values) <= cut < max(values)
+            left = row[f] <= cut
+            beside = [r for r in beside if (r[f] <= cut) == left]
+            at, depth = int(nodes[at][2 if left else 3]), depth + 1
+        assert depth <= 7 and (depth == 7 or len({tuple(r) for r in beside}) == 1)
+        return depth + mean_path(len(beside))
+
+    expected = [2 ** (-np.mean([path(t, row) for t in trees]) / mean_path(len(x))) for row in x]
+    forest = quality_rules.IsolationForest([np.array(t) for t in trees], mean_path(len(x)))
+    assert forest.score(x) == pytest.approx(np.array(expected), abs=1e-12)
+    assert int(np.argmax(expected)) == len(x) - 1
+
+
+@pytest.mark.parametrize("keep", [0.5, 0.9, 0.995, 1.0])
+def test_threshold_equals_brute_force(spark, keep):
+    rng = np.random.default_rng(7)
+    scores = rng.beta(3, 5, 500).tolist()
+    found = quality_rules.calibrate(spark.createDataFrame([(s,) for s in scores], "anomaly double"), keep)
+    limits = [b / 10_000 for b in range(10_001)]
+    least = next(t for t in limits if sum(int(s * 10_000) < round(t * 10_000) for s in scores) >= keep * 500)
+    assert found == least
