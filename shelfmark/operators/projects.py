@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
+from functools import partial
+from xml.parsers import expat
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfmark.session import hand_over
 from shelfmark.skew import lookup_join
 from shelfmark.sources.readers import scan_pieces
 
@@ -12,11 +19,13 @@ TASK_END = "</DTS:Executable>"
 
 # attribute values are passed over whole, as they may hold brackets
 _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
-_TAG = (
-    r"<!--[\s\S]*?-->|<!\[CDATA\[[\s\S]*?\]\]>|</DTS:Executable\s*>"
-    rf"|<(?:DTS:Executable|SQLTask:SqlTaskData|AmazonRedshiftExecuteSqlTask)(?=[\s/>]){_ATTRIBUTES}"
-    r"|<pipeline(?=[\s/>])[\s\S]*?</pipeline>"
+_TAGS = re.compile(
+    r"<(?:!--[\s\S]*?-->|!\[CDATA\[[\s\S]*?\]\]>|/DTS:Executable\s*>"
+    rf"|(?:DTS:Executable|SQLTask:SqlTaskData|AmazonRedshiftExecuteSqlTask)(?=[\s/>]){_ATTRIBUTES}"
+    r"|pipeline(?=[\s/>])[\s\S]*?</pipeline>)",
+    re.ASCII,
 )
+_ROWS = 5_000  # rows that a scan gives at once
 _FIELDS = (
     "`DTS:Executable` struct<`_DTS:DTSID`: string, `_DTS:ObjectName`: string>, "
     "`SQLTask:SqlTaskData` struct<`_SQLTask:SqlStatementSource`: string>, "
@@ -24,49 +33,179 @@ _FIELDS = (
 )
 
 
-def _with_owners(pieces: DataFrame, content: str) -> DataFrame:
-    """(owner, item): every SQL task and pipeline with the start tag of the innermost task around it.
+# what of a start tag and of a pipeline is read by ``_scan`` itself; all else is left to Spark's XML parser
+_NAMED = re.compile(r"""\s+([A-Za-z_][\w.:-]*+)=(?:"([^"<\t\n\r]*+)"|'([^'<\t\n\r]*+)')""", re.ASCII)
+_PLAIN = re.compile(rf"<[\w:]++(?:{_NAMED.pattern})*+\s*+/?>", re.ASCII)
+_NO_TEXT = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]")
+_ENTITY = re.compile(r"&(?:#([0-9]{1,7})|#x([0-9A-Fa-f]{1,6})|(amp|lt|gt|quot|apos));|&")
+_CHARS = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+_STATEMENT = {"<S": "SQLTask:SqlStatementSource", "<A": "SqlStatementSource"}
+_READ = {n.lower(): n for n in ("DTS:DTSID", "DTS:ObjectName", *_STATEMENT.values())}
+_COLUMNS = (
+    "file string, block bigint, place bigint, kind string, task_id string, title string, statement string, "
+    "target string, owner string, item string, ends bigint, net bigint"
+)
+
+
+class _Odd(ValueError):
+    """Text that is left to Spark's XML parser."""
+
+
+def _char(m: re.Match) -> str:
+    if m[3]:
+        return _CHARS[m[3]]
+    code = int(m[1]) if m[1] else int(m[2], 16) if m[2] else 0
+    if code in (9, 10, 13) or 0x20 <= code <= 0xD7FF or 0xE000 <= code <= 0xFFFD or 0x10000 <= code <= 0x10FFFF:
+        return chr(code)
+    raise _Odd
+
+
+def _attributes(tag: str) -> dict[str, str]:
+    """Attributes of a well-formed start tag."""
+    if not _PLAIN.fullmatch(tag) or _NO_TEXT.search(tag):
+        raise _Odd
+    found: dict[str, str] = {}
+    for name, double, single in _NAMED.findall(tag):
+        value = double or single
+        if name in found or (name.lower() in _READ and not (value and name == _READ[name.lower()])):
+            raise _Odd
+        found[name] = _ENTITY.sub(_char, value) if "&" in value else value
+    return found
+
+
+def _pipeline(item: str) -> tuple[str, list[str]]:
+    """Query and target tables of a pipeline whose properties hold nothing but text."""
+    if "<!" in item or "<?" in item or _NO_TEXT.search(item):
+        raise _Odd
+    open_ones: list[list[str] | None] = []
+    found: dict[str, list[list[str]]] = {"Query": [], "TableName": []}
+
+    def start(name: str, attributes: dict[str, str]) -> None:
+        if open_ones and open_ones[-1] is not None:
+            raise _Odd
+        kept = found.get(attributes.get("name", "")) if name == "property" else None
+        open_ones.append(None if kept is None else [])
+        if kept is not None:
+            kept.append(open_ones[-1])
+
+    def text(data: str) -> None:
+        if open_ones[-1] is not None:
+            open_ones[-1].append(data)
 
-    The depth of a tag is a prefix sum of start and end tags, first over the blocks of a file and
-    then within each. The owner is the last start tag of the item's depth: in the item's own block,
-    or in the last earlier one that has any. Only tags travel, and no task needs more than a block.
+    parser = expat.ParserCreate()
+    parser.StartElementHandler, parser.CharacterDataHandler = start, text
+    parser.EndElementHandler = lambda _: open_ones.pop()
+    try:
+        parser.Parse(item, True)
+    except expat.ExpatError as wrong:
+        raise _Odd from wrong
+    whole = {name: ["".join(parts) for parts in texts] for name, texts in found.items()}
+    return (whole["Query"] or [""])[0], [t for t in whole["TableName"] if t]
+
+
+def _scanned(content: str, whole: bool) -> Iterator[dict]:
+    """What one text holds: tasks and pipelines, and those left to Spark's parser as ``raw``. Of a text
+    that is no whole project also items whose task began before it as ``waiting`` (after ``ends`` end
+    tags of earlier tasks), tasks that go on after it as ``open`` and, if there are such or ``ends``,
+    the change of depth.
     """
-    tags = pieces.select(
-        "file", "block", "place", F.posexplode(F.regexp_extract_all(content, F.lit(_TAG), F.lit(0))).alias("pos", "tag")
-    ).where("tag not like '<!%'")
-    opens = F.col("tag").startswith("<DTS:") & ~F.col("tag").endswith("/>")
-    marked = tags.withColumns(
-        {
-            "step": F.when(F.col("tag").startswith("</"), -1).when(opens, 1).otherwise(0),
-            "start": F.when(opens, F.col("tag")),
-        }
-    )
-    in_order = [F.col("place"), F.col("pos")]
+    stack: list[str] = []
+    names: list[dict[str, str] | None] = []
+    ends = 0
+    for match in _TAGS.finditer(content):
+        tag = match[0]
+        if tag.startswith("<!"):
+            continue
+        if tag.startswith("</"):
+            if stack:
+                stack.pop(), names.pop()
+            else:
+                ends += 1
+        elif tag.startswith("<DTS:"):
+            if not tag.endswith("/>"):
+                stack.append(tag), names.append(None)
+        elif not stack and not whole:
+            yield {"kind": "waiting", "item": tag, "ends": ends}
+        else:
+            try:
+                if stack and names[-1] is None:
+                    names[-1] = _attributes(stack[-1])
+                around = names[-1] if stack else {}
+                owner = {"task_id": around.get("DTS:DTSID"), "title": around.get("DTS:ObjectName")}
+                if tag.startswith("<pipeline"):
+                    query, targets = _pipeline(tag)
+                    if query:
+                        yield from ({"kind": "pipeline", **owner, "statement": query, "target": t} for t in targets)
+                else:
+                    statement = _attributes(tag).get(_STATEMENT[tag[:2]])
+                    if statement:
+                        yield {"kind": "task", **owner, "statement": statement}
+            except _Odd:
+                yield {"kind": "raw", "owner": stack[-1] if stack else None, "item": tag}
+    if whole:
+        return
+    for no, tag in enumerate(stack):
+        yield {"kind": "open", "owner": tag, "ends": ends - no - 1}
+    if stack or ends:
+        yield {"kind": "net", "net": len(stack) - ends}
+
+
+def _scan(whole: bool, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [c.split()[0] for c in _COLUMNS.split(", ")]
+    schema = pa.schema([(n, pa.int64() if n in ("block", "place", "ends", "net") else pa.string()) for n in names])
+    for batch in batches:
+        found: list[dict] = []
+        for file, block, place, content in zip(*(batch.column(i) for i in range(4)), strict=True):
+            at = {"file": file.as_py(), "block": block.as_py(), "place": place.as_py()}
+            text = (content.as_py() or b"").decode("utf-8", "replace")
+            for row in _scanned(text, whole):
+                found.append(at | row if row["kind"] in ("waiting", "open", "net") else row)
+                if len(found) == _ROWS:
+                    yield pa.RecordBatch.from_pylist(found, schema)
+                    found = []
+        yield pa.RecordBatch.from_pylist(found, schema)
+
+
+def _with_owners(found: DataFrame) -> DataFrame:
+    """(owner, item): items that are left to Spark's parser, with the start tag of the task around them.
+
+    Those that wait for a task of an earlier piece get it here. The depth of a tag is a prefix sum of
+    the changes of depth, first over the blocks of a file and then within each. The owner is the last
+    start tag of the item's depth: in the item's own block, or in the last earlier one that has any.
+    Only pieces in which tasks begin or end that other pieces go on with have a part in this.
+    """
+    in_order = Window.partitionBy("file", "block").orderBy("place")
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        marked.groupBy("file", "block").agg(F.sum("step").alias("net"))
+    # within a place what waits comes before what opens; the change of depth counts after both
+    tags = found.where("kind in ('waiting', 'open', 'net')").select(
+        "file", "block", "place", "owner", "item", F.coalesce("ends", F.lit(0)).alias("ends"), F.coalesce("net", F.lit(0)).alias("net")
+    )
+    blocks = (
+        tags.groupBy("file", "block").agg(F.sum("net").alias("net"))
         .select("file", "block", F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("before"))
     )
-    inside = F.sum("step").over(Window.partitionBy("file", "block").orderBy(*in_order))
-    deep = lookup_join(marked, before, ["file", "block"]).withColumn("depth", F.col("before") + inside)
-    last_start = F.last("start", ignorenulls=True)
-    owned = deep.where("step >= 0").withColumn(
-        "owner", last_start.over(Window.partitionBy("file", "block", "depth").orderBy(*in_order))
+    inside = F.coalesce(F.sum("net").over(in_order.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    deep = (
+        lookup_join(tags.withColumn("inside", inside), blocks, ["file", "block"])
+        .withColumn("depth", F.col("before") + F.col("inside") - F.col("ends"))
+        .where("owner is not null or item is not null")
     )
-    items = owned.where("step = 0 and tag not like '<DTS:%'")
-    starts = deep.where("start is not null").groupBy("file", "depth", F.col("block").alias("from")).agg(
-        F.max_by("start", F.struct("place", "pos")).alias("start")
+    at_depth = Window.partitionBy("file", "block", "depth").orderBy("place", F.col("item").isNull())
+    owned = deep.withColumn("own", F.last("owner", ignorenulls=True).over(at_depth))
+    items = owned.where("item is not null")
+    starts = deep.where("owner is not null").groupBy("file", "depth", F.col("block").alias("from")).agg(
+        F.max_by("owner", "place").alias("start")
     )
     # one row per depth at which a block goes on with a task of an earlier block
-    open_ones = items.where("owner is null and depth > 0").select("file", "depth", "block").distinct()
+    open_ones = items.where("own is null and depth > 0").select("file", "depth", "block").distinct()
     carried = (
         open_ones.join(starts, ["file", "depth"])
         .where(F.col("from") < F.col("block"))
         .groupBy("file", "depth", "block")
         .agg(F.max_by("start", "from").alias("carried"))
     )
-    found = lookup_join(items, carried, ["file", "depth", "block"])
-    return found.select(F.coalesce("owner", "carried").alias("owner"), F.col("tag").alias("item"))
+    waited = lookup_join(items, carried, ["file", "depth", "block"]).select(F.coalesce("own", "carried").alias("owner"), "item")
+    return found.where("kind = 'raw'").select("owner", "item").unionByName(waited)
 
 
 def xml_task_lineage(files: DataFrame, content: str = "content") -> tuple[DataFrame, DataFrame]:
@@ -77,15 +216,23 @@ def xml_task_lineage(files: DataFrame, content: str = "content") -> tuple[DataFr
     query and a target table: ``task_id``, ``title``, ``query``, ``target``. Id and title are those of
     the task around it, null if it has none or the attribute is missing.
 
-    ``files`` has one project per row, or pieces of projects as ``task_pieces`` cuts them. Every task
-    is parsed once, with the attributes of the task around it, so its fields stay together. Tags in
-    comments and CDATA sections don't count; in pieces no such section may hold the end of a task.
+    ``files`` has one project per row, or pieces of projects as ``task_pieces`` cuts them. Every text is
+    scanned once, where it lies: well-formed tags are read with the task around them, which as a rule
+    is in the same text, so no text is shuffled. Tags that are not plain, and those whose task
+    began in an earlier piece, are parsed by Spark. Tags in comments and CDATA sections don't
+    count; in pieces no such section may hold the end of a task.
     """
-    if "block" not in files.columns:
+    whole = "block" not in files.columns
+    if whole:
         files = files.select(
             F.monotonically_increasing_id().alias("file"), F.lit(0).alias("block"), F.lit(0).alias("place"), content
         )
-    found = _with_owners(files, content)
+    texts = files.select(
+        F.col("file").cast("string").alias("file"), F.col("block").cast("bigint").alias("block"),
+        F.col("place").cast("bigint").alias("place"), F.col(content).cast("binary").alias("content"),
+    )
+    scanned = hand_over(texts.mapInArrow(partial(_scan, whole), _COLUMNS), "project-tags")
+    found = _with_owners(scanned)
     closed = lambda tag: F.regexp_replace(F.coalesce(tag, F.lit("")), r"/?>$", "/>")
     is_pipeline = F.col("item").startswith("<pipeline")
     xml = F.concat(F.lit("<task>"), closed(F.col("owner")), F.when(is_pipeline, "").otherwise(closed(F.col("item"))), F.lit("</task>"))
@@ -103,7 +250,11 @@ def xml_task_lineage(files: DataFrame, content: str = "content") -> tuple[DataFr
         F.xpath_string("item", F.lit('//property[@name="Query"]')).alias("query"),
         F.explode(F.xpath("item", F.lit('//property[@name="TableName"]/text()'))).alias("target"),
     )
-    return tasks.where("statement <> ''"), parts.where("query <> ''")
+    read = [scanned.where(f"kind = '{kind}'") for kind in ("task", "pipeline")]
+    return (
+        read[0].select("task_id", "title", "statement").unionByName(tasks.where("statement <> ''")),
+        read[1].select("task_id", "title", F.col("statement").alias("query"), "target").unionByName(parts.where("query <> ''")),
+    )
 
 
 def task_pieces(spark: SparkSession, path: str) -> DataFrame:

@@ -4,6 +4,7 @@ from conftest import rows
 from shelfmark.operators import projects
 from shelfmark.operators import sqltext as S
 from shelfmark.operators.lineage import lineage_edges
+from shelfmark.session import scratch_log
 
 
 def one(spark, sql):
@@ -227,3 +228,16 @@ def test_large_project_is_read_by_several_tasks(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == {str(i): (f"T{i}" if i % 5 else None, f"select {i}") for i in range(3000)}
+
+
+def test_texts_of_pieces_are_scanned_once_and_not_shuffled(spark):
+    body = "".join(task(f'DTS:DTSID="{i}"', f"select {i}") for i in range(40))
+    pieces = cut_at_tasks(spark, {"a": f"<DTS:Executable>{body}</DTS:Executable>", "b": body}, 5)
+    with scratch_log() as paths:
+        tasks, _ = projects.xml_task_lineage(pieces)
+    assert len(paths) == 1  # the texts are read once; what follows reads what was found in them
+    found = spark.read.parquet(paths[0])
+    # one task begins in a piece and ends in another; no other tag leaves its row
+    assert rows(found.where("kind <> 'task'").groupBy("kind").count()) == [("net", 4), ("open", 1)]
+    assert rows(found.where("kind = 'task'").agg({"owner": "count", "item": "count"})) == [(0, 0)]
+    assert rows(tasks, "task_id", "statement") == sorted([(str(i), f"select {i}") for i in range(40)] * 2, key=repr)
