@@ -232,7 +232,8 @@ def xml_task_lineage(files: DataFrame, content: str = "content") -> tuple[DataFr
         F.col("place").cast("bigint").alias("place"), F.col(content).cast("binary").alias("content"),
     )
     scanned = hand_over(texts.mapInArrow(partial(_scan, whole), _COLUMNS), "project-tags")
-    found = _with_owners(scanned)
+    # the tasks around an item of a whole project are all in its row
+    found = scanned.where("kind = 'raw'").select("owner", "item") if whole else _with_owners(scanned)
     closed = lambda tag: F.regexp_replace(F.coalesce(tag, F.lit("")), r"/?>$", "/>")
     is_pipeline = F.col("item").startswith("<pipeline")
     xml = F.concat(F.lit("<task>"), closed(F.col("owner")), F.when(is_pipeline, "").otherwise(closed(F.col("item"))), F.lit("</task>"))

@@ -241,3 +241,34 @@ def test_texts_of_pieces_are_scanned_once_and_not_shuffled(spark):
     assert rows(found.where("kind <> 'task'").groupBy("kind").count()) == [("net", 4), ("open", 1)]
     assert rows(found.where("kind = 'task'").agg({"owner": "count", "item": "count"})) == [(0, 0)]
     assert rows(tasks, "task_id", "statement") == sorted([(str(i), f"select {i}") for i in range(40)] * 2, key=repr)
+
+
+def test_whole_projects_need_no_shuffle(spark):
+    whole = spark.createDataFrame([(XML,), (XML.replace("<Root", "</DTS:Executable><Root"),)], "content string")
+    for found in projects.xml_task_lineage(whole):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Window" not in plan
+    assert projects.xml_task_lineage(whole)[0].count() == 6
+
+
+def test_odd_tags_are_read_by_the_parser(spark):
+    """Tags and pipelines that the scan does not read itself."""
+    q = '<property name="Query">select 1 from {}</property><property name="TableName">{}</property>'.format
+    odd = "".join(
+        [
+            task('DTS:DTSID = "1"', "a&#xA;b", "c&#160;d"),  # blanks around the sign
+            task('DTS:DTSID="2" DTS:ObjectName=""', "line\nbreak"),  # a break in an attribute is a blank
+            task('DTS:DTSID="3"', "no &nbsp; entity"),
+            task('DTS:DTSID="4" DTS:DTSID="4"', "named twice"),
+            task('DTS:DTSID="5"', inner=f"<pipeline>{q('<![CDATA[a & b]]>', 'x<!-- -->y')}</pipeline>"),
+            task('DTS:DTSID="6"', inner=f"<pipeline>{q('<b>c</b>', 'd &amp; e')}</pipeline>"),
+        ]
+    )
+    whole = spark.createDataFrame([(f"<r>{odd}</r>",)], "content string")
+    cut = cut_at_tasks(spark, {"a": f"<DTS:Executable>{odd}</DTS:Executable>"}, 2)
+    for files in (whole, cut):
+        tasks, pipelines = projects.xml_task_lineage(files)
+        assert rows(tasks, "task_id", "statement") == [("1", "a\nb"), ("1", "c\xa0d"), ("2", "line break")]
+        assert rows(pipelines, "task_id", "query", "target") == [
+            ("5", "select 1 from a & b", "x"), ("5", "select 1 from a & b", "y"), ("6", "select 1 from c", "d & e"),
+        ]
