@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from shelfmark.skew import place_rows
 
 RANGE_ROWS = 10_000
 MOST_RANGES = 20_000
+TASK_ROWS = 200_000  # keys that one task sorts
 
 
 class PageIndex:
@@ -20,8 +22,8 @@ class PageIndex:
 
     ``order`` names columns, with a ``-`` in front for falling order; nulls come first in rising and
     last in falling order. The index is made once, by sorting the key columns alone, and kept in the
-    shared folder; it has a row per range, about one for ``rows`` rows and at most
-    ``MOST_RANGES``. Equal keys are always in one range. A page then reads only rows of the ranges it
+    shared folder; it has a row per range, about one for ``rows`` rows and about
+    ``MOST_RANGES`` at most. A task sorts many ranges, so their number costs no tasks. Equal keys are always in one range. A page then reads only rows of the ranges it
     lies in: their borders are filters on the key columns, of which the first is pushed down to the
     files. The table must not change meanwhile. End ``order`` with a unique key for repeatable pages.
     """
@@ -30,20 +32,23 @@ class PageIndex:
         self.df = df
         self.keys = [(o.removeprefix("-"), o.startswith("-")) for o in order]
         keys = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, (c, _) in enumerate(self.keys)])
-        ranges = max(1, min(MOST_RANGES, math.ceil(keys.count() / rows)))
+        total = keys.count()
+        step = max(1, rows, math.ceil(total / MOST_RANGES))
         by = [F.desc(f"k{i}") if falling else F.asc(f"k{i}") for i, (_, falling) in enumerate(self.keys)]
-        placed = place_rows(keys, by, ranges)
-        sizes = placed.groupBy("_range").agg(F.count("*").alias("rows"))
+        placed = place_rows(keys, by, max(1, math.ceil(total / TASK_ROWS)))
         names = [f"k{i}" for i in range(len(self.keys))]
-        # the first row of a range is its border
-        borders = placed.where("_place = 0").select("_range", F.struct(*names).alias("border"))
+        # the key of each ``step``-th row is a border; its range begins with the first row of that key
+        cuts = placed.where(F.col("_place") % step == 0).select(*[F.col(c).alias(f"_{c}") for c in names]).distinct()
+        same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names])
+        starts = placed.join(F.broadcast(cuts), same, "left_semi").groupBy("_range", *names).agg(F.min("_place").alias("_place"))
+        sizes = placed.groupBy("_range").agg(F.count("*").alias("size"))
         before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-        self.ranges = hand_over(
-            sizes.select("_range", "rows", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before")).join(
-                F.broadcast(borders), "_range"
-            ),
-            "page-index",
+        offsets = sizes.select("_range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+        ranges = starts.join(F.broadcast(offsets), "_range").select(
+            (F.col("offset") + F.col("_place")).alias("before"), F.struct(*names).alias("border")
         )
+        following = F.lead("before", 1, total).over(Window.orderBy("before"))
+        self.ranges = hand_over(ranges.select("before", (following - F.col("before")).alias("rows"), "border"), "page-index")
 
     def _order(self) -> list[Column]:
         return [F.desc(f"`{c}`") if falling else F.asc(f"`{c}`") for c, falling in self.keys]

@@ -9,6 +9,7 @@ from conftest import rows
 from shelfmark.operators import relational
 from shelfmark.operators.paging import PageIndex
 from shelfmark.operators.search import TermIndex
+from shelfmark.skew import place_rows
 
 
 @pytest.fixture(scope="module")
@@ -64,6 +65,24 @@ def test_pages_of_nothing(spark):
     assert rows(relational.page_slice(nulls, ["k", "-v"], 1, 1)) == [(None, 1)]
 
 
+@pytest.mark.parametrize("task_rows", [200_000, 700])
+def test_ranges_cost_no_tasks(spark, table, monkeypatch, task_rows):
+    monkeypatch.setattr("shelfmark.operators.paging.TASK_ROWS", task_rows)
+    df, data = table
+    asked = []
+    monkeypatch.setattr("shelfmark.operators.paging.place_rows", lambda keys, by, n: asked.append(n) or place_rows(keys, by, n))
+    for order in (["-k", "x", "-id"], ["-x", "id"], ["k"]):
+        index = PageIndex(df, order, rows=20)
+        assert asked.pop() == -(-3000 // task_rows)
+        ranges = sorted(index.ranges.select("before", "rows").collect())
+        assert ranges[0].before == 0 and all(a.before + a.rows == b.before for a, b in zip(ranges, ranges[1:], strict=False))
+        assert sum(r.rows for r in ranges) == 3000
+        if order != ["k"]:
+            assert 100 < len(ranges) <= 3000 / 20 + 5
+            for limit, offset in ((30, 0), (45, 1390), (30, 2980)):
+                assert [tuple(r) for r in index.page(limit, offset).collect()] == ordered(data, order)[offset : offset + limit]
+
+
 TEXTS = [(1, "Gold ring, gold"), (2, "gold"), (3, "golden ring"), (4, None), (5, ""), (None, "ring"), (2, "ring ring")]
 
 
