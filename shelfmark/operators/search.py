@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from zlib import crc32
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfmark.functions import text
 from shelfmark.session import scratch_path
 
 BUCKETS = 64
-BLOCK = 10_000
+BLOCK = 50_000
+
+
+def _counted(words: str) -> Column:
+    """(term, times) of each distinct word of a sorted array ``words``, by the places ``_at`` where they begin."""
+    end = lambda k: F.coalesce(F.get("_at", k + 1), F.size(words))
+    return F.transform("_at", lambda at, k: F.struct(F.get(words, at).alias("term"), (end(k) - at).alias("times")))
 
 
 class TermIndex:
     """Words of texts with the rows that have them, in a folder of Parquet files.
 
-    A row of the index is a block of postings of one term: up to about ``BLOCK`` times (row id, how
-    often), with the number of rows that have the term. So a word that every text has is many
-    rows, and no list grows with the table. Files are dealt by a hash of the term to ``BUCKETS`` folders
-    and sorted by term: a search opens only the folders of its terms, and reads of their files
+    A row of the index is a posting: a term, the id of a row that has it, and how often. So a word
+    that every text has is many rows, and no list grows with the table. Postings are dealt by a hash of
+    the term to ``BUCKETS`` folders, there by a hash of the id to a file for about ``BLOCK`` ids each, and
+    sorted by term: a search opens only the folders of its terms, and reads of their files
     only the row groups that may hold them.
     """
 
@@ -34,37 +41,49 @@ class TermIndex:
     def build(cls, df: DataFrame, row_id: str, column: str, path: str | None = None) -> TermIndex:
         """Index the whole texts of ``column``. Rows of one id count as one text; null and blank
         texts have no words but count as rows.
+
+        The words of a row are counted where it is read, and postings are shuffled once. Only if ids
+        repeat, the counts of their rows are added up after that.
         """
         spark = df.sparkSession
         path = path or scratch_path(spark, "term-index")
-        words = df.select(F.col(row_id).alias("id"), F.explode(text.tokens(column)).alias("term"))
-        counted = words.groupBy("term", "id").agg(F.count("*").cast("int").alias("times"))
-        frequency = counted.groupBy("term").agg(F.count("*").alias("n_rows"))
-        blocks = F.ceil(F.col("n_rows") / BLOCK)
-        placed = counted.join(frequency, "term").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-        postings = (
-            placed.groupBy("term", "n_rows", "block")
-            .agg(F.collect_list(F.struct("id", "times")).alias("found"))
-            .withColumn("bucket", cls._bucket(F.col("term")))
+        ids = F.count_distinct(F.coalesce(F.col(row_id).cast("string"), F.lit("")))
+        df.agg(ids.alias("rows"), F.count("*").alias("texts")).write.parquet(f"{path}/size")
+        size = spark.read.parquet(f"{path}/size").first()
+        n = F.size("_words")
+        begins = F.filter(
+            F.when(n > 0, F.sequence(F.lit(0), n - 1)),
+            lambda i: (i == 0) | (F.get("_words", i) != F.get("_words", i - 1)),
+        )
+        # the steps are columns of their own, and no filter follows on an empty list, so that each is evaluated once
+        counted = (
+            df.select(F.col(row_id).alias("id"), F.sort_array(text.tokens(column)).alias("_words"))
+            .withColumn("_at", begins)
+            .select("id", F.explode_outer(_counted("_words")).alias("w"))
+            .where("w is not null")
+            .select("w.term", "id", "w.times")
         )
+        blocks = max(1, math.ceil(size["rows"] / BLOCK))
+        placed = counted.withColumns(
+            {"bucket": cls._bucket(F.col("term")), "block": F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")}
+        ).repartition("bucket", "block")
+        if size["texts"] > size["rows"]:
+            placed = placed.groupBy("bucket", "block", "term", "id").agg(F.sum("times").cast("int").alias("times"))
         (
-            postings.repartition("bucket", "block")
-            .sortWithinPartitions("bucket", "term", "block")
+            placed.select("term", "id", "times", "bucket")
+            .sortWithinPartitions("bucket", "term")
             .write.partitionBy("bucket")
             .parquet(f"{path}/postings")
         )
-        df.agg(F.count_distinct(F.coalesce(F.col(row_id).cast("string"), F.lit(""))).alias("rows")).write.parquet(f"{path}/size")
         return cls(spark, path)
 
     @staticmethod
-    def _bucket(term):
+    def _bucket(term: Column) -> Column:
         return F.pmod(F.crc32(term.cast("binary")), F.lit(BUCKETS)).cast("int")
 
     def _asked(self, terms: Sequence[str]) -> DataFrame:
-        """Blocks of the terms asked for."""
-        kind = T.StructType([T.StructField("term", T.StringType())])
-        given = self.spark.createDataFrame([(t,) for t in terms], kind)
-        buckets = [r[0] for r in given.select(self._bucket(F.col("term"))).distinct().collect()]
+        """Postings of the terms asked for."""
+        buckets = sorted({crc32(t.encode()) % BUCKETS for t in terms})
         return self.postings.where(F.col("bucket").isin(buckets) & F.col("term").isin(list(terms)))
 
     def search(self, query: str, mode: str = "any", k: int | None = None) -> DataFrame:
@@ -78,10 +97,13 @@ class TermIndex:
             raise ValueError(f"unknown search mode {mode!r}")
         asked = self.spark.range(1).select(F.explode(F.array_distinct(text.tokens(F.lit(query)))).alias("t"))
         terms = sorted(r["t"] for r in asked.collect())
-        hits = self._asked(terms).select("term", "n_rows", F.explode("found").alias("f"))
+        postings = self._asked(terms)
+        # one row per term that is asked for
+        frequency = postings.groupBy("term").agg(F.count("*").alias("n_rows"))
+        hits = postings.join(F.broadcast(frequency), "term")
         weight = F.log1p(F.lit(float(self.rows)) / F.col("n_rows"))
-        found = hits.groupBy(F.col("f.id").alias("id")).agg(
-            F.count("*").alias("n_terms"), F.round(F.sum(F.col("f.times") * weight), 4).alias("score")
+        found = hits.groupBy("id").agg(
+            F.count("*").alias("n_terms"), F.round(F.sum(F.col("times") * weight), 4).alias("score")
         )
         if mode == "all":
             found = found.where(F.col("n_terms") == len(terms))

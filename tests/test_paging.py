@@ -125,3 +125,22 @@ def test_other_terms_are_pruned(spark):
     plan = asked._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(term,w17)" in plan
     assert index.search("w17", "any").collect()[0].id == 17
+
+
+def test_a_posting_is_a_row_of_its_own(spark, index):
+    """Rows of one id are added up, and no list grows with the table."""
+    assert dict(index.postings.dtypes) == {"term": "string", "id": "int", "times": "int", "bucket": "int"}
+    assert rows(index.postings, "term", "id", "times") == sorted(
+        [("gold", 1, 2), ("ring", 1, 1), ("gold", 2, 1), ("ring", 2, 2), ("golden", 3, 1), ("ring", 3, 1), ("ring", None, 1)], key=repr
+    )
+
+
+def test_words_are_counted_in_their_row_and_shuffled_once(spark):
+    df = spark.range(500).selectExpr("id", "concat('b a b w', id % 7, ' a b') as t")
+    shuffled = lambda: spark.sparkContext._jsc.sc().newShuffleId()
+    before = shuffled()
+    index = TermIndex.build(df, "id", "t")
+    # ids that are counted (one distinct count) and postings; each call above takes a number too
+    assert shuffled() - before - 1 <= 3
+    assert rows(index.postings.groupBy("times").count()) == [(1, 500), (2, 500), (3, 500)]
+    assert index.postings.count() == 1500
