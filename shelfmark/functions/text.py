@@ -101,6 +101,11 @@ def pieces(text: str | Column, pattern: str) -> Column:
     return F.transform(cut, lambda p: F.when(F.contains(p, F.lit(_ESCAPE)), restored(p)).otherwise(p))
 
 
+def even_pieces(cut: str | Column) -> Column:
+    """What is kept among ``pieces``: one more than there are matches."""
+    return F.filter(cut, lambda _, i: i % 2 == 0)
+
+
 def odd_pieces(cut: str | Column) -> Column:
     """The matches among ``pieces``."""
     return F.filter(cut, lambda _, i: i % 2 == 1)

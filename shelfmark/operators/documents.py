@@ -70,8 +70,13 @@ def parse_elements(found: Column, *names: str) -> Column:
     )
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value evaluated once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def inner_text(element: Column) -> Column:
-    return html_unescape(F.regexp_replace(element, r"<[^>]*>", ""))
+    return _once(F.regexp_replace(element, r"<[^>]*>", ""), html_unescape)
 
 
 def _attr(name: str, value: Column) -> Column:
@@ -121,12 +126,14 @@ def zero_refs(df: DataFrame, articles: DataFrame, row_id: str = "id", body: str
         )
 
     def build(e: Column, title: Column) -> Column:
-        shown = escape(F.coalesce(title, inner_text(e["whole"])))
         content = F.regexp_extract(e["whole"], r"(?is)^<[^>]*>(.*)</a\s*>$", 1)
-        zeroed = F.concat(
-            _reopen(e["opening"], _attr("data-oid", F.lit("0")), _attr("title", shown)),
-            F.when(e["key"].isNotNull(), shown).otherwise(content),
-            F.lit("</a>"),
+        zeroed = _once(
+            escape(F.coalesce(title, inner_text(e["whole"]))),
+            lambda shown: F.concat(
+                _reopen(e["opening"], _attr("data-oid", F.lit("0")), _attr("title", shown)),
+                F.when(e["key"].isNotNull(), shown).otherwise(content),
+                F.lit("</a>"),
+            ),
         )
         return F.when(_is_reference(e), zeroed).otherwise(e["whole"])
 

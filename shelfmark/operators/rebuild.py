@@ -1,6 +1,6 @@
 """Replace parts of a text by values that come from another table.
 
-A text is cut into pieces by one pass of the pattern, and each match is parsed once; pieces and
+A text is cut into pieces by one pass of the pattern, and each match is parsed once; what is kept and
 parsed matches are written, as both the keys and the new texts are made of them. Only the distinct
 keys of the matches are joined; the pieces stay in their row, and the resolved keys come back as one
 map per text. Texts without a match are neither written nor shuffled.
@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import odd_pieces, pieces
+from shelfmark.functions.text import even_pieces, odd_pieces, pieces
 from shelfmark.session import hand_over
 from shelfmark.skew import lookup_join
 
@@ -55,11 +55,13 @@ def replace_resolved(
     cut = hand_over(
         df.where(has_match)
         .withColumn("_pieces", pieces(text, pattern))
-        .withColumn("_parsed", parse(odd_pieces("_pieces")))
-        .drop(text),
+        .withColumns({"_kept": even_pieces("_pieces"), "_parsed": parse(odd_pieces("_pieces"))})
+        .drop("_pieces", text),
         "pieces",
     )
     resolved = resolve_keys(cut, row_id, F.transform("_parsed", lambda p: p["key"]), dim, key, value)
+    after = lambda kept, new: F.array(kept, F.coalesce(new, F.lit("")))
+    # the new texts are zipped with what is kept: named inside a lambda they would be made anew for every match
     rebuilt = (
         cut.join(resolved, row_id, "left")
         .withColumn(
@@ -72,17 +74,6 @@ def replace_resolved(
             ),
         )
         .withColumn("_new", F.transform("_valued", lambda m: build(m["p"], m["v"])))
-        .withColumn(
-            text,
-            F.array_join(
-                F.transform(
-                    "_pieces",
-                    lambda piece, i: F.when(i % 2 == 0, piece).otherwise(
-                        F.coalesce(F.get("_new", F.floor(i / 2).cast("int")), F.lit(""))
-                    ),
-                ),
-                "",
-            ),
-        )
+        .withColumn(text, F.array_join(F.flatten(F.zip_with("_kept", "_new", after)), ""))
     )
     return untouched.unionByName(rebuilt.select(*df.columns))

@@ -1,3 +1,5 @@
+import time
+
 from conftest import rows
 
 from shelfmark.operators import documents as D
@@ -69,6 +71,20 @@ def test_zero_refs(spark):
     )
 
 
+def test_a_match_is_built_once_however_many_a_text_has(spark):
+    n = 3000
+    body = "-".join(link("article", "One" if i % 2 else "None", text=f"a &amp; {i}") for i in range(n))
+    df = spark.createDataFrame([(1, body)], BODY)
+    articles = spark.createDataFrame([(5, "Five")], "id int, title string")
+    begun = time.monotonic()
+    zeroed = D.zero_refs(df, articles).first().body
+    rewritten = D.rewrite_refs(df, dims(spark), on_missing="zero").first().body
+    # each text anew for every match took minutes
+    assert time.monotonic() - begun < 30
+    assert zeroed.split("-<")[7] == 'a data-otype="article" data-oid="0" title="a &amp; 7">a &amp; 7</a>'
+    assert rewritten.count('href="/article/10/"') == rewritten.count('data-oid="0"') == n // 2
+
+
 def test_links(spark):
     html = """<nav><a href='/a?x=1&amp;y=2' >One <b>two</b></a><A HREF="/b" title=""></A><abbr>no</abbr></nav>"""
     df = spark.createDataFrame([(1, html)], "id int, html string")
