@@ -39,8 +39,12 @@ _PLAIN = re.compile(rf"<[\w:]++(?:{_NAMED.pattern})*+\s*+/?>", re.ASCII)
 _NO_TEXT = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]")
 _ENTITY = re.compile(r"&(?:#([0-9]{1,7})|#x([0-9A-Fa-f]{1,6})|(amp|lt|gt|quot|apos));|&")
 _CHARS = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+_END_WITH_BLANKS = re.compile(r"</pipeline\s")
 _STATEMENT = {"<S": "SQLTask:SqlStatementSource", "<A": "SqlStatementSource"}
 _READ = {n.lower(): n for n in ("DTS:DTSID", "DTS:ObjectName", *_STATEMENT.values())}
+_OWNER = ("DTS:DTSID", "DTS:ObjectName")
+_NOWHERE = (None, None, None)
+_PARSED = 1 << 24  # a longer text is not parsed as a whole, as its rows are held until its end
 _COLUMNS = (
     "file string, block bigint, place bigint, kind string, task_id string, title string, statement string, "
     "target string, owner string, item string, ends bigint, net bigint"
@@ -103,67 +107,169 @@ def _pipeline(item: str) -> tuple[str, list[str]]:
     return (whole["Query"] or [""])[0], [t for t in whole["TableName"] if t]
 
 
-def _scanned(content: str, whole: bool) -> Iterator[dict]:
-    """What one text holds: tasks and pipelines, and those left to Spark's parser as ``raw``. Of a text
-    that is no whole project also items whose task began before it as ``waiting`` (after ``ends`` end
-    tags of earlier tasks), tasks that go on after it as ``open`` and, if there are such or ``ends``,
-    the change of depth.
+def _parsed(content: str) -> list[tuple]:
+    """Tasks and pipelines of a whole project that is well-formed and has nothing odd, by one pass of a parser.
+
+    What ``_scanned`` leaves to Spark's parser, or may see otherwise than a parser does, is odd here.
+    """
+    # the parser itself rejects all other characters that are none of XML
+    if "\ufffe" in content or "\uffff" in content or _END_WITH_BLANKS.search(content):
+        raise _Odd
+    rows: list[tuple] = []
+    stack: list[dict[str, str]] = []  # attributes of the tasks around
+    statements = {"SQLTask:SqlTaskData": _STATEMENT["<S"], "AmazonRedshiftExecuteSqlTask": _STATEMENT["<A"]}
+    within = pipelines = 0  # depth in a pipeline, and how many there are
+    found: dict[str, list[list[str]]] = {}
+    text: list[str] | None = None
+    childless = False
+    parser = expat.ParserCreate()
+
+    def read(attributes: dict[str, str], *names: str) -> tuple:
+        for name, value in attributes.items():
+            known = _READ.get(name.lower())
+            if known and not (value and name == known):
+                raise _Odd
+        return tuple(map(attributes.get, names))
+
+    def owner() -> tuple:
+        return read(stack[-1], *_OWNER) if stack else (None, None)
+
+    def start(name: str, attributes: dict[str, str]) -> None:
+        nonlocal within, found, text, childless
+        if within:
+            if text is not None or name == "pipeline":
+                raise _Odd
+            within, childless = within + 1, False
+            kept = found.get(attributes.get("name", "")) if name == "property" else None
+            if kept is not None:
+                text = []
+                kept.append(text)
+                parser.CharacterDataHandler = text.append
+        elif name == "DTS:Executable":
+            stack.append(attributes)
+        elif name == "pipeline":
+            within, childless, found = 1, True, {"Query": [], "TableName": []}
+        elif name in statements:
+            around = owner()
+            (statement,) = read(attributes, statements[name])
+            if statement:
+                rows.append((*_NOWHERE, "task", *around, statement, None, None, None, None, None))
+
+    def end(name: str) -> None:
+        nonlocal within, text, pipelines
+        if within:
+            within -= 1
+            if text is not None:
+                text = parser.CharacterDataHandler = None
+            if not within:
+                if childless:
+                    raise _Odd
+                pipelines += 1
+                around = owner()
+                query = "".join(found["Query"][0]) if found["Query"] else ""
+                for target in map("".join, found["TableName"]) if query else ():
+                    if target:
+                        rows.append((*_NOWHERE, "pipeline", *around, query, target, None, None, None, None))
+        elif name == "DTS:Executable":
+            stack.pop()
+
+    def odd(*_: object) -> None:
+        raise _Odd
+
+    def odd_within(*_: object) -> None:
+        if within:
+            raise _Odd
+
+    parser.StartElementHandler, parser.EndElementHandler = start, end
+    parser.CommentHandler = parser.StartCdataSectionHandler = odd_within
+    parser.ProcessingInstructionHandler = parser.StartDoctypeDeclHandler = odd
+    try:
+        parser.Parse(content, True)
+    except expat.ExpatError as wrong:
+        raise _Odd from wrong
+    if content.count("</pipeline>") != pipelines:
+        raise _Odd
+    return rows
+
+
+def _scanned(content: str, whole: bool, at: tuple) -> Iterator[tuple]:
+    """What one text holds, as rows of ``_COLUMNS``: tasks and pipelines, and those left to Spark's parser
+    as ``raw``. Of a text that is no whole project also items whose task began before it as ``waiting``
+    (after ``ends`` end tags of earlier tasks), tasks that go on after it as ``open`` and, if there
+    are such or ``ends``, the change of depth; these have the text's place ``at``.
     """
     stack: list[str] = []
-    names: list[dict[str, str] | None] = []
+    names: list[tuple | None] = []  # id and title, once they are asked for
     ends = 0
     for match in _TAGS.finditer(content):
         tag = match[0]
-        if tag.startswith("<!"):
+        first = tag[1]
+        if first == "!":
             continue
-        if tag.startswith("</"):
+        if first == "/":
             if stack:
                 stack.pop(), names.pop()
             else:
                 ends += 1
-        elif tag.startswith("<DTS:"):
-            if not tag.endswith("/>"):
+        elif first == "D":
+            if tag[-2] != "/":
                 stack.append(tag), names.append(None)
         elif not stack and not whole:
-            yield {"kind": "waiting", "item": tag, "ends": ends}
+            yield (*at, "waiting", None, None, None, None, None, tag, ends, None)
         else:
             try:
-                if stack and names[-1] is None:
-                    names[-1] = _attributes(stack[-1])
-                around = names[-1] if stack else {}
-                owner = {"task_id": around.get("DTS:DTSID"), "title": around.get("DTS:ObjectName")}
-                if tag.startswith("<pipeline"):
+                owner = names[-1] if stack else (None, None)
+                if owner is None:
+                    around = _attributes(stack[-1])
+                    owner = names[-1] = tuple(map(around.get, _OWNER))
+                if first == "p":
                     query, targets = _pipeline(tag)
                     if query:
-                        yield from ({"kind": "pipeline", **owner, "statement": query, "target": t} for t in targets)
+                        for target in targets:
+                            yield (*_NOWHERE, "pipeline", *owner, query, target, None, None, None, None)
                 else:
                     statement = _attributes(tag).get(_STATEMENT[tag[:2]])
                     if statement:
-                        yield {"kind": "task", **owner, "statement": statement}
+                        yield (*_NOWHERE, "task", *owner, statement, None, None, None, None, None)
             except _Odd:
-                yield {"kind": "raw", "owner": stack[-1] if stack else None, "item": tag}
+                yield (*_NOWHERE, "raw", None, None, None, None, stack[-1] if stack else None, tag, None, None)
     if whole:
         return
     for no, tag in enumerate(stack):
-        yield {"kind": "open", "owner": tag, "ends": ends - no - 1}
+        yield (*at, "open", None, None, None, None, tag, None, ends - no - 1, None)
     if stack or ends:
-        yield {"kind": "net", "net": len(stack) - ends}
+        yield (*at, "net", None, None, None, None, None, None, None, len(stack) - ends)
+
+
+def _rows_of(content: str, whole: bool, at: tuple) -> Iterable[tuple]:
+    """Rows of a text: of a whole project by a parser, if it is well-formed and has nothing odd."""
+    if whole and 0 < len(content) <= _PARSED:
+        try:
+            return _parsed(content)
+        except _Odd:
+            pass
+    return _scanned(content, whole, at)
 
 
 def _scan(whole: bool, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in _COLUMNS.split(", ")]
     schema = pa.schema([(n, pa.int64() if n in ("block", "place", "ends", "net") else pa.string()) for n in names])
+
+    def given(found: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*found, strict=True) if found else [()] * len(schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
     for batch in batches:
-        found: list[dict] = []
+        found: list[tuple] = []
         for file, block, place, content in zip(*(batch.column(i) for i in range(4)), strict=True):
-            at = {"file": file.as_py(), "block": block.as_py(), "place": place.as_py()}
+            at = (file.as_py(), block.as_py(), place.as_py())
             text = (content.as_py() or b"").decode("utf-8", "replace")
-            for row in _scanned(text, whole):
-                found.append(at | row if row["kind"] in ("waiting", "open", "net") else row)
+            for row in _rows_of(text, whole, at):
+                found.append(row)
                 if len(found) == _ROWS:
-                    yield pa.RecordBatch.from_pylist(found, schema)
+                    yield given(found)
                     found = []
-        yield pa.RecordBatch.from_pylist(found, schema)
+        yield given(found)
 
 
 def _with_owners(found: DataFrame) -> DataFrame:

@@ -272,3 +272,23 @@ def test_odd_tags_are_read_by_the_parser(spark):
         assert rows(pipelines, "task_id", "query", "target") == [
             ("5", "select 1 from a & b", "x"), ("5", "select 1 from a & b", "y"), ("6", "select 1 from c", "d & e"),
         ]
+
+
+def test_a_well_formed_project_is_parsed_in_one_pass(monkeypatch):
+    """Its tags are not scanned and read one by one, and the rows are those of the scan."""
+    pipe = '<pipeline a="/>"><p><property name="Query">a &lt; b</property><property name="TableName">{}</property></p></pipeline>'.format
+    both = f"<r>{task('DTS:DTSID="1"', 'x &gt; &#10;', inner=pipe('t'))}<!-- {task('', 'no')} --><![CDATA[<DTS:Executable>]]>{pipe('u')}</r>"
+    odd = [
+        both.replace("<r>", ""), both.replace("<r>", "<?a <DTS:Executable> ?><r>"), both.replace('DTSID="1"', 'dtsid="1"'),
+        both.replace("</pipeline>", "</pipeline >", 1), both.replace("no", "</pipeline>"), both.replace('DTSID="1"', 'DTSID=""'),
+        both.replace("<p>", "<p><!-- -->", 1), both.replace("<p>", "<p><pipeline>a</pipeline>", 1), both.replace("u", "\uffff"),
+        both.replace("</pipeline>", "</pipeline ><!-- </pipeline> -->", 1), both.replace("<p>", "<pipeline/><p>", 1),
+        both.replace("</property>", "<b/></property>", 1), both.replace("<r>", '<!DOCTYPE r [<!ENTITY e "f">]><r>'), "", "<r>",
+    ]
+    at = ("f", 0, 0)
+    for text in (both, *odd):
+        assert list(projects._rows_of(text, True, at)) == list(projects._scanned(text, True, at))
+    expected = [r[4:8] for r in projects._scanned(both, True, at)]
+    monkeypatch.setattr(projects, "_scanned", lambda *_: [][1])
+    assert [r[4:8] for r in projects._rows_of(both, True, at)] == expected
+    assert len(expected) == 3
