@@ -323,8 +323,9 @@ def xml_task_lineage(files: DataFrame, content: str = "content") -> tuple[DataFr
     the task around it, null if it has none or the attribute is missing.
 
     ``files`` has one project per row, or pieces of projects as ``task_pieces`` cuts them. Every text is
-    scanned once, where it lies: well-formed tags are read with the task around them, which as a rule
-    is in the same text, so no text is shuffled. Tags that are not plain, and those whose task
+    read where it lies: a well-formed project is parsed in one pass, other texts are scanned for tags,
+    which are read with the task around them. That task is as a rule in the same text, so no text
+    is shuffled. Tags that are not plain, and those whose task
     began in an earlier piece, are parsed by Spark. Tags in comments and CDATA sections don't
     count; in pieces no such section may hold the end of a task.
     """
