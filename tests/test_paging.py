@@ -5,8 +5,10 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
-from shelfmark.operators import relational
+from shelfmark.functions import text
+from shelfmark.operators import relational, search
 from shelfmark.operators.paging import PageIndex
 from shelfmark.operators.search import TermIndex
 from shelfmark.skew import place_rows
@@ -144,3 +146,32 @@ def test_words_are_counted_in_their_row_and_shuffled_once(spark):
     assert shuffled() - before - 1 <= 3
     assert rows(index.postings.groupBy("times").count()) == [(1, 500), (2, 500), (3, 500)]
     assert index.postings.count() == 1500
+
+
+def test_postings_of_rows_read_together_are_one_list(spark):
+    df = spark.range(500).coalesce(1).selectExpr("id", "concat('b a b w', id, ' a b') as t")
+    index = TermIndex.build(df, "id", "t")
+    lists = spark.read.parquet(f"{index.path}/postings")
+    # a list of a and one of b, and one for each word that a single text has
+    assert lists.count() == 502
+    assert rows(lists.where("term < 'w'").selectExpr("term", "times", "size(ids)")) == [("a", 2, 500), ("b", 3, 500)]
+    assert index.postings.count() == 1500
+
+
+ODD = ["", "Él\u212a a_b", " \n", "\u0130i 9-9", "a_b", "x" * 90 + " a_b x", None, "é", "K k\x00K", "a_b\U0001f600a_b", "."]
+
+
+@pytest.mark.parametrize("size", [1, 20, 1 << 23])
+def test_words_of_a_slice_are_those_of_its_texts(spark, monkeypatch, size):
+    """Where texts are cut in slices, at odd characters and blank texts, words are as one text has them."""
+    df = spark.createDataFrame(list(enumerate(ODD)), "id int, t string").selectExpr("id", "id % 3 as block", "lower(t) as text", "t")
+    want = df.select("id", "block", F.explode(text.tokens("t")).alias("term")).groupBy("term", "block", "id").count()
+    monkeypatch.setattr(search, "SLICE", size)
+    read = df.where("t is not null").select("id", "block", "text").toArrow().to_batches()
+    got = [
+        (r["term"], r["block"], i, r["times"])
+        for b in search._lists(iter(read))
+        for r in b.to_pylist()
+        for i in r["ids"]
+    ]
+    assert sorted(got) == sorted(tuple(r) for r in want.collect())
